@@ -6,8 +6,8 @@ those probabilities through the null space of two balancing constraints, the
 source's words and its documents, until all but two are 0 or 1.  Documents are
 dealt to cells of bounded size by a hash of their id, so a hot source has many
 cells; the few open units of all cells go on to the next round, and the last
-two of a source land on the rounding that keeps its words nearest to target.
-Large documents fly first, so those two are small.
+two of a source land on the rounding that keeps its words nearest to target,
+mended where they are too large for that.
 
 Edge cases: null and empty texts have size 0 and are taken 0 words; the null
 source is a source, the last; repeated rows draw apart; sources of size 0 have
@@ -105,22 +105,44 @@ def flight(chance: np.ndarray, size: np.ndarray, seed: int) -> np.ndarray:
     return np.array(p)
 
 
-def landing(chance: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Rounds the last open entries so that the words differ least from their expectation."""
+def landing(chance: np.ndarray, size: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """Rounds the last open entries so that the words differ least from their expectation before the flight.
+
+    What is still off, as when a huge document is one of them, is mended by the
+    one or two documents of the cell whose change of state brings it nearest."""
     out = chance.copy()
     live = np.flatnonzero((chance > 0) & (chance < 1))
     if len(live):
         choices = (np.arange(1 << len(live))[:, None] >> np.arange(len(live))) & 1
         off = np.abs((choices - chance[live]) @ size[live])
         out[live] = choices[np.lexsort((np.abs((choices - chance[live]).sum(axis=1)), off))[0]]
+    free = np.flatnonzero((before > 0) & (before < 1))
+    off = float((out - before) @ size)
+    for _ in range(8):
+        if abs(off) < 0.5 or len(free) < 2:
+            break
+        change = np.where(out[free] > 0.5, -size[free], size[free])
+        order = np.argsort(change, kind="stable")
+        ordered = change[order]
+        mate = np.clip(np.searchsorted(ordered, -off - change), 1, len(free) - 1)
+        mate = np.where(np.abs(off + change + ordered[mate - 1]) <= np.abs(off + change + ordered[mate]), mate - 1, mate)
+        mate = order[mate]
+        pair = np.where(mate == np.arange(len(free)), np.inf, np.abs(off + change + change[mate]))
+        i, single = int(np.argmin(pair)), int(np.argmin(np.abs(off + change)))
+        flips = [single] if abs(off + change[single]) <= pair[i] else [i, int(mate[i])]
+        if abs(off + change[flips].sum()) >= abs(off) - 1e-9:
+            break
+        off += float(change[flips].sum())
+        out[free[flips]] = 1 - out[free[flips]]
     return out
 
 
-def _cell(frame: pd.DataFrame, last: bool) -> pd.DataFrame:
+def _cell(frame: pd.DataFrame, last: bool, cell_docs: int = CELL_DOCS) -> pd.DataFrame:
+    """Flies a cell; lands too in the last round and where a cell is all of its source."""
     frame = frame.sort_values(["size", "order", "key"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
-    size = frame["size"].to_numpy(float)
-    chance = flight(frame["chance"].to_numpy(float), size, int(frame["order"].iloc[0]) & 0x7FFFFFFF)
-    return frame.assign(chance=landing(chance, size) if last else chance)
+    size, before = frame["size"].to_numpy(float), frame["chance"].to_numpy(float)
+    chance = flight(before, size, int(frame["order"].iloc[0]) & 0x7FFFFFFF)
+    return frame.assign(chance=landing(chance, size, before) if last or frame["docs"].iloc[0] <= cell_docs else chance)
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, cell_docs: int = CELL_DOCS, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", seed: int = 0) -> DataFrame:
@@ -141,11 +163,11 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     rows = rows.withColumn("chance", F.when(F.col("size") == 0, 0.0).otherwise(F.col("chance")))
     rows = rows.withColumn("key", F.col("doc_id").cast("string"))
     rows = rows.withColumn("cell", F.pmod("order", F.ceil(F.col("docs") / cell_docs)))
-    fields = "key string, source string, size long, source_size long, target double, whole long, order long, cell long, chance double"
+    fields = "key string, source string, size long, source_size long, target double, whole long, order long, docs long, cell long, chance double"
     names = [f.split()[0] for f in fields.split(", ")]
     open_rows = rows.select(names)
     # A cell leaves two open units, so every round divides them by thousands; the last has one cell a source.
-    flown = open_rows.groupBy("source", "cell").applyInPandas(lambda f: _cell(f, False), fields)
+    flown = open_rows.groupBy("source", "cell").applyInPandas(lambda f: _cell(f, False, cell_docs), fields)
     flown = written(flown, "mix-flight")
     closed = (F.col("chance") <= 0) | (F.col("chance") >= 1)
     done, left = flown.filter(closed), flown.filter(~closed)
@@ -153,7 +175,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
         heavy = left.groupBy("source").agg(F.count("*").alias("open"))
         left = left.alias("d").join(heavy.alias("h"), F.col("d.source").eqNullSafe(F.col("h.source"))).select("d.*", "open")
         left = left.withColumn("cell", F.pmod(F.xxhash64("order", F.lit(1)), F.ceil(F.col("open") / cell_docs))).select(names)
-        flown = written(left.groupBy("source", "cell").applyInPandas(lambda f: _cell(f, False), fields), "mix-flight")
+        flown = written(left.groupBy("source", "cell").applyInPandas(lambda f: _cell(f, False, cell_docs), fields), "mix-flight")
         done, left = done.unionByName(flown.filter(closed)), flown.filter(~closed)
     landed = left.withColumn("cell", F.lit(0).cast("long")).groupBy("source", "cell").applyInPandas(lambda f: _cell(f, True), fields)
     copies = (F.col("whole") + F.round("chance").cast("long")).alias("copies")
