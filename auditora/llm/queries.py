@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, licenses, lines, media, mixing, ngram_join, packing, pfor, pivots
+from . import langid, licenses, lines, media, mixing, ngram_join, packing, pfor, pivots, substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = pfor.round_trip(table(spark, sf_dir, "documents"))
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
@@ -68,6 +73,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_token_ids": op3_token_ids,
     "op4_language_id": op4_language_id,
     "op5_line_dedup": op5_line_dedup,

@@ -136,3 +136,16 @@ def within(first_word: np.ndarray, n: int, total: int) -> np.ndarray:
 
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
+
+
+def join_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, row: np.ndarray, rows: int) -> pa.Array:
+    """One string for each of rows rows: its words (row ascends), joined by single spaces."""
+    lengths = ends - starts
+    last = np.append(row[1:] != row[:-1], True)[: len(row)]
+    room = lengths + ~last
+    stop = np.cumsum(room)
+    out = np.full(int(stop[-1]) if len(stop) else 0, 0x20, np.uint8)
+    inside = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    out[np.repeat(stop - room, lengths) + inside] = data[np.repeat(starts, lengths) + inside]
+    offsets = np.append(0, np.cumsum(np.bincount(row, weights=room, minlength=rows))).astype(np.int64)
+    return pa.LargeStringArray.from_buffers(rows, pa.py_buffer(offsets), pa.py_buffer(out)).cast(pa.string())
