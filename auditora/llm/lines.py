@@ -13,21 +13,50 @@ result; an empty table gives no rows; other columns pass through.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import text as tx
+
 WINDOW = 3
 
 
-def window_rows(lines: Column, window: int) -> Column:
-    """array of (place, two 64-bit hashes) of the windows that are not blank."""
-    places = F.when(F.size(lines) >= window, F.sequence(F.lit(1), F.size(lines) - (window - 1))).otherwise(F.array().cast("array<int>"))
+_TABLES = tuple(np.where(np.arange(256) == 0x0A, np.uint64(0), tx.mix(np.arange(256, dtype=np.uint64) + np.uint64(seed))) for seed in (0x11D7, 0x5EED0000))
+
+
+def line_windows(data: np.ndarray, offsets: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """row, place (from 1) and two 64-bit hashes of the windows that are not blank; offsets begin at 0."""
+    if not len(data):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    # Every line with a line feed behind it, so that empty ones have a byte too.
+    rows = len(offsets) - 1
+    full = np.insert(data, offsets[1:], 0x0A)
+    stop = offsets[1:] + np.arange(1, rows + 1)
+    ends = np.flatnonzero(full == 0x0A) + 1
+    starts = np.append(0, ends[:-1])
+    first = np.append(0, np.searchsorted(ends, stop, side="right"))
+    at = tx.within(first, window, len(starts))
+    if not len(at):
+        return at, at, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    solid = np.append(0, np.cumsum(~tx.SEPARATOR[full]))
+    at = at[solid[ends[at + window - 1]] > solid[starts[at]]]
+    hashes = [tx.run_hashes(tx.span_hashes(full, starts, ends - starts, table), window)[at] for table in _TABLES]
+    row = np.searchsorted(first, at, side="right") - 1
+    return row, at - first[row] + 1, hashes[0], hashes[1]
 
-    def one(i: Column) -> Column:
-        part = F.array_join(F.slice(lines, i, window), "\n")
-        return F.when(F.length(F.trim(F.translate(part, "\n\t\r\x0b\x0c", ""))) > 0, F.struct(i.alias("place"), F.xxhash64(part).alias("h1"), F.xxhash64(F.lit(7), part, F.length(part)).alias("h2")))
 
-    return F.filter(F.transform(places, one), lambda x: x.isNotNull())
+def _window_task(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        offsets, data = tx.column_bytes(batch.column(2))
+        for i, j in tx.slices(offsets):
+            row, place, h1, h2 = line_windows(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], window)
+            if len(row):
+                take = pa.array(row + i)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(place.astype(np.int32)), pa.array(tx.signed(h1)), pa.array(tx.signed(h2))], names=["__id", "__hash", "place", "h1", "h2"])
 
 
 def dedup_lines(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -37,7 +66,8 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", t
     Hot windows are pre-aggregated to their first occurrence, and the join back is one that Spark may split."""
     keyed = docs.withColumns({"__id": F.col(id_col), "__hash": F.xxhash64(F.col(text_col))})
     lines = F.split(F.col(text_col), "\n", -1)
-    found = keyed.select("__id", "__hash", F.explode(window_rows(lines, window)).alias("w")).select("__id", "__hash", "w.place", "w.h1", "w.h2")
+    kind = docs.schema[id_col].dataType.simpleString()
+    found = keyed.select("__id", "__hash", F.col(text_col)).mapInArrow(lambda b: _window_task(b, window), f"__id {kind}, __hash long, place int, h1 long, h2 long")
     # A null id sorts first, as in Spark's own order of structs.
     first = found.groupBy("h1", "h2").agg(F.min(F.struct("__id", "__hash", "place")).alias("first"), F.count("*").alias("n")).filter(F.col("n") > 1)
     here = F.struct("__id", "__hash", "place")
@@ -46,7 +76,7 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", t
     gone = later.groupBy("__id", "__hash").agg(F.collect_set("place").alias("__places"))
     joined = keyed.alias("d").join(gone.alias("g"), F.col("d.__id").eqNullSafe(F.col("g.__id")) & F.col("d.__hash").eqNullSafe(F.col("g.__hash")), "left").select("d.*", "g.__places")
     covered = F.array_distinct(F.flatten(F.transform(F.col("__places"), lambda p: F.sequence(p, p + (window - 1)))))
-    n_lines = F.coalesce(F.size(lines), F.lit(0))
+    n_lines = F.length(text_col) - F.length(F.replace(F.col(text_col), F.lit("\n"), F.lit(""))) + 1
     kept = F.transform(F.array_except(F.sequence(F.lit(1), F.size(lines)), covered), lambda i: F.element_at(lines, i))
     text = F.when(F.col("__places").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
     out = joined.withColumns({"n_lines": F.when(F.col(text_col).isNull(), 0).otherwise(n_lines).cast("long"), "n_removed": F.coalesce(F.size(covered), F.lit(0)).cast("long"), text_col: text})
