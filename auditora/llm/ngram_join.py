@@ -5,13 +5,16 @@ count sketch of fixed size over the whole corpus, then by hash.  Sets that link
 share a shingle of their prefixes in that order, so the prefixes are posted.
 To keep a group of near copies from emitting all its pairs:
 
-1. every posting list is tied to its least set, the pivot, and the overlaps of
-   pivot and members are counted;
-2. sets tied by a similarity of FAMILY or more form families; inside a family
-   all pairs are counted in tasks of bounded size, which emit a forest of links;
-3. by the triangle inequality of the Jaccard distance a link that is left joins
-   two members of a list of which one is below FAMILY from the pivot and the
-   other below FAMILY + 1 - threshold; those few pairs are counted too.
+1. pairs of a short list (fewer than SHORT sets) are counted in it, and the
+   counts of all short lists are summed per pair; a pair goes on if the sum, with
+   the long lists both might share, leaves room for a link;
+2. a long list is tied to its least set, the pivot, and the whole overlaps of
+   pivot and members are counted; those of a similarity of FAMILY go on.  By the
+   triangle inequality of the Jaccard distance a link that is left joins two
+   members of which one is below FAMILY from the pivot and the other below
+   FAMILY + 1 - threshold; those few pairs go on too;
+3. what goes on ties families; inside a family all pairs are counted in tasks of
+   bounded size, which emit a forest of links.
 
 Overlaps are counted by fragments of the order of hashes, each by itself, and
 summed per pair.  No pair that links is lost, and none is capped.
@@ -29,7 +32,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -45,6 +48,7 @@ BLOCKS = 16
 TILE = 1024
 STAR = 256
 LIST = 256
+SHORT = 32
 FRAGMENTS = 4
 
 
@@ -267,40 +271,71 @@ class NgramJoin:
         members = placed.select("family", "own", "sig", other).select(F.col("family").alias("key1"), F.least("own", "other").alias("key2"), F.greatest("own", "other").alias("key3"), "sig")
         return self._counted(members, texts, lambda b: _family_task(b, words, percent), "a long, b long")
 
+    def _may_link(self, c: Column, n: Column, m: Column) -> Column:
+        """Whether sets of n and m with c or fewer common shingles in their prefixes can link.
+
+        Beyond the prefix that ends first only that set's other shingles can be common."""
+        least = F.ceil(self.percent * (n + m) / (100.0 + self.percent) - 1e-6)
+        beyond = F.ceil(self.percent * F.greatest(n, m) / 100.0 - 1e-9) - 1
+        fits = (self.percent * n <= 100 * m) & (self.percent * m <= 100 * n)
+        return fits & (c >= least - beyond)
+
     def links(self) -> DataFrame:
         """Links (a, b) between classes that join all of each component."""
         words, percent, ranks = self.words, self.percent, self.ranks
         rows = self.docs.select("text").mapInArrow(lambda b: _prefix_task(b, words, percent, ranks), "tok long, n int, sig long")
         # The least set of a list is known as the sorted list streams by; nothing is gathered.
-        order = W.partitionBy("tok").orderBy("n", "sig").rowsBetween(W.unboundedPreceding, W.currentRow)
-        rows = rows.withColumn("pivot", F.first(F.struct("n", "sig")).over(order)).filter(F.col("pivot.sig") != F.col("sig"))
-        lists = written(rows.select("tok", "n", "sig", F.col("pivot.n").alias("pn"), F.col("pivot.sig").alias("psig")).distinct(), "lists")
-        pairs = lists.filter(100 * F.col("pn") >= FAMILY * F.col("n")).select(F.col("psig").alias("a"), F.col("sig").alias("b")).distinct()
-        texts = written(self._texts(lists.select("sig").unionByName(lists.select(F.col("psig").alias("sig")))), "texts")
-        stars = self._stars(pairs, texts)
-        linked = 100 * F.col("inter") >= percent * F.col("uni")
-        found = stars.filter(linked).select("a", "b")
-
-        near = stars.filter(100 * F.col("inter") >= FAMILY * F.col("uni")).select("a", "b")
-        family = written(connected_components(near).select(F.col("node").alias("sig"), F.col("component").alias("family")), "families")
-        # A family of two is a pivot and its member, counted above.
-        large = family.join(family.groupBy("family").count().filter("count > 2"), "family", "left_semi")
-        found = found.unionByName(self._all_pairs(large, texts))
-
-        # What the triangle inequality leaves: one end below FAMILY from the pivot, the other below FAMILY + 100 - percent.
-        known = lists.join(stars.select(F.col("a").alias("psig"), F.col("b").alias("sig"), "inter", "uni"), ["psig", "sig"], "left")
-        share = F.coalesce(100 * F.col("inter") / F.col("uni"), F.lit(0.0))
-        rest = known.withColumn("share", share).filter(F.col("share") < FAMILY + 100 - percent).join(family, "sig", "left").select("tok", "n", "sig", "share", F.coalesce("family", "sig").alias("family"))
-        of_list = rest.groupBy("tok").agg(F.min("share").alias("least"), F.min("family").alias("f0"), F.max("family").alias("f1"), F.count("*").alias("size")).filter((F.col("least") < FAMILY) & (F.col("f0") != F.col("f1")))
-        rest = written(rest.join(of_list.select("tok", "size"), "tok"), "rest")
-        short = rest.filter(F.col("size") <= LIST)
-        x, y = short.alias("x"), short.alias("y")
-        apart = (F.col("x.tok") == F.col("y.tok")) & (F.col("x.sig") < F.col("y.sig")) & (F.col("x.family") != F.col("y.family"))
+        order = W.partitionBy("tok").orderBy("n", "sig")
+        running = order.rowsBetween(W.unboundedPreceding, W.currentRow)
+        rows = rows.withColumn("pivot", F.first(F.struct("n", "sig")).over(running)).withColumn("again", F.lag("sig").over(order).eqNullSafe(F.col("sig")))
+        lists = written(rows.filter(~F.col("again") & (F.col("pivot.sig") != F.col("sig"))).select("tok", "n", "sig", F.col("pivot.n").alias("pn"), F.col("pivot.sig").alias("psig")), "lists")
+        sizes = lists.groupBy("tok").agg(F.count("*").alias("size"))
+        lists = written(lists.join(sizes, "tok"), "sized-lists")
+        short, long = lists.filter(F.col("size") < SHORT), lists.filter(F.col("size") >= SHORT)
+        # Of how many long lists a set is a member: shingles in common that short lists do not count.
+        hot = long.select("sig", "tok").unionByName(long.select(F.col("psig").alias("sig"), "tok").distinct()).groupBy("sig").agg(F.count("*").alias("hot"))
+
+        # Short lists: the partial overlaps of all their pairs, summed per pair.
+        full = short.select("tok", "n", "sig").unionByName(short.select("tok", F.col("pn").alias("n"), F.col("psig").alias("sig")).distinct())
+        x, y = full.alias("x"), full.alias("y")
         fits = (percent * F.col("x.n") <= 100 * F.col("y.n")) & (percent * F.col("y.n") <= 100 * F.col("x.n"))
-        more = x.join(y, apart & fits & (F.least("x.share", "y.share") < FAMILY)).select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b")).distinct()
-        found = found.unionByName(self._stars(more, texts).filter(linked).select("a", "b"))
-        long_lists = rest.filter(F.col("size") > LIST).select(F.col("tok").alias("family"), "sig").distinct()
-        return written(found.unionByName(self._all_pairs(long_lists, texts)), "links")
+        both = x.join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("x.sig") < F.col("y.sig")) & fits)
+        counted = both.groupBy(F.col("x.sig").alias("a"), F.col("y.sig").alias("b")).agg(F.count("*").alias("common"), F.first("x.n").alias("n"), F.first("y.n").alias("m"))
+        counted = counted.join(hot.select(F.col("sig").alias("a"), F.col("hot").alias("ha")), "a", "left").join(hot.select(F.col("sig").alias("b"), F.col("hot").alias("hb")), "b", "left")
+        more = F.least(F.coalesce("ha", F.lit(0)), F.coalesce("hb", F.lit(0)))
+        edges = counted.filter(self._may_link(F.col("common") + more, F.col("n"), F.col("m"))).select("a", "b")
+
+        texts = None
+        lone = None
+        if long.limit(1).count():
+            # Long lists: pivots and members, then what the triangle inequality leaves.
+            long = written(long, "long-lists")
+            pairs = long.filter(100 * F.col("pn") >= FAMILY * F.col("n")).select(F.col("psig").alias("a"), F.col("sig").alias("b")).distinct()
+            edges = written(edges, "pairs")
+            wanted = edges.select(F.col("a").alias("sig")).unionByName(edges.select(F.col("b").alias("sig"))).unionByName(long.select("sig")).unionByName(long.select(F.col("psig").alias("sig")))
+            texts = written(self._texts(wanted), "texts")
+            stars = self._stars(pairs, texts)
+            near = stars.filter(100 * F.col("inter") >= FAMILY * F.col("uni")).select("a", "b")
+            known = long.join(stars.select(F.col("a").alias("psig"), F.col("b").alias("sig"), "inter", "uni"), ["psig", "sig"], "left")
+            share = F.coalesce(100 * F.col("inter") / F.col("uni"), F.lit(0.0))
+            rest = known.withColumn("share", share).filter(F.col("share") < FAMILY + 100 - percent).select("tok", "n", "sig", "share")
+            of_list = rest.groupBy("tok").agg(F.min("share").alias("least"), F.count("*").alias("size")).filter((F.col("least") < FAMILY) & (F.col("size") > 1))
+            rest = written(rest.join(of_list.select("tok", "size"), "tok"), "rest")
+            every = lists.select("sig", "tok").unionByName(lists.select(F.col("psig").alias("sig"), "tok").distinct()).groupBy("sig").agg(F.count("*").alias("lists"))
+            few = rest.filter(F.col("size") <= LIST).join(every, "sig")
+            x, y = few.alias("x"), few.alias("y")
+            may = self._may_link(F.least("x.lists", "y.lists"), F.col("x.n"), F.col("y.n"))
+            left = x.join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("x.sig") < F.col("y.sig")) & (F.least("x.share", "y.share") < FAMILY) & may)
+            edges = edges.unionByName(near).unionByName(left.select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b")).distinct())
+            many = rest.filter(F.col("size") > LIST)
+            lone = many.select(F.col("tok").alias("family"), "sig").distinct() if many.limit(1).count() else None
+        family = written(connected_components(edges).select(F.col("node").alias("sig"), F.col("component").alias("family")), "families")
+        if texts is None:
+            texts = written(self._texts(family), "texts")
+        found = self._all_pairs(family, texts)
+        if lone is not None:
+            found = found.unionByName(self._all_pairs(lone, texts))
+        return written(found, "links")
 
     def components(self) -> DataFrame:
         """doc_id, n_shingles, component_id (least document reachable by links, itself included)."""
