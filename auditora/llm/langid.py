@@ -153,6 +153,8 @@ def predict(model: Model, column: pa.Array, switch: float = SWITCH) -> pa.Array:
     offsets, data = tx.column_bytes(column)
     n = len(offsets) - 1
     names, shares = np.full(n, "und", object), np.zeros(n)
+    if not model.languages:
+        return pa.array([{"lang": "und", "score": 0.0, "spans": []}] * n, _ARROW)
     span_counts, span_rows = np.zeros(n + 1, np.int32), []
     wide = max(1 << 20, 4 * SLICE_WORDS // max(1, len(model.languages) // 4 + 1))
     for lo, hi in tx.slices(offsets, wide):
