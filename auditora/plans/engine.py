@@ -15,7 +15,7 @@ from .catalog import CatalogoRegras, Regra, to_spark, validar_condicao
 from .schema import FINDINGS, OTHER_WEIGHT, SEVERITY_WEIGHTS, names
 
 Handler = Callable[[dict[str, DataFrame], Regra], DataFrame]
-QUANTILES = 256
+QUANTILES = 64
 
 
 def round_half_up(value: Column, digits: int) -> Column:
