@@ -13,8 +13,11 @@ To keep a group of near copies from emitting all its pairs:
    triangle inequality of the Jaccard distance a link that is left joins two
    members of which one is below FAMILY from the pivot and the other below
    FAMILY + 1 - threshold; those few pairs go on too;
-3. what goes on ties families; inside a family all pairs are counted in tasks of
-   bounded size, which emit a forest of links.
+3. the members of a pivot are a group, in which links that the pivot does not
+   show are sought; pairs of short lists that go on tie families, which are groups
+   where small and are counted pair by pair where large.  Groups that known links
+   join already are done; in the others all pairs are counted in tasks of bounded
+   size, which emit a forest of links.
 
 Overlaps are counted by fragments of the order of hashes, each by itself, and
 summed per pair.  No pair that links is lost, and none is capped.
@@ -46,6 +49,7 @@ FAMILY = 25
 CELL_BITS = 18
 BLOCKS = 16
 TILE = 1024
+TILE_SHINGLES = 1 << 20
 STAR = 256
 LIST = 256
 SHORT = 32
@@ -60,15 +64,15 @@ def needed(n: np.ndarray, percent: int) -> np.ndarray:
 def _describe_task(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     """Each document's set size and signature, then the task's sketch in blocks."""
     cells = np.zeros(1 << CELL_BITS, np.int64)
-    names = ["doc_id", "n_shingles", "sig", "part", "block", "cells"]
+    names = ["doc_id", "mark", "n_shingles", "sig", "part", "block", "cells"]
     for batch in batches:
-        for i, j, row, key in sh.column_shingles(batch.column(1), words):
+        for i, j, row, key in sh.column_shingles(batch.column(2), words):
             counts, sig = sh.signatures(row, key, j - i)
             cells += np.bincount((key >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=len(cells))
             size = j - i
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, size), pa.array(counts.astype(np.int64)), pa.array(tx.signed(sig)), pa.nulls(size, pa.int32()), pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, size), batch.column(1).slice(i, size), pa.array(counts.astype(np.int64)), pa.array(tx.signed(sig)), pa.nulls(size, pa.int32()), pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary())], names=names)
     part = TaskContext.get().partitionId()
-    yield pa.RecordBatch.from_arrays([pa.nulls(BLOCKS, pa.int64()), pa.nulls(BLOCKS, pa.int64()), pa.nulls(BLOCKS, pa.int64()), pa.array([part] * BLOCKS, pa.int32()), pa.array(range(BLOCKS), pa.int32()), pa.array([c.tobytes() for c in np.split(cells, BLOCKS)], pa.binary())], names=names)
+    yield pa.RecordBatch.from_arrays([*[pa.nulls(BLOCKS, pa.int64())] * 4, pa.array([part] * BLOCKS, pa.int32()), pa.array(range(BLOCKS), pa.int32()), pa.array([c.tobytes() for c in np.split(cells, BLOCKS)], pa.binary())], names=names)
 
 
 def _sum_cells(table: pa.Table) -> pa.Table:
@@ -227,10 +231,11 @@ class NgramJoin:
     """The join over one table of documents; each step's result lies in the shared folder."""
 
     def __init__(self, docs: DataFrame, percent: int = PERCENT, words: int = sh.WORDS, id_col: str = "doc_id", text_col: str = "text") -> None:
-        self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+        # The mark tells rows apart that are not wholly equal, also where ids are null or repeat.
+        self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(id_col, text_col).alias("mark"), F.col(text_col).cast("string").alias("text"))
         self.percent, self.words = percent, words
-        described = written(self.docs.mapInArrow(lambda b: _describe_task(b, words), "doc_id long, n_shingles long, sig long, part int, block int, cells binary"), "shingle-sets")
-        self.sets = described.filter("block IS NULL").select("doc_id", "n_shingles", "sig")
+        described = written(self.docs.mapInArrow(lambda b: _describe_task(b, words), "doc_id long, mark long, n_shingles long, sig long, part int, block int, cells binary"), "shingle-sets")
+        self.sets = described.filter("block IS NULL").select("doc_id", "mark", "n_shingles", "sig")
         self.ranks = self._ranks(described.filter("block IS NOT NULL").select("part", "block", "cells"))
 
     @staticmethod
@@ -244,14 +249,14 @@ class NgramJoin:
         return rarity(np.concatenate([np.frombuffer(r["cells"], np.int64) for r in whole]))
 
     def _texts(self, wanted: DataFrame) -> DataFrame:
-        """sig and text of the least document of each wanted class."""
-        least = self.sets.filter("n_shingles > 0").groupBy("sig").agg(F.min("doc_id").alias("doc_id")).join(wanted.select("sig").distinct(), "sig", "left_semi")
-        own = self.sets.join(least, ["sig", "doc_id"], "left_semi").select("sig", "doc_id").distinct()
-        return self.docs.join(own, "doc_id").dropDuplicates(["sig"]).select("sig", "text")
+        """sig, n and text of one document of each wanted class; one shuffle of the texts."""
+        own = self.sets.filter("n_shingles > 0").groupBy("sig").agg(F.min("mark").alias("mark"), F.max("n_shingles").alias("n"))
+        own = own.join(wanted.select("sig").distinct(), "sig", "left_semi")
+        return self.docs.select("mark", "text").join(own, "mark").dropDuplicates(["mark", "sig"]).select("sig", "n", "text")
 
     def _counted(self, members: DataFrame, texts: DataFrame, task: Callable, schema: str) -> DataFrame:
         """Runs task over the groups (key1, key2, key3) of members, whose texts come by sig."""
-        rows = members.join(texts, "sig").select("key1", "key2", "key3", "sig", "text")
+        rows = members.join(texts.select("sig", "text"), "sig").select("key1", "key2", "key3", "sig", "text")
         return rows.repartition("key1", "key2", "key3").sortWithinPartitions("key1", "key2", "key3").mapInArrow(task, schema)
 
     def _stars(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -263,9 +268,10 @@ class NgramJoin:
         return written(self._counted(members, texts, lambda b: _star_task(b, words), "a long, b long, inter long, uni long"), "overlaps")
 
     def _all_pairs(self, groups: DataFrame, texts: DataFrame) -> DataFrame:
-        """Links (a, b) inside the groups (family, sig), in tiles of two blocks of about TILE sets."""
+        """Links (a, b) inside the groups (family, sig), in tiles of two blocks of about TILE sets and TILE_SHINGLES shingles at most."""
         words, percent = self.words, self.percent
-        size = groups.groupBy("family").agg(F.ceil(F.count("*") / TILE).alias("blocks"))
+        groups = groups.join(texts.select("sig", "n"), "sig")
+        size = groups.groupBy("family").agg(F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("n") / TILE_SHINGLES)).alias("blocks"))
         placed = groups.join(size, "family").withColumn("own", F.pmod(F.xxhash64("sig"), F.col("blocks")))
         other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
         members = placed.select("family", "own", "sig", other).select(F.col("family").alias("key1"), F.least("own", "other").alias("key2"), F.greatest("own", "other").alias("key3"), "sig")
@@ -305,8 +311,8 @@ class NgramJoin:
         more = F.least(F.coalesce("ha", F.lit(0)), F.coalesce("hb", F.lit(0)))
         edges = counted.filter(self._may_link(F.col("common") + more, F.col("n"), F.col("m"))).select("a", "b")
 
-        texts = None
-        lone = None
+        texts = certain = None
+        groups: list[DataFrame] = []
         if long.limit(1).count():
             # Long lists: pivots and members, then what the triangle inequality leaves.
             long = written(long, "long-lists")
@@ -315,7 +321,7 @@ class NgramJoin:
             wanted = edges.select(F.col("a").alias("sig")).unionByName(edges.select(F.col("b").alias("sig"))).unionByName(long.select("sig")).unionByName(long.select(F.col("psig").alias("sig")))
             texts = written(self._texts(wanted), "texts")
             stars = self._stars(pairs, texts)
-            near = stars.filter(100 * F.col("inter") >= FAMILY * F.col("uni")).select("a", "b")
+            certain = stars.filter(100 * F.col("inter") >= percent * F.col("uni")).select("a", "b")
             known = long.join(stars.select(F.col("a").alias("psig"), F.col("b").alias("sig"), "inter", "uni"), ["psig", "sig"], "left")
             share = F.coalesce(100 * F.col("inter") / F.col("uni"), F.lit(0.0))
             rest = known.withColumn("share", share).filter(F.col("share") < FAMILY + 100 - percent).select("tok", "n", "sig", "share")
@@ -326,16 +332,32 @@ class NgramJoin:
             x, y = few.alias("x"), few.alias("y")
             may = self._may_link(F.least("x.lists", "y.lists"), F.col("x.n"), F.col("y.n"))
             left = x.join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("x.sig") < F.col("y.sig")) & (F.least("x.share", "y.share") < FAMILY) & may)
-            edges = edges.unionByName(near).unionByName(left.select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b")).distinct())
-            many = rest.filter(F.col("size") > LIST)
-            lone = many.select(F.col("tok").alias("family"), "sig").distinct() if many.limit(1).count() else None
+            edges = edges.unionByName(left.select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b"))).distinct()
+            # Two links make a similarity of 2 percent - 100 at least: members that link with the pivot can only
+            # tie others of that similarity to it, and the rest are compared among themselves.
+            share = 100 * F.col("inter") / F.col("uni")
+            apart = stars.filter((share >= FAMILY) & (share < percent)).select(F.xxhash64("a", F.lit(1)).alias("family"), F.col("b").alias("sig"))
+            close = stars.filter((share >= FAMILY) & (share >= 2 * percent - 100)).select(F.xxhash64("a", F.lit(2)).alias("family"), F.col("b").alias("sig"))
+            groups = [apart, close, rest.filter(F.col("size") > LIST).select(F.col("tok").alias("family"), "sig").distinct()]
+        # Pairs of short lists: small families are compared whole, the pairs of large ones one by one.
+        edges = written(edges, "candidates")
         family = written(connected_components(edges).select(F.col("node").alias("sig"), F.col("component").alias("family")), "families")
         if texts is None:
             texts = written(self._texts(family), "texts")
-        found = self._all_pairs(family, texts)
-        if lone is not None:
-            found = found.unionByName(self._all_pairs(lone, texts))
-        return written(found, "links")
+        large = family.groupBy("family").agg(F.count("*").alias("size")).filter(F.col("size") > LIST).select("family")
+        single = edges.join(family.join(large, "family").select(F.col("sig").alias("a")), "a", "left_semi")
+        singly = self._stars(single, texts).filter(100 * F.col("inter") >= percent * F.col("uni")).select("a", "b")
+        certain = singly if certain is None else certain.unionByName(singly)
+        every = family.join(large, "family", "left_anti").select("family", "sig")
+        for some in groups:
+            every = every.unionByName(some)
+        # A group that is joined by links already known has nothing left to find.
+        parts = connected_components(certain).withColumnRenamed("node", "sig")
+        every = every.join(parts, "sig", "left").withColumn("part", F.coalesce("component", "sig"))
+        tied = written(every.select("family", "sig", "part"), "groups")
+        divided = tied.groupBy("family").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("family")
+        divided = written(tied.join(divided, "family", "left_semi").select("family", "sig"), "open-families")
+        return written(self._all_pairs(divided, texts).unionByName(certain), "links")
 
     def components(self) -> DataFrame:
         """doc_id, n_shingles, component_id (least document reachable by links, itself included)."""
