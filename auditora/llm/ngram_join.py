@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from . import shingles as sh
 from . import text as tx
 from .components import connected_components
-from .shared import written
+from .shared import bucketed, written
 
 PERCENT = 80
 FAMILY = 25
@@ -319,7 +319,7 @@ class NgramJoin:
             pairs = long.filter(100 * F.col("pn") >= FAMILY * F.col("n")).select(F.col("psig").alias("a"), F.col("sig").alias("b")).distinct()
             edges = written(edges, "pairs")
             wanted = edges.select(F.col("a").alias("sig")).unionByName(edges.select(F.col("b").alias("sig"))).unionByName(long.select("sig")).unionByName(long.select(F.col("psig").alias("sig")))
-            texts = written(self._texts(wanted), "texts")
+            texts = bucketed(self._texts(wanted), ["sig"], "texts")
             stars = self._stars(pairs, texts)
             certain = stars.filter(100 * F.col("inter") >= percent * F.col("uni")).select("a", "b")
             known = long.join(stars.select(F.col("a").alias("psig"), F.col("b").alias("sig"), "inter", "uni"), ["psig", "sig"], "left")
@@ -343,7 +343,7 @@ class NgramJoin:
         edges = written(edges, "candidates")
         family = written(connected_components(edges).select(F.col("node").alias("sig"), F.col("component").alias("family")), "families")
         if texts is None:
-            texts = written(self._texts(family), "texts")
+            texts = bucketed(self._texts(family), ["sig"], "texts")
         large = family.groupBy("family").agg(F.count("*").alias("size")).filter(F.col("size") > LIST).select("family")
         single = edges.join(family.join(large, "family").select(F.col("sig").alias("a")), "a", "left_semi")
         singly = self._stars(single, texts).filter(100 * F.col("inter") >= percent * F.col("uni")).select("a", "b")
