@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from . import shingles as sh
 from . import text as tx
 from .components import connected_components
-from .shared import bucketed, written
+from .shared import bucketed, passing, written
 
 PERCENT = 80
 FAMILY = 25
@@ -365,11 +365,12 @@ class NgramJoin:
         joined = self.sets.join(classes.withColumnRenamed("node", "sig"), "sig", "left")
         # Documents without shingles stand alone; classes without links are their own.
         group = F.when(F.col("n_shingles") > 0, F.coalesce("component", "sig"))
-        joined = written(joined.select("doc_id", "n_shingles", group.alias("group")), "classes")
+        joined = written(joined.select("doc_id", "n_shingles", group.alias("group")), "classes", keep=True)
         least = joined.filter("group IS NOT NULL").groupBy("group").agg(F.min("doc_id").alias("least"))
         return joined.join(least, "group", "left").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, words: int = sh.WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every document with its set size and the component of documents at percent or more."""
-    return NgramJoin(docs, percent, words, id_col, text_col).components()
+    with passing(docs.sparkSession):
+        return NgramJoin(docs, percent, words, id_col, text_col).components()

@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Path and, if it has one, catalog name of the tables that the innermost open block of passing() has written.
+_passing: ContextVar[list[tuple[str, str | None]] | None] = ContextVar("passing", default=None)
+
 
 def shared_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir of the session; a local folder only where it is unset on a local master."""
@@ -24,11 +30,42 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def _held(path: str, table: str | None = None) -> None:
+    if (held := _passing.get()) is not None:
+        held.append((path, table))
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside go when the block ends, but for those written with keep; nothing lazy may outlive it."""
+    token = _passing.set([])
+    try:
+        yield
+    finally:
+        held = _passing.get()
+        _passing.reset(token)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path, table in held:
+            if table:
+                spark.sql(f"DROP TABLE IF EXISTS {table}")
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(conf).delete(at, True)
+
+
+def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """df as a Parquet table in the shared folder, reread: a lost executor costs no recomputation before it."""
-    path = scratch_path(df.sparkSession, name)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    if not keep:
+        _held(path)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    released(spark)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def released(spark: SparkSession) -> None:
+    """Executors drop the shuffle files of finished steps only once the driver has collected their plans as garbage."""
+    spark.sparkContext._jvm.System.gc()
 
 
 def bucketed(df: DataFrame, keys: list[str], name: str) -> DataFrame:
@@ -37,5 +74,7 @@ def bucketed(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_path(spark, name)
     table = path.rsplit("/", 1)[1].replace("-", "_")
+    _held(path, table)
     df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).option("compression", "zstd").option("path", path).saveAsTable(table)
+    released(spark)
     return spark.table(table)
