@@ -127,7 +127,7 @@ def _window_task(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.
             offset = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
             take = pa.array(row)
             keys = hashes[(base + units.field("start").to_numpy())[row] + offset]
-            yield pa.RecordBatch.from_arrays([pa.array(tx.signed(keys)), units.field("unit").take(take), pa.array(offset.astype(np.int32)), units.field("least_doc").take(take)], names=["win", "seg", "off", "least_doc"])
+            yield pa.RecordBatch.from_arrays([pa.array(tx.signed(keys)), units.field("unit").take(take), pa.array(offset.astype(np.int32)), units.field("least_doc").take(take), units.field("last_doc").take(take)], names=["win", "seg", "off", "least_doc", "last_doc"])
 
 
 def search_shard(words: pa.ChunkedArray, least_doc: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -211,21 +211,22 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot:
     # Read back from a table, so that Spark may split a hot minimizer's rows in the join.
     rows = written(found.join(written(shared, "shared-minimizers"), "least"), "segments")
     unit = F.min(F.struct("doc_id", "mark", "start", "n")).alias("u")
-    distinct = written(rows.groupBy("least", "seg").agg(unit).select("least", "seg", "u.*"), "distinct-segments")
+    distinct = written(rows.groupBy("least", "seg").agg(unit, F.max("doc_id").alias("last_doc")).select("least", "seg", "u.*", "last_doc"), "distinct-segments")
     crowd = distinct.groupBy("least").count().filter(F.col("count") > hot).select("least")
     crowded = distinct.join(crowd, "least", "left_semi")
     plain = distinct.join(crowd, "least", "left_anti").select(F.col("least").alias("shard"), F.col("seg").alias("unit"), F.col("doc_id").alias("least_doc"), "doc_id", "mark", "start", "n")
 
     def with_texts(units: DataFrame) -> DataFrame:
         """text and the units of every document; one array of a document's own units."""
-        own = units.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("shard", "unit", "least_doc", "start", "n")).alias("units"))
+        own = units.groupBy("doc_id", "mark").agg(F.collect_list(F.struct(*[c for c in units.columns if c not in ("doc_id", "mark")])).alias("units"))
         return texts.join(own, ["doc_id", "mark"], "left").select("text", "units")
 
-    as_units = crowded.select(F.col("least").alias("shard"), F.col("seg").alias("unit"), F.col("doc_id").alias("least_doc"), "doc_id", "mark", "start", "n")
+    as_units = crowded.select(F.col("seg").alias("unit"), F.col("doc_id").alias("least_doc"), "last_doc", "doc_id", "mark", "start", "n")
     wins = None
     if crowd.limit(1).count():
-        wins = written(with_texts(as_units).mapInArrow(lambda b: _window_task(b, window), "win long, seg long, off int, least_doc long"), "windows")
-        best = wins.groupBy("win").agg(F.min(F.struct("least_doc", "seg", "off")).alias("w"), F.max("least_doc").alias("d1")).filter("w.least_doc <> d1").select("win", "w.*")
+        wins = written(with_texts(as_units).mapInArrow(lambda b: _window_task(b, window), "win long, seg long, off int, least_doc long, last_doc long"), "windows")
+        # A window that one document alone holds needs no search; one segment may stand in many documents.
+        best = wins.groupBy("win").agg(F.min(F.struct("least_doc", "seg", "off")).alias("w"), F.max("last_doc").alias("d1")).filter("w.least_doc <> d1").select("win", "w.*")
         at = crowded.select("seg", "doc_id", "mark", "start")
         single = best.join(at, "seg").select(F.col("win").alias("shard"), F.col("win").alias("unit"), "least_doc", "doc_id", "mark", (F.col("start") + F.col("off")).alias("start"), F.lit(1).alias("n"))
         plain = written(plain.unionByName(single), "units")

@@ -128,6 +128,21 @@ def test_substrings_equal_brute_force(docs, empty, hot, shard):
     assert substrings.remove_repeats(empty).count() == 0
 
 
+@pytest.mark.parametrize("hot", [2048, 1, 0])
+def test_exact_copies_alone_go_from_crowded_segments(spark, hot):
+    draw = random.Random(11)
+    text = " ".join(f"v{draw.randrange(500)}" for _ in range(120))
+    other = " ".join(f"v{draw.randrange(500)}" for _ in range(90))
+    rows = [(3, text), (7, text), (9, text + " x"), (4, other), (4, other), (8, "y " + other), (None, text)]
+    got = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), hot=hot).collect()
+    known = [(i, t) for i, t in rows if i is not None]
+    want = [*kept_words(known, 50), (None, 120, 0, text)]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    two = [(3, text), (7, text)]
+    got = substrings.remove_repeats(spark.createDataFrame(two, "doc_id long, text string"), hot=hot).collect()
+    assert sorted(map(tuple, got)) == [(3, 120, 0, text), (7, 120, 120, "")]
+
+
 def test_fm_index_streams_foreign_texts():
     draw = np.random.default_rng(4)
     lengths = np.array([40, 1, 90, 30])
