@@ -13,8 +13,9 @@ windows stream through backward search over its wavelet matrix, and every
 interval of WINDOW matching words gives the least document among its rows.
 
 A minimizer with more than HOT distinct segments (the edges of a passage that
-very many documents share) is routed by the windows themselves, each distinct
-window once.  Texts are shuffled once, into a table in buckets by document; they
+very many documents share) is routed by the windows themselves: they are grouped
+by hash, which finds the least document, and each distinct window is a unit that
+the index merely hands back.  Texts are shuffled once, into a table in buckets by document; they
 meet their segments, windows and removals there, and only those are shuffled.
 
 Edge cases: null and empty texts have no words; a null id is neither smaller
