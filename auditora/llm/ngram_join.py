@@ -1,4 +1,4 @@
-"""Exact Jaccard self-join of word-shingle sets by vertical partitioning, and its components.
+"""Exact Jaccard self-join of word-shingle sets by prefixes and pivots, and its components.
 
 Equal sets are one class.  Shingles have a global order, rare ones first: by a
 count sketch of fixed size over the whole corpus, then by hash.  Sets that link
@@ -19,8 +19,9 @@ To keep a group of near copies from emitting all its pairs:
    join already are done; in the others all pairs are counted in tasks of bounded
    size, which emit a forest of links.
 
-Overlaps are counted by fragments of the order of hashes, each by itself, and
-summed per pair.  No pair that links is lost, and none is capped.
+Overlaps are counted by fragments of the order of hashes, one after the other in
+the task that holds both sets, and summed per pair: vertical partitions of a
+task's work, not of the join's.  No pair that links is lost, and none is capped.
 
 Edge cases: null and empty texts, and texts without words, have no shingles and
 link with nothing; fewer words than a shingle count as one shingle; a document
