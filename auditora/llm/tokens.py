@@ -6,11 +6,16 @@ character, at a line feed after a visible ASCII character and after such a line
 feed when a visible ASCII character follows, whatever stands around: no alternative of its pattern crosses those places, and its look-ahead
 sees the same there as at the end of a text.  So a text may be cut there and
 the parts encoded apart; parts repeat often, so a bounded memo holds their ids.
+
+The literal of an added token, such as <|endoftext|>, is that token's id, as in
+the library at its defaults: it is a chunk of its own, and the text on either
+side is encoded as if it began or ended there.
 """
 
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -52,8 +57,11 @@ def tokenizer_path(path: str | None = None) -> str:
     return public_tokenizers.path(DEFAULT_TOKENIZER)
 
 
-def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Byte positions where a text may be cut without changing its ids; every row start is one."""
+def chunk_starts(data: np.ndarray, offsets: np.ndarray, added: np.ndarray | None = None) -> np.ndarray:
+    """Byte positions where a text may be cut without changing its ids; every row start is one.
+
+    added: starts and ends of the literals of added tokens, which are chunks whole."""
+    added = np.zeros((0, 2), np.int64) if added is None else added
     n = len(data)
     cut = np.zeros(n + 1, bool)
     if n > 1:
@@ -63,8 +71,12 @@ def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         line = np.zeros(n, bool)
         line[1:] = (data[1:] == 0x0A) & solid[:-1]
         line[offsets[:-1][offsets[:-1] < n]] = False
+        line[added[:, 1][added[:, 1] < n]] = False
         cut[:n] |= line
         cut[1:n] |= line[:-1] & solid[1:]
+    for a, b in added.tolist():
+        cut[a + 1 : b] = False
+    cut[added] = True
     cut[offsets[:-1]] = True
     return np.flatnonzero(cut[:n])
 
@@ -77,8 +89,14 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
         self.model = self.library.model
+        tokens = self.library.get_added_tokens_decoder()
+        if any(t.lstrip or t.rstrip or t.single_word for t in tokens.values()):
+            raise ValueError("added tokens that take in or ask for what stands around them are not supported")
+        self.added = {t.content: k for k, t in tokens.items()}
+        # The longest of those that begin at a place, as in the library.
+        literals = sorted((t.encode("utf-8") for t in self.added), key=len, reverse=True)
+        self.literal = re.compile(b"|".join(map(re.escape, literals))) if literals else None
         self.forget()
 
     def forget(self) -> None:
@@ -90,6 +108,8 @@ class Encoder:
 
     def _ids(self, part: str) -> list[int]:
         """Ids of one chunk; plain chunks are split by the pattern here and only new pieces reach the model."""
+        if part in self.added:
+            return [self.added[part]]
         word = part[1:] if part[0] == " " else part
         if word.isascii() and word.isalpha():
             return [t.id for t in self.model.tokenize(part.replace(" ", _SPACE))]
@@ -115,14 +135,22 @@ class Encoder:
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.flat = np.append(self.flat, np.array(flat, np.uint32))
 
+    def _added(self, raw: bytes, offsets: np.ndarray) -> np.ndarray:
+        """Starts and ends of the added tokens' literals inside rows."""
+        found: list[tuple[int, int]] = []
+        if self.literal and self.literal.search(raw):
+            for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+                found += [m.span() for m in self.literal.finditer(raw, a, b)]
+        return np.array(found, np.int64).reshape(-1, 2)
+
     def _slice(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        starts = chunk_starts(data, offsets)
+        raw = data.tobytes()
+        starts = chunk_starts(data, offsets, self._added(raw, offsets))
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         ends = np.append(starts[1:], len(data))
         keys = tx.span_hashes(data, starts, ends - starts)
         _, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
-        raw = data.tobytes()
         parts = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
         # Equal hashes stand for equal chunks only if their edges agree too; else each chunk is looked up by itself.
         lengths = ends - starts

@@ -62,6 +62,25 @@ def test_tokens_equal_the_library():
     assert got == [e.ids for e in encoder.library.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_added_tokens_equal_the_library_at_its_defaults(spark):
+    from tokenizers import Tokenizer
+
+    path = tokens.tokenizer_path()
+    library = Tokenizer.from_file(path)
+    end = "<|endoftext|>"
+    draw = random.Random(12)
+    parts = [end, end, end[:7], end[7:], "<|", "|>", "<", " ", "  ", "\n", "\n\n", "\t", "a", "Z9", "é", "日", "'s", "word", "\u3000"]
+    texts = [f"end {end} start", end, f"{end}{end}", f"a  {end}  b", f"\n{end}\n\nb", "x<|endof", "text|>y", None, ""]
+    texts += ["".join(draw.choice(parts) for _ in range(draw.randrange(14))) for _ in range(3000)]
+    import pyarrow as pa
+
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [ids.tolist() for ids in tokens.Encoder(path).rows(pa.array(texts), None)] == want and 50256 in want[0]
+    frame = spark.createDataFrame(list(enumerate(texts[:9])), "doc_id long, text string")
+    assert [np.frombuffer(r.ids, "<u4").tolist() for r in pfor.round_trip(frame).orderBy("start").collect()] == [[*w, 0] for w in want[:9]]
+    assert packing.pack(frame, window=64).toPandas()["length"].sum() == sum(len(w) + 1 for w in want[:9])
+
+
 def test_packing(docs, empty):
     frame, rows = docs
     pieces = packing.pack(frame, window=64).toPandas()
