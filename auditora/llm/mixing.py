@@ -145,11 +145,16 @@ def _cell(frame: pd.DataFrame, last: bool, cell_docs: int = CELL_DOCS) -> pd.Dat
     return frame.assign(chance=landing(chance, size, before) if last or frame["docs"].iloc[0] <= cell_docs else chance)
 
 
+def row_mark(id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> Column:
+    """Never null; equal for rows that agree in id, source and text."""
+    return F.xxhash64(id_col, F.col(source_col).isNull(), source_col, F.col(text_col).isNull(), text_col)
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, cell_docs: int = CELL_DOCS, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", seed: int = 0) -> DataFrame:
-    """doc_id, source, size, source_size, target and copies (how often the mix takes the document).
+    """doc_id, source, size, source_size, target, copies (how often the mix takes the document) and row_mark of each row.
 
     Cells, order and draws follow from hashes of the id and the text, so reruns agree whatever the partitioning."""
-    sizes = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias("order"))
+    sizes = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias("order"), row_mark(id_col, source_col, text_col).alias("mark"))
     # Repeated rows share all columns; a number among them tells them apart.
     sizes = written(sizes.withColumn("copy", F.row_number().over(W.partitionBy("doc_id", "source", "order", "size").orderBy("order"))), "mix-sizes")
     targets = source_targets(sizes, weights, share, most)
@@ -163,7 +168,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     rows = rows.withColumn("chance", F.when(F.col("size") == 0, 0.0).otherwise(F.col("chance")))
     rows = rows.withColumn("key", F.col("doc_id").cast("string"))
     rows = rows.withColumn("cell", F.pmod("order", F.ceil(F.col("docs") / cell_docs)))
-    fields = "key string, source string, size long, source_size long, target double, whole long, order long, docs long, cell long, chance double"
+    fields = "key string, source string, size long, source_size long, target double, whole long, order long, docs long, cell long, chance double, mark long"
     names = [f.split()[0] for f in fields.split(", ")]
     open_rows = rows.select(names)
     # A cell leaves two open units, so every round divides them by thousands; the last has one cell a source.
@@ -179,4 +184,4 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
         done, left = done.unionByName(flown.filter(closed)), flown.filter(~closed)
     landed = left.withColumn("cell", F.lit(0).cast("long")).groupBy("source", "cell").applyInPandas(lambda f: _cell(f, True), fields)
     copies = (F.col("whole") + F.round("chance").cast("long")).alias("copies")
-    return done.unionByName(landed).select(F.col("key").cast(docs.schema[id_col].dataType).alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", copies)
+    return done.unionByName(landed).select(F.col("key").cast(docs.schema[id_col].dataType).alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", copies, "mark")

@@ -228,12 +228,16 @@ def _family_task(batches: Iterator[pa.RecordBatch], words: int, percent: int) ->
             yield pa.RecordBatch.from_arrays([pa.array(sig[[x for x, _ in links]]), pa.array(sig[[y for _, y in links]])], names=["a", "b"])
 
 
+def row_mark(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """Never null; tells rows apart that differ in id or text, also where ids are null or repeat."""
+    return F.xxhash64(id_col, text_col)
+
+
 class NgramJoin:
     """The join over one table of documents; each step's result lies in the shared folder."""
 
     def __init__(self, docs: DataFrame, percent: int = PERCENT, words: int = sh.WORDS, id_col: str = "doc_id", text_col: str = "text") -> None:
-        # The mark tells rows apart that are not wholly equal, also where ids are null or repeat.
-        self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(id_col, text_col).alias("mark"), F.col(text_col).cast("string").alias("text"))
+        self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_mark(id_col, text_col).alias("mark"), F.col(text_col).cast("string").alias("text"))
         self.percent, self.words = percent, words
         described = written(self.docs.mapInArrow(lambda b: _describe_task(b, words), "doc_id long, mark long, n_shingles long, sig long, part int, block int, cells binary"), "shingle-sets")
         self.sets = described.filter("block IS NULL").select("doc_id", "mark", "n_shingles", "sig")
@@ -360,17 +364,30 @@ class NgramJoin:
         divided = written(tied.join(divided, "family", "left_semi").select("family", "sig"), "open-families")
         return written(self._all_pairs(divided, texts).unionByName(certain), "links")
 
-    def components(self) -> DataFrame:
-        """doc_id, n_shingles, component_id (least document reachable by links, itself included)."""
+    def _classes(self, *columns: str) -> DataFrame:
+        """columns of every row's set and its group, null for rows without shingles."""
         classes = connected_components(self.links())
         joined = self.sets.join(classes.withColumnRenamed("node", "sig"), "sig", "left")
         # Documents without shingles stand alone; classes without links are their own.
         group = F.when(F.col("n_shingles") > 0, F.coalesce("component", "sig"))
-        joined = written(joined.select("doc_id", "n_shingles", group.alias("group")), "classes", keep=True)
+        return written(joined.select(*columns, group.alias("group")), "classes", keep=True)
+
+    def components(self) -> DataFrame:
+        """doc_id, n_shingles, component_id (least document reachable by links, itself included)."""
+        joined = self._classes("doc_id", "n_shingles")
         least = joined.filter("group IS NOT NULL").groupBy("group").agg(F.min("doc_id").alias("least"))
         return joined.join(least, "group", "left").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
 
 
+def first_marks(docs: DataFrame, percent: int = PERCENT, words: int = sh.WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """mark of one row of each component: the smallest id, null last; and, alone, the marks of rows without shingles."""
+    with passing(docs.sparkSession):
+        rows = NgramJoin(docs, percent, words, id_col, text_col)._classes("doc_id", "mark")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("r")
+    first = rows.filter("group IS NOT NULL").groupBy("group").agg(least).select("r.mark", F.lit(False).alias("alone"))
+    return first.unionByName(rows.filter("group IS NULL").select("mark", F.lit(True).alias("alone")).distinct())
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, words: int = sh.WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every document with its set size and the component of documents at percent or more."""
     with passing(docs.sparkSession):

@@ -2,13 +2,15 @@
 
 Each stage works on all rows its predecessor kept, written as Parquet in the
 shared folder and reread.  Every stage but the last returns the columns of
-documents.  Rows may lack text; extra columns pass through; an empty table
-goes through every stage.
+documents.  Rows may lack text; ids may be null or repeat, and each row is then
+a document of its own; extra columns pass through; an empty table goes through
+every stage.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from auditora.llm import langid, lines, mixing, ngram_join, packing
@@ -17,6 +19,12 @@ from auditora.llm.shared import written
 LEAST_SCORE = 0.5
 
 
+def _number(docs: DataFrame) -> Column:
+    """Number of a row among those of equal __mark, by its other columns; a map has no hash."""
+    plain = [F.col(c) for c, kind in docs.dtypes if "map<" not in kind]
+    return F.row_number().over(W.partitionBy("__mark").orderBy(F.xxhash64(*plain)))
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose main language is known and holds LEAST_SCORE of their letters.
 
@@ -34,16 +42,23 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near duplicates: the one of the smallest id."""
-    kept = ngram_join.near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.alias("d").join(kept.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), "left_semi")
+    """One row of each component of near duplicates: the one of the smallest id, null last.
+
+    Of rows that repeat that id in the component one stays; rows without words are alone and all stay."""
+    kept = ngram_join.first_marks(docs).withColumnRenamed("mark", "__mark").withColumnRenamed("alone", "__alone")
+    # One key for the join and the numbers, so texts are shuffled once.
+    joined = docs.withColumn("__mark", ngram_join.row_mark()).join(kept, "__mark").withColumn("__number", _number(docs))
+    return joined.filter(F.col("__alone") | (F.col("__number") == 1)).select(docs.columns)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
-    copies = mixing.mix(docs).select("doc_id", "copies")
-    joined = docs.alias("d").join(copies.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.doc_id"))).select("d.*", F.col("c.copies").alias("__copies"))
-    return joined.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__copies").cast("int")))).drop("__copies", "__copy")
+    """Rows as often as the mix takes them; rows that repeat an id are taken each by itself.
+
+    The mix takes rows of equal id, source and text alike but for one copy: the first of them have it."""
+    taken = mixing.mix(docs).groupBy(F.col("mark").alias("__mark")).agg(F.sum("copies").alias("__taken"), F.count("*").alias("__rows"))
+    joined = docs.withColumn("__mark", mixing.row_mark()).join(taken, "__mark").withColumn("__number", _number(docs))
+    copies = F.expr("__taken div __rows + int(__number <= __taken % __rows)").cast("int")
+    return joined.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), copies))).select(docs.columns)
 
 
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

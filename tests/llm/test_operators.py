@@ -348,6 +348,28 @@ def test_words_and_spans():
     assert [bytes(data[a:b]).decode() for a, b in zip(starts, ends, strict=True)] == ["a", "b", "c d", "e"] and np.diff(first).tolist() == [2, 0, 0, 1, 1]
 
 
+def test_stages_tell_repeated_rows_apart(spark):
+    import corpus_pipeline
+    from collections import Counter
+
+    draw = random.Random(13)
+    say = lambda n: " ".join(f"u{draw.randrange(400)}" for _ in range(n))
+    a, b, c, d, e = (say(60) for _ in range(5))
+    rows = [(1, a, "en", "a"), (1, a, "en", "a"), (1, b, "en", "b"), (2, a, "en", "a"), (None, c, "en", "a"), (None, c, "en", "a"), (None, d, "en", None), (None, b, "en", "b"), (4, e, "en", "b"), (5, "", "en", "a"), (5, "", "en", "a"), (4, a, "en", "a"), (None, None, "en", "a")]
+    docs = spark.createDataFrame([(i, t, g, s, len(t or ""), "x") for i, t, g, s in rows], DOCS)
+    got = Counter((r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect())
+    assert got == Counter([(1, a), (1, b), (None, c), (None, d), (4, e), (5, ""), (5, ""), (None, None)])
+    key = lambda r: (r.doc_id, r.source, r.text)
+    many = docs.unionByName(docs.withColumn("n_removed", F.lit("y")))
+    size = Counter()
+    for r in mixing.mix(many).collect():
+        size[(r.doc_id, r.source, r.size)] += r.copies
+    mixed = corpus_pipeline.source_mixing(spark, many, "").collect()
+    assert Counter((r.doc_id, r.source, len(words_of(r.text))) for r in mixed) == +size
+    there = Counter(map(key, many.collect()))
+    assert all(n <= 2 * there[k] for k, n in Counter(map(key, mixed)).items())
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
