@@ -1,7 +1,7 @@
 """License recognition by sentence rules.
 
 A text is cut into sentences at their marks and at blank lines; a sentence may
-run over line ends.  Words are lower-case letters and digits; marks of comments
+run over line ends, and over one blank line where its known form has one.  Words are lower-case letters and digits; marks of comments
 and punctuation do not count.  Sentences known from license texts become
 identifiers, and ordered rules over identifiers, longest first, name licenses:
 a rule's identifiers must follow each other with at most MAX_GAP other
@@ -27,7 +27,7 @@ SENTENCES = {
     "apache-notice": "Licensed under the Apache License, Version 2.0",
     "apache-notice-the": "Licensed under the Apache License, Version 2.0 (the \"License\")",
     "apache-comply": "you may not use this file except in compliance with the License",
-    "apache-obtain": "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+    "apache-obtain": "You may obtain a copy of the License at\n\nhttp://www.apache.org/licenses/LICENSE-2.0",
     "apache-as-is": "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied",
     "mit-released": "Released under the MIT License",
     "mit-licensed": "Licensed under the MIT License",
@@ -49,6 +49,22 @@ SENTENCES = {
     "bsd-name": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
     "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
     "mpl-form": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+    "lgpl3-free": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    "lgpl3-free-library": "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    "lgpl21-free": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version",
+    "lgpl21-free-program": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version",
+    "agpl3-free": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    "lgpl-hope": "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY",
+    "lgpl-copy": "You should have received a copy of the GNU Lesser General Public License along with this program",
+    "lgpl-copy-library": "You should have received a copy of the GNU Lesser General Public License along with this library",
+    "agpl-copy": "You should have received a copy of the GNU Affero General Public License along with this program",
+    "cc-by-4": "Licensed under CC BY 4.0",
+    "cc-by-sa-4": "Licensed under CC BY-SA 4.0",
+    "cc-by-sa-4-work": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+    "cc0-title": "CC0 1.0 Universal",
+    "cc0-dedicated": "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide",
+    "unlicense-free": "This is free and unencumbered software released into the public domain",
+    "unlicense-anyone": "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means",
     "spdx-mit": "SPDX-License-Identifier: MIT",
     "spdx-apache": "SPDX-License-Identifier: Apache-2.0",
     "spdx-gpl3": "SPDX-License-Identifier: GPL-3.0-only",
@@ -81,20 +97,47 @@ RULES = (
     ("CC-BY-NC-4.0", ("cc-by-nc-4",)),
     ("CC-BY-NC-4.0", ("cc-by-nc-4-work",)),
     ("CC-BY-4.0", ("cc-by-4-work",)),
+    ("LGPL-3.0", ("lgpl3-free", "gpl-hope", "lgpl-copy")),
+    ("LGPL-3.0", ("lgpl3-free",)),
+    ("LGPL-3.0", ("lgpl3-free-library", "lgpl-hope", "lgpl-copy-library")),
+    ("LGPL-3.0", ("lgpl3-free-library",)),
+    ("LGPL-2.1", ("lgpl21-free", "lgpl-hope", "lgpl-copy-library")),
+    ("LGPL-2.1", ("lgpl21-free",)),
+    ("LGPL-2.1", ("lgpl21-free-program", "gpl-hope", "lgpl-copy")),
+    ("LGPL-2.1", ("lgpl21-free-program",)),
+    ("AGPL-3.0", ("agpl3-free", "gpl-hope", "agpl-copy")),
+    ("AGPL-3.0", ("agpl3-free",)),
+    ("CC-BY-4.0", ("cc-by-4",)),
+    ("CC-BY-SA-4.0", ("cc-by-sa-4",)),
+    ("CC-BY-SA-4.0", ("cc-by-sa-4-work",)),
+    ("CC0-1.0", ("cc0-title",)),
+    ("CC0-1.0", ("cc0-dedicated",)),
+    ("Unlicense", ("unlicense-free", "unlicense-anyone",)),
+    ("Unlicense", ("unlicense-free",)),
 )
 
+# Further SPDX identifiers and their licenses, the old forms without -only included.
+_SPDX = {f"{k}{end}": k for k in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0") for end in ("", "-only", "-or-later") if k + end != "GPL-3.0-only"}
+_SPDX |= {k: k for k in ("BSD-2-Clause", "BSD-3-Clause", "ISC", "MPL-2.0", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "Unlicense")}
+SENTENCES |= {f"spdx-{k.lower()}": f"SPDX-License-Identifier: {k}" for k in _SPDX}
+RULES += tuple((v, (f"spdx-{k.lower()}",)) for k, v in _SPDX.items())
+
 _WORDS = re.compile(r"[a-z0-9]+")
 # Semicolons and colons end sentences only outside known ones, so the trie walks on across them.
 _MARK = re.compile(r"([.!?;:]+(?=\s|\Z)|\n)")
 _END = "\0"
+_BLANK = "\1"
 
 
 def build_trie(sentences: dict[str, str]) -> dict:
     trie: dict = {}
     for name, sentence in sentences.items():
         node = trie
-        for word in _WORDS.findall(sentence.lower()):
-            node = node.setdefault(word, {})
+        for k, paragraph in enumerate(sentence.lower().split("\n\n")):
+            if k:
+                node[_BLANK] = True
+            for word in _WORDS.findall(paragraph):
+                node = node.setdefault(word, {})
         node[_END] = name
     return trie
 
@@ -109,11 +152,13 @@ def recognise(text: str, trie: dict) -> list[tuple[int, int, str]]:
         if first is None or first[0] not in trie:
             i += 2
             continue
-        node, j, hit = trie, i, None
+        node, j, hit, blank = trie, i, None, False
         while node is not None and j < n:
             words = _WORDS.findall(parts[j])
             if not words and j > i and not parts[j].strip() and j >= 2 and parts[j - 1] == "\n":
-                break  # a blank line ends any sentence
+                if blank or _BLANK not in node:
+                    break  # a blank line ends any other sentence
+                blank = True
             for word in words:
                 node = node.get(word)
                 if node is None:

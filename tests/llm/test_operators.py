@@ -339,6 +339,31 @@ def test_licenses(spark):
     assert got == [["MIT"], ["Apache-2.0"], ["BSD-3-Clause"], ["BSD-2-Clause"], [], [], [], []]
 
 
+def test_apache_notice_over_its_blank_line_and_more_licenses():
+    notice = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+"""
+    trie = licenses.build_trie(licenses.SENTENCES)
+    for text in (notice, notice.replace("\n", "\r\n"), notice.replace("\n\n", "\n#\n"), notice.replace("at\n\n ", "at ")):
+        found = licenses.recognise(text, trie)
+        assert [k for *_, k in found] == ["apache-notice-the", "apache-comply", "apache-obtain", "apache-as-is"]
+        assert licenses.match_rules(found) == [("Apache-2.0", 0, 4)]
+    assert "apache-obtain" not in [k for *_, k in licenses.recognise(notice.replace("at\n\n", "at\n\n\n"), trie)]
+    named = lambda text: [k for k, *_ in licenses.match_rules(licenses.recognise(text, trie))]
+    for spdx, name in (("GPL-3.0-or-later", "GPL-3.0"), ("GPL-3.0-only", "GPL-3.0"), ("GPL-2.0-only", "GPL-2.0"), ("BSD-3-Clause", "BSD-3-Clause"), ("LGPL-2.1+", "LGPL-2.1"), ("AGPL-3.0-or-later", "AGPL-3.0"), ("CC-BY-SA-4.0", "CC-BY-SA-4.0"), ("CC0-1.0", "CC0-1.0")):
+        assert named(f"// SPDX-License-Identifier: {spdx}\nint x;") == [name]
+    assert named("SPDX-License-Identifier: MIT-0") == []
+    for name, own in licenses.RULES:
+        assert named(".\n".join(licenses.SENTENCES[k] for k in own) + ".\n") == [name]
+
+
 def test_words_and_spans():
     import pyarrow as pa
 
