@@ -6,6 +6,11 @@ payload by SHA-256 digest ("sha256:..."); a join on the digest resolves it
 against a media store and keeps places and captions.  The store holds media as
 binary PGM images, 8 bits a sample, SIDE samples a line.
 
+A video or audio without src has that of its first source element, as its place
+is one; an img without src has the first candidate of its srcset, or else of the
+first source of its picture.  A poster is an image before its video.  Further
+sources and candidates show the same medium and are not references.
+
 Edge cases: a null or empty page has an empty sequence; references that name no
 digest, or one that the store lacks, stay unresolved (null payload columns);
 repeated payloads are stored once for each task that meets them and resolved
@@ -36,6 +41,11 @@ SEQUENCE = "array<struct<position:int, kind:string, text:string, ref:string, alt
 _ITEM = pa.struct([("position", pa.int32()), ("kind", pa.string()), ("text", pa.string()), ("ref", pa.string()), ("alt", pa.string()), ("caption", pa.string())])
 
 
+def _candidate(srcset: str | None) -> str | None:
+    """First candidate of a srcset."""
+    return next((c for c in (part.strip(",") for part in (srcset or "").split()) if c), None)
+
+
 class _Interleaver(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -44,6 +54,8 @@ class _Interleaver(HTMLParser):
         self.skipped = 0
         self.figure: list[int] | None = None
         self.caption: list[str] | None = None
+        self.player: int | None = None
+        self.picture: str | None = None
 
     def _close_text(self) -> None:
         if text := " ".join("".join(self.words).split()):
@@ -53,15 +65,33 @@ class _Interleaver(HTMLParser):
     def _add(self, **item: str | None) -> None:
         self.items.append({"position": len(self.items), "text": None, "ref": None, "alt": None, "caption": None} | item)
 
+    def _medium(self, **item: str | None) -> None:
+        if self.figure is not None:
+            self.figure.append(len(self.items))
+        self._add(**item)
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in SKIP:
             self.skipped += 1
         elif tag in MEDIA:
             self._close_text()
             named = dict(attrs)
-            if self.figure is not None:
-                self.figure.append(len(self.items))
-            self._add(kind=MEDIA[tag], ref=named.get("src"), alt=named.get("alt"))
+            ref = named.get("src")
+            if tag == "img":
+                ref = ref or _candidate(named.get("srcset")) or self.picture or ref
+            elif named.get("poster"):
+                self._medium(kind="image", ref=named["poster"])
+            self._medium(kind=MEDIA[tag], ref=ref, alt=named.get("alt"))
+            if tag != "img":
+                self.player = len(self.items) - 1
+        elif tag == "source":
+            named = dict(attrs)
+            if self.player is not None:
+                self.items[self.player]["ref"] = self.items[self.player]["ref"] or named.get("src")
+            elif self.picture is not None:
+                self.picture = self.picture or _candidate(named.get("srcset")) or named.get("src") or ""
+        elif tag == "picture":
+            self.picture = ""
         elif tag == "figure":
             self._close_text()
             self.figure = []
@@ -74,6 +104,10 @@ class _Interleaver(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag in SKIP:
             self.skipped = max(0, self.skipped - 1)
+        elif tag in ("video", "audio"):
+            self.player = None
+        elif tag == "picture":
+            self.picture = None
         elif tag == "figcaption" and self.caption is not None:
             self._close_caption()
         elif tag == "figure":

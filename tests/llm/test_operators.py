@@ -310,6 +310,18 @@ def test_media(spark, docs):
         assert media.from_pgm(media.to_pgm(media.padded(content))) == media.padded(content) and len(media.padded(content)) % 576 == 0
 
 
+def test_media_of_sources_sets_and_posters(spark):
+    digest = [hashlib.sha256(b"%d" % k).hexdigest() for k in range(7)]
+    at = [f"sha256:{d}" for d in digest]
+    html = f"""<figure><video poster="{at[0]}"><source src="{at[1]}"><source src="{at[6]}">no video</video><figcaption>Cap</figcaption></figure>
+<audio><source src="{at[2]}"></audio><audio src="{at[3]}"><source src="{at[6]}"></audio><source src="{at[6]}">
+<picture><source srcset="{at[4]} 1x, {at[6]} 2x"><img alt="P"></picture><picture><source srcset="{at[6]}"><img src="{at[5]}"></picture><img srcset="{at[6]}, {at[0]} 2x"><img alt="none"><video></video>"""
+    pages = spark.createDataFrame([(1, html)], "page long, html string").select("page", media.interleave(F.col("html")).alias("sequence"))
+    refs = media.media_refs(pages, "page").orderBy("position").collect()
+    assert [(r.kind, r.digest) for r in refs] == [("image", digest[0]), ("video", digest[1]), ("audio", digest[2]), ("audio", digest[3]), ("image", digest[4]), ("image", digest[5]), ("image", digest[6]), ("image", None), ("video", None)]
+    assert [r.caption for r in refs[:3]] == ["Cap", "Cap", None] and refs[4].alt == "P"
+
+
 def test_pivot_search_recall(spark):
     draw = np.random.default_rng(10)
     vectors = draw.normal(size=(3000, 16))
