@@ -41,7 +41,6 @@ WINDOW = 50
 GRAM = 8
 HOT = 2048
 SHARD_WORDS = 300_000
-STEP_INV = tx.STEP_INV
 
 
 def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -71,9 +70,10 @@ def segments(hashes: np.ndarray, first: np.ndarray, window: int, gram: int) -> t
     begin = np.flatnonzero(opens)
     count = np.diff(np.append(begin, len(windows)))
     start = windows[begin]
-    stop = start + count + window - 1
-    sums = np.append(np.uint64(0), np.cumsum(hashes * tx.powers(tx.STEP, len(hashes))))
-    key = tx.mix((sums[stop] - sums[start]) * tx.powers(STEP_INV, len(hashes))[start] + (stop - start).astype(np.uint64))
+    # A segment is its windows in order: each is hashed with its place before they are summed.
+    place = np.arange(len(windows)) - np.repeat(begin, count)
+    whole = tx.run_hashes(hashes, window)[windows]
+    key = tx.mix(np.add.reduceat(tx.mix(whole + place.astype(np.uint64) * np.uint64(tx.STEP)), begin) + count.astype(np.uint64))
     return row[begin], start - first[row[begin]], count, grams[least[begin]], key
 
 
@@ -134,14 +134,10 @@ def _window_task(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.
 def search_shard(words: pa.ChunkedArray, least_doc: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Runs of windows of the units with the least document that any equal window has: unit, first window, windows, document."""
     offsets, data = tx.column_bytes(words)
-    hashes, lengths = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-    for i, j in tx.slices(offsets):
-        part = data[offsets[i] : offsets[j]]
-        starts, ends, first = tx.word_spans(part, offsets[i : j + 1] - offsets[i])
-        hashes.append(tx.word_hashes(part, starts, ends))
-        lengths.append(np.diff(first))
-    length = np.concatenate(lengths)
-    texts = np.unique(np.concatenate(hashes), return_inverse=True)[1].astype(np.int64) + 1
+    offsets, data = offsets - offsets[0], data[offsets[0] : offsets[-1]]
+    starts, ends, first = tx.word_spans(data, offsets)
+    length = np.diff(first)
+    texts = tx.distinct_spans(data, starts, ends - starts)[1].astype(np.int64) + 1
     index = FMIndex(texts, length, window)
     least = np.minimum.reduceat(least_doc[index.owner[index.suffixes]], index.group_start)
     n = length - window + 1

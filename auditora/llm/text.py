@@ -43,9 +43,10 @@ def powers(base: int, n: int) -> np.ndarray:
         return np.multiply.accumulate(out)
 
 
-_BYTE = mix(np.arange(256, dtype=U) + U(0x51ED270B))
-_BYTE_WORD = np.where(SEPARATOR, U(0), _BYTE)
-_POW = powers(STEP, 1 << 16)
+# Masks of the first 0 to 8 bytes of a little-endian word.
+_COVER = np.array([(1 << 8 * k) - 1 for k in range(9)], U)
+_SALT = 0xA0761D6478BD642F
+CHUNK_BLOCKS = 1 << 18
 
 
 def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -87,22 +88,63 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, table: np.ndarray = _BYTE) -> np.ndarray:
-    """Hash of each gapless span: spans tile data from starts[0] on, bytes mapped through table."""
-    if len(starts) == 0:
-        return np.zeros(0, U)
-    first = starts[0]
-    body = data[first:]
-    gaps = np.diff(np.append(starts, len(data)))
-    at = np.arange(len(body), dtype=np.int64) - np.repeat(starts - first, gaps)
-    values = table[body]
-    values *= _POW[at & 0xFFFF]
-    sums = np.add.reduceat(values, starts - first)
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The little-endian 64-bit word at every byte, zeros behind the end."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+
+
+def _later_blocks(lengths: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(span, block, edges) of the 8-byte blocks after each span's first, some at a time; edges begin a span's run."""
+    long = np.flatnonzero(lengths > 8)
+    stop = np.cumsum((lengths[long] - 1) >> 3)
+    for a in range(0, int(stop[-1]) if len(long) else 0, CHUNK_BLOCKS):
+        at = np.arange(a, min(a + CHUNK_BLOCKS, int(stop[-1])))
+        k = np.searchsorted(stop, at, side="right")
+        block = at - np.append(0, stop)[k] + 1
+        yield long[k], block, np.flatnonzero(np.append(True, k[1:] != k[:-1]))
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hash of each span: its 8-byte blocks are mixed, with their place, before they are summed.
+
+    Hashes of different seeds are independent."""
+    eights, salt = _eights(data), mix(np.array([seed + 1], U) * U(_SALT))[0]
+    sums = mix((eights[starts] & _COVER[np.minimum(lengths, 8)]) ^ salt)
+    for span, block, edges in _later_blocks(lengths):
+        value = eights[starts[span] + 8 * block] & _COVER[np.minimum(lengths[span] - 8 * block, 8)]
+        sums[span[edges]] += np.add.reduceat(mix(mix(value ^ salt) + block.astype(U) * U(STEP)), edges)
     return mix(sums + lengths.astype(U) * U(0xD6E8FEB86659FD93))
 
 
+def same_spans(data: np.ndarray, a: np.ndarray, b: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Whether the spans of equal lengths that begin at a and at b hold the same bytes."""
+    eights = _eights(data)
+    out = ((eights[a] ^ eights[b]) & _COVER[np.minimum(lengths, 8)]) == 0
+    for span, block, _ in _later_blocks(lengths):
+        differ = ((eights[a[span] + 8 * block] ^ eights[b[span] + 8 * block]) & _COVER[np.minimum(lengths[span] - 8 * block, 8)]) != 0
+        out[span[differ]] = False
+    return out
+
+
+def distinct_spans(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One span of each distinct content, and for every span which of them it equals; bytes are compared."""
+    _, first, inverse = np.unique(span_hashes(data, starts, lengths), return_index=True, return_inverse=True)
+    own = first[inverse]
+    if (lengths == lengths[own]).all() and same_spans(data, starts, starts[own], lengths).all():
+        return first, inverse
+    seen: dict[bytes, int] = {}
+    raw, at = data.tobytes(), []
+    inverse = np.empty(len(starts), np.int64)
+    for k, (s, n) in enumerate(zip(starts.tolist(), lengths.tolist(), strict=True)):
+        inverse[k] = seen.setdefault(raw[s : s + n], len(seen))
+        if len(at) < len(seen):
+            at.append(k)
+    return np.array(at, np.int64), inverse
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return span_hashes(data, starts, ends - starts, _BYTE_WORD)
+    return span_hashes(data, starts, ends - starts)
 
 
 def run_hashes(words: np.ndarray, n: int) -> np.ndarray:

@@ -44,8 +44,6 @@ _LETTER = np.zeros(256, bool)
 _LETTER[0x41:0x5B] = _LETTER[0x61:0x7B] = True
 _OTHER = ~_LETTER
 _OTHER[0x80:] = False
-# Little-endian masks of the first 0 to 8 bytes of a word.
-_COVER = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def tokenizer_path(path: str | None = None) -> str:
@@ -149,20 +147,8 @@ class Encoder:
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         ends = np.append(starts[1:], len(data))
-        keys = tx.span_hashes(data, starts, ends - starts)
-        _, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
+        first, inverse = tx.distinct_spans(data, starts, ends - starts)
         parts = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-        # Equal hashes stand for equal chunks only if their edges agree too; else each chunk is looked up by itself.
-        lengths = ends - starts
-        same = lengths == lengths[first][inverse]
-        padded = np.concatenate([np.zeros(8, np.uint8), data, np.zeros(8, np.uint8)])
-        eight = np.ndarray((len(padded) - 7,), np.uint64, padded, strides=(1,))
-        cover = _COVER[np.minimum(lengths, 8)]
-        head, tail = eight[starts + 8] & cover, eight[ends] & ~_COVER[8 - np.minimum(lengths, 8)]
-        same &= (head == head[first][inverse]) & (tail == tail[first][inverse])
-        if not same.all():
-            parts = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-            inverse = np.arange(len(parts))
         if len(self.place) > MEMO_ENTRIES or len(self.flat) > 16 * MEMO_ENTRIES:
             self.forget()
         place = self.place
