@@ -10,6 +10,12 @@ The model is fitted on at most sample_docs documents of each language (those of
 the smallest hashes in expectation), so it is small whatever the corpus: one
 table of buckets x languages, at most MOST_LANGUAGES of them.
 
+Work goes in slices whose arrays are bounded whatever the texts and the number of
+languages.  A text longer than a slice is read in parts that end behind a
+separator (behind a character where a word is longer than a part, which then
+counts as several words); Viterbi keeps its state before every part, and reads
+the parts again from the last on to trace the labels back.
+
 Edge cases: a text that is null or has no letter is "und" with score 0, without
 spans; letters of scripts that no language uses count against the score; a text
 of such letters alone gets the language seen most, with score 0; with no
@@ -98,10 +104,12 @@ class Model:
             return scores, np.zeros(0, np.int32), np.zeros(0, bool), first
         letters, bits, _ = word_scripts(data, starts)
         begin = np.cumsum(ends - starts + 1) - (ends - starts) - 1
-        sums = np.zeros((int((ends - starts + 1).sum()), len(self.languages)), np.float32)
+        step = max(1, CELLS // max(1, len(self.languages)))
         for places, buckets in grams(data, starts, ends):
-            sums[places] += self.weights[buckets]
-        np.add.reduceat(sums, begin, axis=0, out=scores)
+            for k in range(0, len(places), step):
+                word = np.searchsorted(begin, places[k : k + step], side="right") - 1
+                edge = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+                scores[word[edge]] += np.add.reduceat(self.weights[buckets[k : k + step]], edge, axis=0)
         allowed = (bits[:, None] & self.scripts[None, :]) > 0
         known = allowed.any(axis=1)
         scores = np.where(allowed, scores, np.where(known[:, None], scores.min(axis=1, keepdims=True) - 30, 0)).astype(np.float32)
@@ -109,6 +117,68 @@ class Model:
         return scores, letters, known, first
 
 
+def parts_of(data: np.ndarray, limit: int) -> list[tuple[int, int]]:
+    """Ranges of at most limit bytes that tile data, behind a separator or else behind a character."""
+    out, a = [], 0
+    while a < len(data):
+        b = min(a + limit, len(data))
+        if b < len(data):
+            gap = np.flatnonzero(tx.SEPARATOR[data[a:b]])
+            if len(gap):
+                b = a + int(gap[-1]) + 1
+            else:
+                while b > a + 1 and data[b] & 0xC0 == 0x80:
+                    b -= 1
+        out.append((a, b))
+        a = b
+    return out
+
+
+def _follow(scores: np.ndarray, best: np.ndarray | None, switch: float) -> tuple[np.ndarray | None, np.ndarray, np.ndarray]:
+    """Viterbi's state behind the words of one row, from the state before them, with where each label came from."""
+    came, jumped = np.zeros(len(scores), np.int16), np.zeros(scores.shape, bool)
+    for t, own in enumerate(scores):
+        if best is None:
+            best = own.copy()
+            continue
+        top = best.argmax()
+        leap = best[top] - switch
+        came[t], jumped[t] = top, best < leap
+        best = np.maximum(best, leap) + own
+    return best, came, jumped
+
+
+def label_long(model: Model, data: np.ndarray, switch: float, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Runs (label, first word) of one long text, the letters of each language, and all its letters."""
+    parts, states, best = parts_of(data, limit), [], None
+    for a, b in parts:
+        states.append(best)
+        best = _follow(model.words(data[a:b], np.array([0, b - a]))[0], best, switch)[0]
+    runs: list[tuple[np.ndarray, np.ndarray]] = []
+    votes, every = np.zeros(len(model.languages)), 0
+    now = 0 if best is None else int(best.argmax())
+    for (a, b), before in zip(reversed(parts), reversed(states), strict=True):
+        scores, letters, known, _ = model.words(data[a:b], np.array([0, b - a]))
+        _, came, jumped = _follow(scores, before, switch)
+        labels = np.zeros(len(scores), np.int16)
+        for t in range(len(scores) - 1, -1, -1):
+            labels[t] = now
+            if jumped[t, now]:
+                now = int(came[t])
+        edge = np.flatnonzero(np.append(True, labels[1:] != labels[:-1])) if len(labels) else np.zeros(0, np.int64)
+        runs.append((labels[edge], np.append(edge, len(labels))))
+        np.add.at(votes, labels[known], letters[known])
+        every += int(letters.sum())
+    label, first, words = [np.zeros(0, np.int16)], [np.zeros(0, np.int64)], 0
+    for own, edges in reversed(runs):
+        label.append(own)
+        first.append(edges[:-1] + words)
+        words += int(edges[-1])
+    label, first = np.concatenate(label), np.concatenate(first)
+    keep = np.append(True, label[1:] != label[:-1])[: len(label)]
+    return label[keep], np.append(first[keep], words), votes, every
+
+
 def viterbi(scores: np.ndarray, first: np.ndarray, switch: float) -> np.ndarray:
     """Best label of every word, all rows in step; a change of label within a row costs switch."""
     total, n = scores.shape
@@ -146,35 +216,57 @@ def viterbi(scores: np.ndarray, first: np.ndarray, switch: float) -> np.ndarray:
 
 RESULT = "struct<lang:string, score:double, spans:array<struct<lang:string, first_word:int, n_words:int>>>"
 _ARROW = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("spans", pa.list_(pa.struct([("lang", pa.string()), ("first_word", pa.int32()), ("n_words", pa.int32())])))])
-SLICE_WORDS = 4_000_000
+# Bytes of a slice times languages: of what is scored at once, of what Viterbi labels at once, and array cells of gram weights.
+SCORED, LABELLED, CELLS = 4 << 20, 32 << 20, 2 << 20
+
+
+def _runs(offsets: np.ndarray, small: int, wide: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of at most wide bytes; a row of more than small bytes is alone."""
+    long = np.flatnonzero(np.diff(offsets) > small)
+    at = 0
+    for r in [*long.tolist(), len(offsets) - 1]:
+        for i, j in tx.slices(offsets[at : r + 1], wide):
+            yield at + i, at + j
+        if r < len(offsets) - 1:
+            yield r, r + 1
+        at = r + 1
 
 
-def predict(model: Model, column: pa.Array, switch: float = SWITCH) -> pa.Array:
+def predict(model: Model, column: pa.Array, switch: float = SWITCH, scored_bytes: int = SCORED, labelled_bytes: int = LABELLED) -> pa.Array:
     offsets, data = tx.column_bytes(column)
     n = len(offsets) - 1
     names, shares = np.full(n, "und", object), np.zeros(n)
     if not model.languages:
         return pa.array([{"lang": "und", "score": 0.0, "spans": []}] * n, _ARROW)
     span_counts, span_rows = np.zeros(n + 1, np.int32), []
-    wide = max(1 << 20, 4 * SLICE_WORDS // max(1, len(model.languages) // 4 + 1))
-    for lo, hi in tx.slices(offsets, wide):
-        parts = [model.words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]) for i, j in ((lo + i, lo + j) for i, j in tx.slices(offsets[lo : hi + 1]))]
+    small, wide = max(4096, scored_bytes // len(model.languages)), max(4096, labelled_bytes // len(model.languages))
+
+    def decide(r: int, votes: np.ndarray, every: float) -> None:
+        if every:
+            top = int(votes.argmax())
+            names[r] = model.languages[top if votes[top] > 0 else model.common]
+            shares[r] = votes[top] / every
+
+    for lo, hi in _runs(offsets, small, wide):
+        if offsets[hi] - offsets[lo] > small and hi == lo + 1:
+            label, first, votes, every = label_long(model, data[offsets[lo] : offsets[hi]], switch, small)
+            decide(lo, votes, every)
+            if every:
+                span_rows.append((label, first[:-1], np.diff(first)))
+                span_counts[hi] += len(label)
+            continue
+        parts = [model.words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]) for i, j in ((lo + i, lo + j) for i, j in tx.slices(offsets[lo : hi + 1], small))]
         scores, letters, known = (np.concatenate([p[k] for p in parts]) for k in range(3))
         first = np.append(0, np.cumsum(np.concatenate([np.diff(p[3]) for p in parts])))
         labels = viterbi(scores, first, switch)
         row = np.repeat(np.arange(hi - lo), np.diff(first))
-        votes = np.zeros((hi - lo, max(1, len(model.languages))))
+        votes = np.zeros((hi - lo, len(model.languages)))
         np.add.at(votes, (row[known], labels[known]), letters[known])
         every = np.bincount(row, weights=letters, minlength=hi - lo)
-        top = votes.argmax(axis=1)
         for r in range(hi - lo):
-            if every[r] == 0 or not model.languages:
-                continue
-            scored = votes[r, top[r]] > 0
-            names[lo + r] = model.languages[top[r] if scored else model.common]
-            shares[lo + r] = votes[r, top[r]] / every[r]
+            decide(lo + r, votes[r], every[r])
         lettered = every[row] > 0
-        edge = np.flatnonzero(lettered & np.append(True, (labels[1:] != labels[:-1]) | (row[1:] != row[:-1]))) if len(row) and model.languages else np.zeros(0, np.int64)
+        edge = np.flatnonzero(lettered & np.append(True, (labels[1:] != labels[:-1]) | (row[1:] != row[:-1]))) if len(row) else np.zeros(0, np.int64)
         if len(edge):
             stop = np.minimum(np.append(edge[1:], len(row)), first[1:][row[edge]])
             span_rows.append((labels[edge], edge - first[row[edge]], stop - edge))
@@ -182,7 +274,7 @@ def predict(model: Model, column: pa.Array, switch: float = SWITCH) -> pa.Array:
     # What the ranges call letters are letters; a text without any may still hold one of a range left out.
     for r in np.flatnonzero(names == "und").tolist():
         raw = data[offsets[r] : offsets[r + 1]]
-        if model.languages and len(raw) and raw.max(initial=0) >= 0x80 and any(ch.isalpha() for ch in raw.tobytes().decode("utf-8")):
+        if len(raw) and raw.max(initial=0) >= 0x80 and any(ch.isalpha() for ch in raw.tobytes().decode("utf-8")):
             names[r] = model.languages[model.common]
     label, begin, count = (np.concatenate([s[k] for s in span_rows]) if span_rows else np.zeros(0, np.int64) for k in range(3))
     spans = pa.StructArray.from_arrays([pa.array([model.languages[k] for k in label.tolist()], pa.string()), pa.array(begin.astype(np.int32)), pa.array(count.astype(np.int32))], fields=list(_ARROW.field("spans").type.value_type))

@@ -216,9 +216,10 @@ def jaccard_components(rows):
     return sorted((i, len(s), root(i)) for i, s in sets)
 
 
-@pytest.mark.parametrize("short, long_list, tile", [(32, 256, 1024), (2, 256, 1024), (1, 1, 4)])
-def test_ngram_join_equals_brute_force(docs, empty, monkeypatch, short, long_list, tile):
+@pytest.mark.parametrize("short, long_list, tile, hot", [(32, 256, 1024, 16), (2, 256, 1024, 16), (1, 1, 4, 16), (2, 256, 1024, -2), (1, 2, 4, -1)])
+def test_ngram_join_equals_brute_force(docs, empty, monkeypatch, short, long_list, tile, hot):
     frame, rows = docs
+    monkeypatch.setattr(ngram_join, "HOT_RANK", hot)
     monkeypatch.setattr(ngram_join, "SHORT", short)
     monkeypatch.setattr(ngram_join, "LIST", long_list)
     monkeypatch.setattr(ngram_join, "TILE", tile)
@@ -226,6 +227,18 @@ def test_ngram_join_equals_brute_force(docs, empty, monkeypatch, short, long_lis
     assert ngram_join.near_duplicates(empty).count() == 0
 
 
+def test_parity_sketches_never_exceed_the_difference():
+    draw = np.random.default_rng(14)
+    for n, m in ((1, 1), (60, 70), (100, 130), (500, 520), (3000, 2500)):
+        both = draw.integers(0, 1 << 63, n + m, dtype=np.uint64)
+        a, b = np.unique(both[:n]), np.unique(both[n // 2 : n // 2 + m])
+        words, edges = ngram_join.parities(np.repeat([0, 1], [len(a), len(b)]), np.append(a, b), np.array([len(a), len(b)]))
+        x, y = sorted((words[: edges[1]], words[edges[1] :]), key=len)
+        while len(y) > len(x):
+            y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+        assert int(np.bitwise_count(x ^ y).sum()) <= len(np.setxor1d(a, b))
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(k, k + 1) for k in range(10, 60)] + [(100, k) for k in range(101, 140)] + [(7, 7)]
     got = dict(map(tuple, components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()))
@@ -281,6 +294,25 @@ def test_language(spark, empty):
     assert nothing.lang == "und"
 
 
+def test_language_of_long_texts_in_parts(spark):
+    import pyarrow as pa
+
+    draw = random.Random(21)
+    sounds = {"en": ["the", "ing", "of", "er"], "fr": ["eau", "ai", "ou", "é"], "ru": ["ов", "ие", "на"]}
+    say = lambda g, n: " ".join("".join(draw.choice(sounds[g]) for _ in range(3)) for _ in range(n))
+    model = langid.train(spark.createDataFrame([(k, say(g, 40), g) for k, g in enumerate(["en", "fr", "ru"] * 30)], "doc_id long, text string, lang string"))
+    texts = [" ".join(say(draw.choice(list(sounds)), draw.randrange(1, 400)) for _ in range(12)) for _ in range(8)] + [None, "", say("en", 3), "12 " * 9000, "漢字 " * 4000]
+    whole = langid.predict(model, pa.array(texts)).to_pylist()
+    split = langid.predict(model, pa.array(texts), scored_bytes=1, labelled_bytes=1).to_pylist()
+    assert [r["lang"] for r in whole] == [r["lang"] for r in split] and [r["spans"] for r in whole] == [r["spans"] for r in split]
+    assert all(abs(a["score"] - b["score"]) < 1e-9 for a, b in zip(whole, split, strict=True))
+    word = langid.predict(model, pa.array(["the" * 5000]), scored_bytes=1).to_pylist()[0]
+    assert word["lang"] == "en" and word["score"] == 1 and word["spans"][0]["n_words"] == 4
+    data = np.frombuffer(("é" * 3000 + " a" * 3000).encode(), np.uint8)
+    cuts = langid.parts_of(data, 100)
+    assert b"".join(bytes(data[a:b]) for a, b in cuts) == bytes(data) and all(b - a <= 100 and bytes(data[a:b]).decode("utf-8") is not None for a, b in cuts)
+
+
 def test_viterbi_equals_a_plain_one():
     draw = np.random.default_rng(9)
     first = np.array([0, 5, 5, 17, 18])
