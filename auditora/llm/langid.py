@@ -217,7 +217,7 @@ def viterbi(scores: np.ndarray, first: np.ndarray, switch: float) -> np.ndarray:
 RESULT = "struct<lang:string, score:double, spans:array<struct<lang:string, first_word:int, n_words:int>>>"
 _ARROW = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("spans", pa.list_(pa.struct([("lang", pa.string()), ("first_word", pa.int32()), ("n_words", pa.int32())])))])
 # Bytes of a slice times languages: of what is scored at once, of what Viterbi labels at once, and array cells of gram weights.
-SCORED, LABELLED, CELLS = 4 << 20, 32 << 20, 2 << 20
+SCORED, LABELLED, CELLS = 4 << 20, 16 << 20, 2 << 20
 
 
 def _runs(offsets: np.ndarray, small: int, wide: int) -> Iterator[tuple[int, int]]:
