@@ -1,13 +1,15 @@
 """Exact Jaccard self-join of word-shingle sets by prefixes and pivots, and its components.
 
-Equal sets are one class.  Shingles have a global order, rare ones first: by a
-count sketch of fixed size over the whole corpus, then by hash.  Sets that link
+Equal sets are one class, known by a 64-bit hash.  Shingles have a global order,
+rare ones first: by a count sketch of fixed size over the whole corpus, then by
+hash.  Sets that link
 share a shingle of their prefixes in that order, so the prefixes are posted.
 To keep a group of near copies from emitting all its pairs:
 
 1. pairs of a short list (fewer than SHORT sets) are counted in it, and the
    counts of all short lists are summed per pair; a pair goes on if the sum, with
-   the long lists both might share, leaves room for a link;
+   the long lists both might share, leaves room for a link, and if the sets'
+   parity sketches differ in few enough bits;
 2. a long list is tied to its least set, the pivot, and the whole overlaps of
    pivot and members are counted; those of a similarity of FAMILY go on.  By the
    triangle inequality of the Jaccard distance a link that is left joins two
@@ -47,8 +49,10 @@ from .shared import bucketed, passing, written
 
 PERCENT = 80
 FAMILY = 25
-CELL_BITS = 18
-BLOCKS = 16
+CELL_BITS = 22
+BLOCKS = 64
+# Cells that hold 2 ** HOT_RANK beyond chance have their lists dealt out in parts.
+HOT_RANK = 16
 TILE = 1024
 TILE_SHINGLES = 1 << 20
 STAR = 256
@@ -62,18 +66,36 @@ def needed(n: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * n // 100)
 
 
+def parities(row: np.ndarray, key: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words of each row's parity sketch, and their edges (rows + 1): bit h mod m flips for every shingle hash h.
+
+    m is a power of two of n to 2 n bits, 64 at least.  Two sets differ in as many shingles as their sketches in bits at least."""
+    words = np.int64(1) << np.ceil(np.log2(np.maximum(1, counts / 64))).astype(np.int64)
+    edges = np.append(0, np.cumsum(words))
+    out = np.zeros(edges[-1], np.uint64)
+    place = key & ((words << 6).astype(np.uint64) - np.uint64(1))[row]
+    np.bitwise_xor.at(out, edges[row] + (place >> np.uint64(6)).astype(np.int64), np.uint64(1) << (place & np.uint64(63)))
+    return out, edges
+
+
+_DESCRIBED = "doc_id long, mark long, n_shingles long, sig long, parity array<long>, part int, block int, cells binary"
+
+
 def _describe_task(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    """Each document's set size and signature, then the task's sketch in blocks."""
-    cells = np.zeros(1 << CELL_BITS, np.int64)
-    names = ["doc_id", "mark", "n_shingles", "sig", "part", "block", "cells"]
+    """Each document's set size, signature and parity sketch, then the task's count sketch in blocks."""
+    cells = np.zeros(1 << CELL_BITS, np.int32)
+    names = [f.split()[0] for f in _DESCRIBED.split(", ")]
     for batch in batches:
         for i, j, row, key in sh.column_shingles(batch.column(2), words):
             counts, sig = sh.signatures(row, key, j - i)
-            cells += np.bincount((key >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=len(cells))
+            np.add.at(cells, (key >> np.uint64(64 - CELL_BITS)).astype(np.int64), np.int32(1))
             size = j - i
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, size), batch.column(1).slice(i, size), pa.array(counts.astype(np.int64)), pa.array(tx.signed(sig)), pa.nulls(size, pa.int32()), pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary())], names=names)
+            parity, edges = parities(row, key, counts)
+            sketch = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(tx.signed(parity)))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, size), batch.column(1).slice(i, size), pa.array(counts.astype(np.int64)), pa.array(tx.signed(sig)), sketch, pa.nulls(size, pa.int32()), pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary())], names=names)
     part = TaskContext.get().partitionId()
-    yield pa.RecordBatch.from_arrays([*[pa.nulls(BLOCKS, pa.int64())] * 4, pa.array([part] * BLOCKS, pa.int32()), pa.array(range(BLOCKS), pa.int32()), pa.array([c.tobytes() for c in np.split(cells, BLOCKS)], pa.binary())], names=names)
+    for k, own in enumerate(np.split(cells, BLOCKS)):
+        yield pa.RecordBatch.from_arrays([*[pa.nulls(1, pa.int64())] * 4, pa.nulls(1, pa.list_(pa.int64())), pa.array([part], pa.int32()), pa.array([k], pa.int32()), pa.array([own.astype(np.int64).tobytes()], pa.binary())], names=names)
 
 
 def _sum_cells(table: pa.Table) -> pa.Table:
@@ -81,15 +103,14 @@ def _sum_cells(table: pa.Table) -> pa.Table:
     return pa.table({"block": table.column("block")[:1], "cells": pa.array([total.tobytes()], pa.binary())})
 
 
-def rarity(cells: np.ndarray) -> np.ndarray:
+def rarity(cells: np.ndarray, mean: float) -> np.ndarray:
     """For each cell 0, or the logarithm of what it holds beyond chance: hot shingles come last in the order."""
-    mean = cells.mean() if len(cells) else 0.0
     excess = cells - (mean + 6 * mean**0.5)
     return np.where(excess > 0, 1 + np.log2(np.maximum(1, excess)), 0).astype(np.uint8)
 
 
 def _prefix_task(batches: Iterator[pa.RecordBatch], words: int, percent: int, ranks: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """(tok, n, sig) of the prefixes, once for each set that the task meets."""
+    """(tok, part, n, sig) of the prefixes, once for each set that the task meets; part is not 0 where the list is hot."""
     seen: set[int] = set()
     for batch in batches:
         for i, j, row, key in sh.column_shingles(batch.column(0), words):
@@ -103,15 +124,18 @@ def _prefix_task(batches: Iterator[pa.RecordBatch], words: int, percent: int, ra
             row, key = row[keep], key[keep]
             if not len(row):
                 continue
-            order = np.lexsort((key, ranks[(key >> np.uint64(64 - CELL_BITS)).astype(np.int64)], row))
-            row, key = row[order], key[order]
+            rank = ranks[(key >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
+            order = np.lexsort((key, rank, row))
+            row, key, rank = row[order], key[order], rank[order]
             size = np.where(fresh, counts, 0)
             place = np.arange(len(row)) - (np.cumsum(size) - size)[row]
             keep = place < (counts - needed(counts, percent) + 1)[row]
-            row, key = row[keep], key[keep]
+            row, key, rank = row[keep], key[keep], rank[keep]
+            parts = np.int64(1) << np.clip(rank.astype(np.int64) - HOT_RANK, 0, 62)
+            dealt = np.where(parts > 1, 1 + (tx.mix(sig)[row] & (parts - 1).astype(np.uint64)).astype(np.int64), 0)
             for a in range(0, len(row), 1 << 18):
                 part = slice(a, a + (1 << 18))
-                yield pa.RecordBatch.from_arrays([pa.array(tx.signed(key[part])), pa.array(counts[row[part]].astype(np.int32)), pa.array(tx.signed(sig[row[part]]))], names=["tok", "n", "sig"])
+                yield pa.RecordBatch.from_arrays([pa.array(tx.signed(key[part])), pa.array(dealt[part]), pa.array(counts[row[part]].astype(np.int32)), pa.array(tx.signed(sig[row[part]]))], names=["tok", "part", "n", "sig"])
 
 
 def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -239,25 +263,46 @@ class NgramJoin:
     def __init__(self, docs: DataFrame, percent: int = PERCENT, words: int = sh.WORDS, id_col: str = "doc_id", text_col: str = "text") -> None:
         self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_mark(id_col, text_col).alias("mark"), F.col(text_col).cast("string").alias("text"))
         self.percent, self.words = percent, words
-        described = written(self.docs.mapInArrow(lambda b: _describe_task(b, words), "doc_id long, mark long, n_shingles long, sig long, part int, block int, cells binary"), "shingle-sets")
+        described = written(self.docs.mapInArrow(lambda b: _describe_task(b, words), _DESCRIBED), "shingle-sets")
         self.sets = described.filter("block IS NULL").select("doc_id", "mark", "n_shingles", "sig")
-        self.ranks = self._ranks(described.filter("block IS NOT NULL").select("part", "block", "cells"))
+        # One row a class: equal sets have equal sketches.
+        one = F.min(F.struct("mark", F.col("n_shingles").alias("n"), "parity")).alias("c")
+        self.classes = written(described.filter("block IS NULL AND n_shingles > 0").groupBy("sig").agg(one).select("sig", "c.*"), "set-classes")
+        self.shingles = self.sets.agg(F.sum("n_shingles")).first()[0] or 0
+        self.ranks = self._ranks(described.filter("block IS NOT NULL").select("part", "block", "cells"), self.shingles)
 
     @staticmethod
-    def _ranks(sketches: DataFrame) -> np.ndarray:
+    def _ranks(sketches: DataFrame, total: int) -> np.ndarray:
         """Sums the tasks' sketches, some dozens at a time, and ranks cells by rarity: a table of fixed size."""
-        schema = "block int, cells binary"
+        schema, mean = "block int, cells binary", total / (1 << CELL_BITS)
+
+        def ranked(table: pa.Table) -> pa.Table:
+            cells = np.frombuffer(_sum_cells(table).column("cells")[0].as_buffer(), np.int64)
+            return pa.table({"block": table.column("block")[:1], "cells": pa.array([rarity(cells, mean).tobytes()], pa.binary())})
+
         some = sketches.withColumn("part", F.floor(F.col("part") / 64)).groupBy("block", "part").applyInArrow(_sum_cells, schema)
-        whole = some.groupBy("block").applyInArrow(_sum_cells, schema).orderBy("block").collect()
+        whole = some.groupBy("block").applyInArrow(ranked, schema).orderBy("block").collect()
         if not whole:
             return np.zeros(1 << CELL_BITS, np.uint8)
-        return rarity(np.concatenate([np.frombuffer(r["cells"], np.int64) for r in whole]))
+        return np.concatenate([np.frombuffer(r["cells"], np.uint8) for r in whole])
 
     def _texts(self, wanted: DataFrame) -> DataFrame:
-        """sig, n and text of one document of each wanted class; one shuffle of the texts."""
-        own = self.sets.filter("n_shingles > 0").groupBy("sig").agg(F.min("mark").alias("mark"), F.max("n_shingles").alias("n"))
-        own = own.join(wanted.select("sig").distinct(), "sig", "left_semi")
-        return self.docs.select("mark", "text").join(own, "mark").dropDuplicates(["mark", "sig"]).select("sig", "n", "text")
+        """sig, n and text of one document of each wanted class; one shuffle of the wanted texts."""
+        own = self.classes.select("sig", "mark", "n").join(wanted.select("sig").distinct(), "sig", "left_semi")
+        rows = self.docs.select("mark", "text").join(own, "mark").select("sig", "n", "text")
+        # A shingle has some ten bytes of its own.
+        return bucketed(rows, ["sig"], "texts", 10 * self.shingles, distinct=True)
+
+    def _near(self, pairs: DataFrame) -> DataFrame:
+        """Those of the pairs (a, b) that their parity sketches leave a chance to link; none that links is lost."""
+        own = lambda c: self.classes.select(F.col("sig").alias(c), F.col("n").alias(f"n{c}"), F.col("parity").alias(f"p{c}"))
+        both = pairs.join(own("a"), "a").join(own("b"), "b")
+        swap = F.size("pa") > F.size("pb")
+        both = both.withColumns({"s": F.when(swap, F.col("pb")).otherwise(F.col("pa")), "l": F.when(swap, F.col("pa")).otherwise(F.col("pb"))})
+        # The longer sketch is folded onto the shorter's length.
+        folded = F.transform("s", lambda x, i: F.aggregate(F.sequence(i, F.size("l") - 1, F.size("s")), x, lambda t, k: t.bitwiseXOR(F.get("l", k))))
+        differ = F.aggregate(folded, F.lit(0), lambda t, x: t + F.bit_count(x))
+        return both.filter((100 + self.percent) * differ <= (100 - self.percent) * (F.col("na") + F.col("nb"))).select("a", "b")
 
     def _counted(self, members: DataFrame, texts: DataFrame, task: Callable, schema: str) -> DataFrame:
         """Runs task over the groups (key1, key2, key3) of members, whose texts come by sig."""
@@ -267,7 +312,7 @@ class NgramJoin:
     def _stars(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
         """a, b, inter, uni of the pairs (a, b): groups of at most about STAR members about a."""
         words = self.words
-        heavy = pairs.groupBy("a").agg(F.ceil(F.count("*") / STAR).alias("parts"))
+        heavy = written(pairs.groupBy("a").agg(F.ceil(F.count("*") / STAR).alias("parts")), "stars")
         members = pairs.join(heavy, "a").select(F.col("a").alias("key1"), F.pmod(F.xxhash64("b"), F.col("parts")).alias("key2"), F.lit(0).cast("long").alias("key3"), F.col("b").alias("sig"))
         members = members.unionByName(members.select("key1", "key2", "key3", F.col("key1").alias("sig")).distinct())
         return written(self._counted(members, texts, lambda b: _star_task(b, words), "a long, b long, inter long, uni long"), "overlaps")
@@ -276,7 +321,7 @@ class NgramJoin:
         """Links (a, b) inside the groups (family, sig), in tiles of two blocks of about TILE sets and TILE_SHINGLES shingles at most."""
         words, percent = self.words, self.percent
         groups = groups.join(texts.select("sig", "n"), "sig")
-        size = groups.groupBy("family").agg(F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("n") / TILE_SHINGLES)).alias("blocks"))
+        size = written(groups.groupBy("family").agg(F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("n") / TILE_SHINGLES)).alias("blocks")), "tiles")
         placed = groups.join(size, "family").withColumn("own", F.pmod(F.xxhash64("sig"), F.col("blocks")))
         other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
         members = placed.select("family", "own", "sig", other).select(F.col("family").alias("key1"), F.least("own", "other").alias("key2"), F.greatest("own", "other").alias("key3"), "sig")
@@ -294,14 +339,15 @@ class NgramJoin:
     def links(self) -> DataFrame:
         """Links (a, b) between classes that join all of each component."""
         words, percent, ranks = self.words, self.percent, self.ranks
-        rows = self.docs.select("text").mapInArrow(lambda b: _prefix_task(b, words, percent, ranks), "tok long, n int, sig long")
-        # The least set of a list is known as the sorted list streams by; nothing is gathered.
-        order = W.partitionBy("tok").orderBy("n", "sig")
+        rows = self.docs.select("text").mapInArrow(lambda b: _prefix_task(b, words, percent, ranks), "tok long, part long, n int, sig long")
+        # The least set of a list, or of a part of a hot one, is known as the sorted rows stream by; nothing is gathered.
+        order = W.partitionBy("tok", "part").orderBy("n", "sig")
         running = order.rowsBetween(W.unboundedPreceding, W.currentRow)
         rows = rows.withColumn("pivot", F.first(F.struct("n", "sig")).over(running)).withColumn("again", F.lag("sig").over(order).eqNullSafe(F.col("sig")))
-        lists = written(rows.filter(~F.col("again") & (F.col("pivot.sig") != F.col("sig"))).select("tok", "n", "sig", F.col("pivot.n").alias("pn"), F.col("pivot.sig").alias("psig")), "lists")
-        sizes = lists.groupBy("tok").agg(F.count("*").alias("size"))
-        lists = written(lists.join(sizes, "tok"), "sized-lists")
+        lists = written(rows.filter(~F.col("again") & ((F.col("pivot.sig") != F.col("sig")) | (F.col("part") > 0))).select("tok", "n", "sig", F.col("pivot.n").alias("pn"), F.col("pivot.sig").alias("psig")), "lists")
+        # Tables of one row a key are written before joins, so that Spark may split the other side's hot keys.
+        sizes = written(lists.groupBy("tok").agg(F.count("*").alias("size"), F.min(F.struct("pn", "psig")).alias("p")), "list-sizes")
+        lists = written(lists.select("tok", "n", "sig").join(sizes.select("tok", "size", "p.*"), "tok").filter("sig <> psig"), "sized-lists")
         short, long = lists.filter(F.col("size") < SHORT), lists.filter(F.col("size") >= SHORT)
         # Of how many long lists a set is a member: shingles in common that short lists do not count.
         hot = long.select("sig", "tok").unionByName(long.select(F.col("psig").alias("sig"), "tok").distinct()).groupBy("sig").agg(F.count("*").alias("hot"))
@@ -314,7 +360,7 @@ class NgramJoin:
         counted = both.groupBy(F.col("x.sig").alias("a"), F.col("y.sig").alias("b")).agg(F.count("*").alias("common"), F.first("x.n").alias("n"), F.first("y.n").alias("m"))
         counted = counted.join(hot.select(F.col("sig").alias("a"), F.col("hot").alias("ha")), "a", "left").join(hot.select(F.col("sig").alias("b"), F.col("hot").alias("hb")), "b", "left")
         more = F.least(F.coalesce("ha", F.lit(0)), F.coalesce("hb", F.lit(0)))
-        edges = counted.filter(self._may_link(F.col("common") + more, F.col("n"), F.col("m"))).select("a", "b")
+        edges = self._near(counted.filter(self._may_link(F.col("common") + more, F.col("n"), F.col("m"))).select("a", "b"))
 
         texts = certain = None
         groups: list[DataFrame] = []
@@ -324,20 +370,21 @@ class NgramJoin:
             pairs = long.filter(100 * F.col("pn") >= FAMILY * F.col("n")).select(F.col("psig").alias("a"), F.col("sig").alias("b")).distinct()
             edges = written(edges, "pairs")
             wanted = edges.select(F.col("a").alias("sig")).unionByName(edges.select(F.col("b").alias("sig"))).unionByName(long.select("sig")).unionByName(long.select(F.col("psig").alias("sig")))
-            texts = bucketed(self._texts(wanted), ["sig"], "texts")
+            texts = self._texts(wanted)
             stars = self._stars(pairs, texts)
             certain = stars.filter(100 * F.col("inter") >= percent * F.col("uni")).select("a", "b")
             known = long.join(stars.select(F.col("a").alias("psig"), F.col("b").alias("sig"), "inter", "uni"), ["psig", "sig"], "left")
             share = F.coalesce(100 * F.col("inter") / F.col("uni"), F.lit(0.0))
             rest = known.withColumn("share", share).filter(F.col("share") < FAMILY + 100 - percent).select("tok", "n", "sig", "share")
             of_list = rest.groupBy("tok").agg(F.min("share").alias("least"), F.count("*").alias("size")).filter((F.col("least") < FAMILY) & (F.col("size") > 1))
+            of_list = written(of_list, "open-lists")
             rest = written(rest.join(of_list.select("tok", "size"), "tok"), "rest")
             every = lists.select("sig", "tok").unionByName(lists.select(F.col("psig").alias("sig"), "tok").distinct()).groupBy("sig").agg(F.count("*").alias("lists"))
             few = rest.filter(F.col("size") <= LIST).join(every, "sig")
             x, y = few.alias("x"), few.alias("y")
             may = self._may_link(F.least("x.lists", "y.lists"), F.col("x.n"), F.col("y.n"))
             left = x.join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("x.sig") < F.col("y.sig")) & (F.least("x.share", "y.share") < FAMILY) & may)
-            edges = edges.unionByName(left.select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b"))).distinct()
+            edges = edges.unionByName(self._near(left.select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b")).distinct())).distinct()
             # Two links make a similarity of 2 percent - 100 at least: members that link with the pivot can only
             # tie others of that similarity to it, and the rest are compared among themselves.
             share = 100 * F.col("inter") / F.col("uni")
@@ -348,7 +395,7 @@ class NgramJoin:
         edges = written(edges, "candidates")
         family = written(connected_components(edges).select(F.col("node").alias("sig"), F.col("component").alias("family")), "families")
         if texts is None:
-            texts = bucketed(self._texts(family), ["sig"], "texts")
+            texts = self._texts(family)
         large = family.groupBy("family").agg(F.count("*").alias("size")).filter(F.col("size") > LIST).select("family")
         single = edges.join(family.join(large, "family").select(F.col("sig").alias("a")), "a", "left_semi")
         singly = self._stars(single, texts).filter(100 * F.col("inter") >= percent * F.col("uni")).select("a", "b")
@@ -375,7 +422,7 @@ class NgramJoin:
     def components(self) -> DataFrame:
         """doc_id, n_shingles, component_id (least document reachable by links, itself included)."""
         joined = self._classes("doc_id", "n_shingles")
-        least = joined.filter("group IS NOT NULL").groupBy("group").agg(F.min("doc_id").alias("least"))
+        least = written(joined.filter("group IS NOT NULL").groupBy("group").agg(F.min("doc_id").alias("least")), "components", keep=True)
         return joined.join(least, "group", "left").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
 
 

@@ -10,8 +10,10 @@ from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Path and, if it has one, catalog name of the tables that the innermost open block of passing() has written.
-_passing: ContextVar[list[tuple[str, str | None]] | None] = ContextVar("passing", default=None)
+# Paths that the innermost open block of passing() has written, and those that outlive their block.
+_passing: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+_kept: list[str] = []
+BUCKET_BYTES = 128 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -26,13 +28,19 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+def scratch_path(spark: SparkSession, name: str, keep: bool = True) -> str:
+    """A new path in the shared folder; with keep it outlives the open block of passing()."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    held = _passing.get()
+    (_kept if keep or held is None else held).append(path)
+    return path
 
 
-def _held(path: str, table: str | None = None) -> None:
-    if (held := _passing.get()) is not None:
-        held.append((path, table))
+def deleted(spark: SparkSession, paths: list[str]) -> None:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(conf).delete(at, True)
 
 
 @contextmanager
@@ -44,37 +52,34 @@ def passing(spark: SparkSession) -> Iterator[None]:
     finally:
         held = _passing.get()
         _passing.reset(token)
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-        for path, table in held:
-            if table:
-                spark.sql(f"DROP TABLE IF EXISTS {table}")
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(conf).delete(at, True)
+        deleted(spark, held)
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes what results of operators still read; call it once they have been written or collected."""
+    deleted(spark, _kept)
+    _kept.clear()
 
 
 def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """df as a Parquet table in the shared folder, reread: a lost executor costs no recomputation before it."""
     spark = df.sparkSession
-    path = scratch_path(spark, name)
-    if not keep:
-        _held(path)
+    path = scratch_path(spark, name, keep)
     df.write.option("compression", "zstd").parquet(path)
-    released(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def released(spark: SparkSession) -> None:
-    """Executors drop the shuffle files of finished steps only once the driver has collected their plans as garbage."""
-    spark.sparkContext._jvm.System.gc()
-
+def bucketed(df: DataFrame, keys: list[str], name: str, size: int, distinct: bool = False, keep: bool = False) -> DataFrame:
+    """df, of about size bytes, as a table in the shared folder, in buckets by keys: joins on them do not shuffle it again.
 
-def bucketed(df: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """df as a table in the shared folder, in buckets by keys: joins on them do not shuffle it again."""
+    With distinct one row of each key stays.  The catalog entry that a bucketed write needs goes at once."""
     spark = df.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = scratch_path(spark, name)
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+    path = scratch_path(spark, name, keep)
     table = path.rsplit("/", 1)[1].replace("-", "_")
-    _held(path, table)
-    df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).option("compression", "zstd").option("path", path).saveAsTable(table)
-    released(spark)
-    return spark.table(table)
+    dealt = df.repartition(buckets, *keys)
+    dealt = dealt.dropDuplicates(keys) if distinct else dealt
+    dealt.write.bucketBy(buckets, *keys).option("compression", "zstd").option("path", path).saveAsTable(table)
+    out = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return out

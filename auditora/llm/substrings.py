@@ -202,7 +202,8 @@ def _remove_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT, shard_words: int = SHARD_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, n_removed and kept (the words that stay, joined by one space)."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("mark"), F.col(text_col).cast("string").alias("text"))
-    texts = bucketed(texts, ["doc_id", "mark"], "texts")
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    texts = bucketed(texts, ["doc_id", "mark"], "texts", size, keep=True)
     found = texts.filter("doc_id IS NOT NULL").mapInArrow(lambda b: _segment_task(b, window, gram), "doc_id long, mark long, least long, seg long, start int, n int")
     shared = found.groupBy("least").agg(F.min("doc_id").alias("d0"), F.max("doc_id").alias("d1")).filter("d0 <> d1").select("least")
     # Read back from a table, so that Spark may split a hot minimizer's rows in the join.
