@@ -288,7 +288,8 @@ class NgramJoin:
 
     def _texts(self, wanted: DataFrame) -> DataFrame:
         """sig, n and text of one document of each wanted class; one shuffle of the wanted texts."""
-        own = self.classes.select("sig", "mark", "n").join(wanted.select("sig").distinct(), "sig", "left_semi")
+        # Written first, so that its size is known: texts are not shuffled by mark while it is small.
+        own = written(self.classes.select("sig", "mark", "n").join(wanted.select("sig").distinct(), "sig", "left_semi"), "wanted")
         rows = self.docs.select("mark", "text").join(own, "mark").select("sig", "n", "text")
         # A shingle has some ten bytes of its own.
         return bucketed(rows, ["sig"], "texts", 10 * self.shingles, distinct=True)
