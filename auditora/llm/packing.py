@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .tokens import Encoder, tokenizer_path
+from .tokens import tokenizer_path, worker_encoder
 
 WINDOW = 1024
 GROUP_TOKENS = 4 << 20
@@ -82,7 +82,7 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
 
 
 def _pack_task(batches: Iterator[pa.RecordBatch], path: str, window: int, end_id: int, group_tokens: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    encoder, sequence = Encoder(path), TaskContext.get().partitionId() << 33
+    encoder, sequence = worker_encoder(path), TaskContext.get().partitionId() << 33
     rows: list[tuple] = []
     rest: list[tuple] = []
     held = 0

@@ -32,7 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .shared import scratch_path
-from .tokens import Encoder, tokenizer_path
+from .tokens import tokenizer_path, worker_encoder
 
 BLOCK = 128
 PERCENTILE = 95
@@ -115,7 +115,7 @@ SEGMENTS = "part int, segment int, part_start long, n_tokens long, n_docs long,
 
 
 def _encode_task(batches: Iterator[pa.RecordBatch], path: str, end_id: int, limit: int) -> Iterator[pa.RecordBatch]:
-    encoder, part = Encoder(path), TaskContext.get().partitionId()
+    encoder, part = worker_encoder(path), TaskContext.get().partitionId()
     held: list[np.ndarray] = []
     names: list[int] = []
     tokens = start = segment = 0

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import os
 import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,11 +28,13 @@ from . import text as tx
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _BYTE_CHARS = {b: b for b in _PRINTED} | {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
-_SPACE = chr(_BYTE_CHARS[0x20])
+_LINE = chr(_BYTE_CHARS[0x0A])
 # Characters whose classes every Unicode version shares; chunks with others go to the library whole.
 _PLAIN = regex.compile(r"[\n\t\x20-\x7e\u00c0-\u024f]+")
+# The same letters as bytes, after one space or none: one piece each.
+_WORD = re.compile(rb" ?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|[\xc4-\xc8][\x80-\xbf]|\xc9[\x80-\x8f])+")
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
-MEMO_ENTRIES = 1_000_000
+MEMO_ENTRIES = 700_000
 SLICE_BYTES = 4 << 20
 
 _SOLID = np.zeros(256, bool)
@@ -80,7 +83,7 @@ def chunk_starts(data: np.ndarray, offsets: np.ndarray, added: np.ndarray | None
 
 
 class Encoder:
-    """Encodes Arrow text columns; one of these lives in each task."""
+    """Encodes Arrow text columns; its memo of chunks is bounded."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -93,8 +96,8 @@ class Encoder:
             raise ValueError("added tokens that take in or ask for what stands around them are not supported")
         self.added = {t.content: k for k, t in tokens.items()}
         # The longest of those that begin at a place, as in the library.
-        literals = sorted((t.encode("utf-8") for t in self.added), key=len, reverse=True)
-        self.literal = re.compile(b"|".join(map(re.escape, literals))) if literals else None
+        self.literals = {t.encode("utf-8") for t in self.added}
+        self.literal = re.compile(b"|".join(map(re.escape, sorted(self.literals, key=len, reverse=True)))) if self.literals else None
         self.forget()
 
     def forget(self) -> None:
@@ -105,12 +108,9 @@ class Encoder:
         self.lengths = np.zeros(0, np.int64)
 
     def _ids(self, part: str) -> list[int]:
-        """Ids of one chunk; plain chunks are split by the pattern here and only new pieces reach the model."""
+        """Ids of a chunk that is no word; plain ones are split by the pattern here and only new pieces reach the model."""
         if part in self.added:
             return [self.added[part]]
-        word = part[1:] if part[0] == " " else part
-        if word.isascii() and word.isalpha():
-            return [t.id for t in self.model.tokenize(part.replace(" ", _SPACE))]
         if not _PLAIN.fullmatch(part):
             return self.library.encode(part, add_special_tokens=False).ids
         out: list[int] = []
@@ -122,10 +122,14 @@ class Encoder:
         return out
 
     def _learn(self, parts: list[bytes]) -> None:
+        words = [part for part in parts if _WORD.fullmatch(part) and part not in self.literals]
+        written = b"\n".join(words).decode("latin-1").translate(_BYTE_CHARS).split(_LINE) if words else []
+        tokenize = self.model.tokenize
+        known = {part: [t.id for t in tokenize(word)] for part, word in zip(words, written, strict=True)}
         flat: list[int] = []
         lengths: list[int] = []
         for k, part in enumerate(parts, len(self.place)):
-            ids = self._ids(part.decode("utf-8"))
+            ids = known[part] if part in known else self._ids(part.decode("utf-8"))
             flat += ids
             lengths.append(len(ids))
             self.place[part] = k
@@ -170,3 +174,9 @@ class Encoder:
             ids, edge = self._slice(part, offsets[i : j + 1] - offsets[i])
             for a, b in zip(edge[:-1], edge[1:], strict=True):
                 yield ids[a:b] if end_id is None else np.append(ids[a:b], np.uint32(end_id))
+
+
+@lru_cache(maxsize=1)
+def worker_encoder(path: str) -> Encoder:
+    """The encoder of this Python worker: later tasks in it find the chunks that earlier ones have learned."""
+    return Encoder(path)
