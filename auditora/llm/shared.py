@@ -7,11 +7,12 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Paths that the innermost open block of passing() has written, and those that outlive their block.
-_passing: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+# Paths written in each open block of passing(), the innermost last, and those of no block.
+_blocks: ContextVar[tuple[list[str], ...]] = ContextVar("blocks", default=())
 _kept: list[str] = []
 BUCKET_BYTES = 128 << 20
 
@@ -23,16 +24,27 @@ def shared_dir(spark: SparkSession) -> str:
         return path.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    path = "file://" + tempfile.mkdtemp(prefix="auditora-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    return _local_dir()
+
+
+@cache
+def _local_dir() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="auditora-")
+
+
+def free_name(name: str, taken: list[str]) -> str:
+    """name, with underscores behind it where the columns taken have it already."""
+    low = {c.lower() for c in taken}
+    while name.lower() in low:
+        name += "_"
+    return name
 
 
-def scratch_path(spark: SparkSession, name: str, keep: bool = True) -> str:
-    """A new path in the shared folder; with keep it outlives the open block of passing()."""
+def scratch_path(spark: SparkSession, name: str, keep: bool = False) -> str:
+    """A new path in the shared folder.  It goes with the innermost open block of passing(); with keep, with the one around it."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    held = _passing.get()
-    (_kept if keep or held is None else held).append(path)
+    blocks = (_kept, *_blocks.get())
+    blocks[max(0, len(blocks) - 1 - keep)].append(path)
     return path
 
 
@@ -45,28 +57,30 @@ def deleted(spark: SparkSession, paths: list[str]) -> None:
 
 @contextmanager
 def passing(spark: SparkSession) -> Iterator[None]:
-    """Tables written inside go when the block ends, but for those written with keep; nothing lazy may outlive it."""
-    token = _passing.set([])
+    """Tables written inside go when the block ends, but for those written with keep; nothing lazy may read them after it."""
+    held: list[str] = []
+    token = _blocks.set((*_blocks.get(), held))
     try:
         yield
     finally:
-        held = _passing.get()
-        _passing.reset(token)
+        _blocks.reset(token)
         deleted(spark, held)
 
 
 def release(spark: SparkSession) -> None:
-    """Deletes what results of operators still read; call it once they have been written or collected."""
+    """Deletes what the results of operators read; call it once all of them have been written or collected."""
     deleted(spark, _kept)
     _kept.clear()
 
 
 def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """df as a Parquet table in the shared folder, reread: a lost executor costs no recomputation before it."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name, keep)
+    return written_at(df, scratch_path(df.sparkSession, name, keep))
+
+
+def written_at(df: DataFrame, path: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def bucketed(df: DataFrame, keys: list[str], name: str, size: int, distinct: bool = False, keep: bool = False) -> DataFrame:

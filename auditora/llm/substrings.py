@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from . import text as tx
 from .fm_index import FMIndex
-from .shared import bucketed, written
+from .shared import bucketed, passing, written
 
 WINDOW = 50
 GRAM = 8
@@ -199,8 +199,8 @@ def _remove_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(n), pa.array(n - np.bincount(row[keep], minlength=j - i)), kept], names=["doc_id", "n_words", "n_removed", "kept"])
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT, shard_words: int = SHARD_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_words, n_removed and kept (the words that stay, joined by one space)."""
+def _ranges(docs: DataFrame, window: int, gram: int, hot: int, shard_words: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The texts in buckets by document, and each document's ranges of words that go."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("mark"), F.col(text_col).cast("string").alias("text"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     texts = bucketed(texts, ["doc_id", "mark"], "texts", size, keep=True)
@@ -246,4 +246,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot:
     gone = rows.join(known, "seg").filter(F.col("earliest") < F.col("doc_id")).select("doc_id", "mark", begin.alias("begin"), (begin + F.col("run") + (window - 1)).alias("end"))
     # A document's own ranges, at most one a segment and run.
     ranges = gone.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("begin", "end")).alias("ranges"))
+    return texts, written(ranges, "ranges", keep=True)
+
+
+def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT, shard_words: int = SHARD_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_words, n_removed and kept (the words that stay, joined by one space)."""
+    with passing(docs.sparkSession):
+        texts, ranges = _ranges(docs, window, gram, hot, shard_words, id_col, text_col)
     return texts.join(ranges, ["doc_id", "mark"], "left").select("doc_id", "text", "ranges").mapInArrow(_remove_task, "doc_id long, n_words long, n_removed long, kept string")

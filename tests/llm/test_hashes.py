@@ -74,3 +74,25 @@ def test_operators_on_twins(spark, kind):
     rows = [(1, " ".join(plain[:1024])), (2, " ".join(other[:1024])), (3, " ".join([a] * 25 + [b] * 25)), (4, " ".join([b] * 25 + [a] * 25)), (5, " ".join([a] * 25 + [b] * 25))]
     got = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(map(tuple, got)) == sorted(kept_words(rows, 50))
+
+
+def test_scratch_goes_with_its_block(spark, tmp_path, monkeypatch):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from auditora.llm import mixing, shared
+
+    monkeypatch.setattr(shared, "shared_dir", lambda spark: f"file://{tmp_path}")
+    monkeypatch.setattr(shared, "_kept", [])
+    frame = spark.createDataFrame([(k, "a b c d e f g h " * 20, "s") for k in range(30)], "doc_id long, text string, source string")
+    tables = [t.name for t in spark.catalog.listTables()]
+    for operator, names in ((ngram_join.near_duplicates, {"classes", "components"}), (substrings.remove_repeats, {"texts", "ranges"})):
+        out = operator(frame)
+        assert {f.split("-")[0] for f in os.listdir(tmp_path)} == names
+        assert out.count() == 30
+        shared.release(spark)
+        assert os.listdir(tmp_path) == []
+    with shared.passing(spark):
+        assert mixing.mix(frame).agg(F.sum("copies")).first()[0] is not None and os.listdir(tmp_path)
+    assert os.listdir(tmp_path) == [] and [t.name for t in spark.catalog.listTables()] == tables

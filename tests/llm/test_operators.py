@@ -190,8 +190,15 @@ def test_lines_equal_brute_force(docs, empty):
         l = t.split("\n") if t is not None else []
         gone = {x for k in range(len(l) - 2) if first.get(tuple(l[k : k + 3]), (i, k)) != (i, k) for x in range(k, k + 3)}
         want.append((i, len(l), len(gone), None if t is None else "\n".join(x for k, x in enumerate(l) if k not in gone)))
-    got = lines.dedup_lines(frame.drop("n_removed")).select("doc_id", "n_lines", "n_removed", "text").collect()
+    out = lines.dedup_lines(frame)
+    assert out.columns == [*frame.columns, "n_lines", "n_removed_"]
+    got = out.select("doc_id", "n_lines", "n_removed_", "text").collect()
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    assert {r[0] for r in out.select("n_removed").collect()} == {"clash"}
+    taken = frame.withColumns({"n_lines": F.lit(7), "id": F.lit("x"), "hash": F.lit("y"), "row": F.lit("z"), "places": F.lit("p")})
+    again = lines.dedup_lines(taken)
+    assert sorted(map(tuple, again.select("doc_id", "n_lines_", "n_removed_", "text").collect()), key=str) == sorted(want, key=str)
+    assert {tuple(r) for r in again.select("n_lines", "id", "hash", "row", "places").collect()} == {(7, "x", "y", "z", "p")}
     assert lines.dedup_lines(empty).count() == 0
 
 
@@ -439,6 +446,21 @@ def test_stages_tell_repeated_rows_apart(spark):
     assert all(n <= 2 * there[k] for k, n in Counter(map(key, mixed)).items())
 
 
+def test_stages_with_clashing_columns_and_null_ids(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    names = ("row", "found", "mark", "alone", "number", "taken", "rows", "copy", "n_lines", "n_removed", "hash", "id", "size", "key")
+    odd = docs.withColumns({n: F.lit(n) for n in names}).withColumn("doc_id", F.when(F.col("doc_id") % 7 != 0, F.col("doc_id")))
+    odd = odd.unionByName(odd.filter("doc_id % 5 = 0"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, odd, "")
+        assert out.columns == odd.columns, name
+        rows = out.select("doc_id", *names).distinct().collect()
+        assert rows and {tuple(r)[1:] for r in rows} == {names} and any(r.doc_id is None for r in rows), name
+    assert corpus_pipeline.sequence_packing(spark, odd, "").count()
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
