@@ -361,25 +361,66 @@ def test_media_of_sources_sets_and_posters(spark):
     assert [r.caption for r in refs[:3]] == ["Cap", "Cap", None] and refs[4].alt == "P"
 
 
-def test_pivot_search_recall(spark):
-    draw = np.random.default_rng(10)
-    vectors = draw.normal(size=(3000, 16))
-    rows = [(k, v.tolist()) for k, v in enumerate(vectors)] + [(4000, None), (4020, [0.0] * 16), (4040, [float("nan")] * 16), (4060, [1.0, None]), (20, vectors[40].tolist())]
-    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    got = pivots.search(frame, F.col("vec_id") % 20 == 0, pivots=64, block_rows=1000, group_queries=40, keep_least=200, posted=32, read=32).toPandas()
+def recall(got, vectors, k=20):
     hit = total = 0
-    for q in range(0, 3000, 20):
-        if q == 20:
-            continue
+    for q in range(0, len(vectors), 20):
         score = vectors @ vectors[q]
         score[q] = -np.inf
-        want = set(np.argsort(-score)[:20].tolist())
-        hit += len(want & set(got[got.query_id == q].vec_id))
-        total += 20
-    assert hit / total >= 0.9 and not set(got.query_id) & {4000, 4020, 4040, 4060}
-    small = pivots.search(frame.filter("vec_id < 5 OR vec_id = 40"), F.col("vec_id") == 0)
-    assert small.count() == 5
-    assert pivots.search(frame.filter("vec_id >= 4000"), F.col("vec_id") % 20 == 0).count() == 0
+        want = np.argsort(-score, kind="stable")[:k]
+        own = got[got.query_id == q].sort_values("rank")
+        assert own["rank"].tolist() == list(range(1, k + 1)) and np.allclose(own["score"], score[own.vec_id], rtol=1e-12, atol=1e-12)
+        hit += len(set(want.tolist()) & set(own.vec_id))
+        total += k
+    return hit / total
+
+
+@pytest.mark.parametrize("sigma, rows, sample", [(0.0, 3000, 8192), (0.3, 3000, 1000), (0.5, 3000, 8192), (1.0, 3000, 1000), (0.0, 300, 8192), (1.5, 6000, 2000)])
+def test_pivot_search_recall(spark, sigma, rows, sample):
+    draw = np.random.default_rng(10)
+    vectors = draw.normal(size=(rows, 32))
+    vectors *= (np.exp(draw.normal(0, sigma, rows)) / np.linalg.norm(vectors, axis=1))[:, None]
+    frame = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    got = pivots.search(frame, F.col("vec_id") % 20 == 0, sample=sample, block_rows=1000, group_queries=40).toPandas()
+    assert recall(got, vectors) >= 0.9
+
+
+def test_pivot_index_prunes_and_a_pair_is_ranked_once():
+    draw = np.random.default_rng(15)
+    centres = draw.normal(size=(60, 16))
+    vectors = centres[draw.integers(0, 60, 4000)] + 0.2 * draw.normal(size=(4000, 16))
+    index = pivots.fit(vectors[:1000], np.linalg.norm(vectors, axis=1).max(), 20, 128)
+    assert index.touched < 0.25
+    depth = max(index.prefix, index.posted.max(), index.read)
+    orders, posted = pivots.permutation(vectors, index.pivots, depth), index.posted[index.ranges(vectors)]
+    asked = np.arange(0, 4000, 200)
+    met = []
+    for p in range(len(index.pivots)):
+        at, place = np.nonzero((orders[:, : posted.max()] == p) & (np.arange(posted.max()) < posted[:, None]))
+        reads = asked[(orders[asked][:, : index.read] == p).any(axis=1)]
+        q, r, _ = pivots.search_file(index, at, place, orders[at], vectors[at], reads, orders[reads], vectors[reads], 4000)
+        met += list(zip(reads[q].tolist(), at[r].tolist(), strict=True))
+    assert len(met) == len(set(met)) and len(met) < 0.3 * len(asked) * len(vectors)
+    for length in (1, 5, 127, 128):
+        near = -np.round(vectors[:50] / np.linalg.norm(vectors[:50], axis=1, keepdims=True) @ index.pivots.T, 12)
+        assert (pivots.permutation(vectors[:50], index.pivots, length) == np.argsort(near, axis=1, kind="stable")[:, :length]).all()
+
+
+def test_pivot_search_edges(spark):
+    draw = np.random.default_rng(16)
+    vectors = draw.normal(size=(60, 8)).round(1)
+    rows = [(k, v.tolist(), "x") for k, v in enumerate(vectors)] + [(4000, None, "x"), (4020, [0.0] * 8, "x"), (4040, [float("nan")] * 8, "x"), (4060, [1.0, None], "x"), (4080, [1.0, 2.0], "x"), (4081, [0.5, -1.0], "x"), (20, vectors[40].tolist(), "x"), (None, vectors[3].tolist(), "x"), (4100, [2.0], "x")]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score string")
+    got = pivots.search(frame, F.col("vec_id") % 20 == 0).toPandas()
+    assert {*got.query_id} == {0, 20, 40, 4080}
+    assert got[got.query_id == 4080][["rank", "vec_id", "score"]].values.tolist() == [[1, 4081, -1.5]]
+    own = got[got.query_id == 0].sort_values("rank")
+    assert own["rank"].tolist() == list(range(1, 21)) and [tuple(x) for x in own[["score", "vec_id"]].values] == sorted([tuple(x) for x in own[["score", "vec_id"]].values], key=lambda x: (-x[0], x[1]))
+    small = frame.filter("vec_id < 5 OR vec_id = 40")
+    assert sorted(r.vec_id for r in pivots.search(small, F.col("vec_id") == 0).collect()) == [1, 2, 3, 4, 40]
+    assert pivots.search(frame.filter("vec_id = 4100"), F.col("vec_id") % 20 == 0).count() == 0
+    assert pivots.search(frame.filter("vec_id IN (4000, 4020, 4040, 4060)"), F.col("vec_id") % 20 == 0).count() == 0
+    floats = spark.createDataFrame([(k, v.tolist(), 1) for k, v in enumerate(vectors)], "vec_id int, embedding array<float>, hash int")
+    assert recall(pivots.search(floats, F.col("vec_id") % 20 == 0).toPandas(), vectors.astype(np.float32).astype(float)) >= 0.9
 
 
 def test_licenses(spark):
