@@ -4,7 +4,8 @@ Parsing yields, for every page, an ordered array of structs: texts, and media
 references with their captions and alternative texts.  A reference names its
 payload by SHA-256 digest ("sha256:..."); a join on the digest resolves it
 against a media store and keeps places and captions.  The store holds media as
-binary PGM images, 8 bits a sample, SIDE samples a line.
+binary PGM images, 8 bits a sample, SIDE samples a line, the number of bytes
+before padding in a comment.
 
 A video or audio without src has that of its first source element, as its place
 is one; an img without src has the first candidate of its srcset, or else of the
@@ -13,8 +14,9 @@ sources and candidates show the same medium and are not references.
 
 Edge cases: a null or empty page has an empty sequence; references that name no
 digest, or one that the store lacks, stay unresolved (null payload columns);
-repeated payloads are stored once for each task that meets them and resolved
-once; unclosed tags end with the page; other columns are not read.
+repeated payloads are stored once for each batch that meets them and resolved
+once; unclosed tags end with the page; pages of any length are parsed whole;
+other columns are not read whatever their names.
 """
 
 from __future__ import annotations
@@ -29,11 +31,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import scratch_path
+from .shared import scratch_path, written
 
 SIDE = 24
 UNIT = SIDE * SIDE
 PAD = 255
+PAGES = 500
 SKIP = frozenset({"script", "style", "template", "noscript"})
 BREAK = frozenset("address article aside blockquote body br dd div dl dt footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table td th title tr ul".split())
 MEDIA = {"img": "image", "video": "video", "audio": "audio"}
@@ -142,16 +145,26 @@ def interleave(html: Column) -> Column:
 
     @F.arrow_udf(SEQUENCE)
     def parsed(column: pa.Array) -> pa.Array:
-        out = []
-        for page in column.to_pylist():
-            parser = _Interleaver()
-            parser.feed(page or "")
-            out.append(parser.result())
-        return pa.array(out, pa.list_(_ITEM))
+        out = [pa.array([], pa.list_(_ITEM))]
+        for a in range(0, len(column), PAGES):
+            rows = []
+            for page in column.slice(a, PAGES).to_pylist():
+                parser = _Interleaver()
+                parser.feed(page or "")
+                rows.append(parser.result())
+            out.append(pa.array(rows, pa.list_(_ITEM)))
+        return pa.concat_arrays(out)
 
     return parsed(html)
 
 
+def page_of(text: Column, ref: Column, alt: Column, caption: Column) -> Column:
+    """An HTML page: a paragraph for every line of text, then a figure with the medium ref."""
+    escape = lambda c: F.replace(F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;")), F.lit('"'), F.lit("&quot;"))
+    body = F.replace(escape(F.coalesce(text, F.lit(""))), F.lit("\n"), F.lit("</p><p>"))
+    return F.concat(F.lit("<article><p>"), body, F.lit('</p><figure><img src="'), ref, F.lit('" alt="'), escape(alt), F.lit('"><figcaption>'), escape(caption), F.lit("</figcaption></figure></article>"))
+
+
 def media_refs(pages: DataFrame, id_col: str, sequence_col: str = "sequence") -> DataFrame:
     """One row per media reference: page, position, kind, digest (null if it names none), alt and caption."""
     item = pages.select(F.col(id_col), F.explode(sequence_col).alias("item")).filter("item.kind <> 'text'")
@@ -160,21 +173,24 @@ def media_refs(pages: DataFrame, id_col: str, sequence_col: str = "sequence") ->
 
 
 def resolve(refs: DataFrame, media: DataFrame) -> DataFrame:
-    """refs with the columns of media joined by digest, whose rows are one per digest first."""
-    return refs.join(media.dropDuplicates(["digest"]), "digest", "left")
+    """refs with the columns of media joined by digest.
+
+    One row a digest is written first, so that Spark may split a digest with very many references."""
+    return refs.join(written(media.dropDuplicates(["digest"]), "media-by-digest"), "digest", "left")
 
 
-def to_pgm(payload: bytes) -> bytes:
-    """payload, a positive multiple of UNIT, as a binary grey map of SIDE samples a line."""
-    return b"P5\n%d %d\n255\n" % (SIDE, len(payload) // SIDE) + payload
+def to_pgm(payload: bytes, size: int) -> bytes:
+    """payload, a positive multiple of UNIT, as a binary grey map of SIDE samples a line; size bytes of it are content."""
+    return b"P5\n# %d bytes\n%d %d\n255\n" % (size, SIDE, len(payload) // SIDE) + payload
 
 
-def from_pgm(stored: bytes) -> bytes:
-    magic, size, most, samples = stored.split(b"\n", 3)
-    width, height = map(int, size.split())
+def from_pgm(stored: bytes) -> tuple[bytes, int]:
+    """The samples, and how many of them are content."""
+    magic, note, shape, most, samples = stored.split(b"\n", 4)
+    width, height = map(int, shape.split())
     if magic != b"P5" or most != b"255" or len(samples) != width * height:
         raise ValueError("not a grey map of 8-bit samples")
-    return samples
+    return samples, int(note.split()[1])
 
 
 def padded(content: bytes) -> bytes:
@@ -199,7 +215,7 @@ def _store_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if digest not in seen:
                 seen.add(digest)
                 digests.append(digest)
-                stored.append(to_pgm(padded(content)))
+                stored.append(to_pgm(padded(content), len(content)))
                 size += len(stored[-1])
             if size > 8 << 20:
                 yield pa.RecordBatch.from_arrays([pa.array(digests), pa.array(stored, pa.binary())], names=["digest", "media"])
@@ -217,17 +233,17 @@ def store(contents: DataFrame, path: str | None = None) -> DataFrame:
     return contents.sparkSession.read.schema("digest string, media binary").parquet(path)
 
 
-MEASURES = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+MEASURES = "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
 
 def _measure_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for media in batch.column(1).to_pylist():
-            payload = from_pgm(media)
-            rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), features(payload)))
-        columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
-        types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+            payload, size = from_pgm(media)
+            rows.append((size, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), features(payload)))
+        columns = list(zip(*rows, strict=True)) if rows else [[]] * 7
+        types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
         yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], names=["digest", *(m.split()[0] for m in MEASURES.split(", "))])
 
 

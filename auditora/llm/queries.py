@@ -52,14 +52,14 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     content = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    docs = table(spark, sf_dir, "documents").select("doc_id", content.alias("content"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", content.alias("content"))
     media_table = media.measured(media.store(docs.select("content")))
-    # Each document is a page that shows its own payload; the page goes through the parser and the digest join.
-    page = F.concat(F.lit('<figure><img src="sha256:'), F.sha2("content", 256), F.lit('" alt="'), F.octet_length("content"), F.lit('"><figcaption>payload</figcaption></figure>'))
+    # Each document is a page: its lines are paragraphs, its payload a figure behind them.
+    ref, caption = F.concat(F.lit("sha256:"), F.sha2("content", 256)), F.concat(F.lit("document "), F.coalesce(F.col("doc_id").cast("string"), F.lit("?")))
+    page = media.page_of(F.col("text"), ref, F.lit("payload"), caption)
     pages = docs.select("doc_id", page.alias("html")).select("doc_id", media.interleave(F.col("html")).alias("sequence"))
-    refs = media.media_refs(pages, "doc_id")
-    resolved = media.resolve(refs, media_table)
-    return resolved.select("doc_id", F.col("alt").cast("long").alias("n_bytes"), "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+    resolved = media.resolve(media.media_refs(pages, "doc_id"), media_table)
+    return resolved.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "position", "caption")
 
 
 def op9_permutation_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,7 +84,81 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_license_scan": op10_license_scan,
 }
 
+_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 ORACLE_SQL: dict[str, str] = {
+    "op2_substring_dedup": f"""
+WITH docs AS (
+    SELECT doc_id, coalesce({_WORDS.format("text")}, []) AS w FROM documents
+), windows AS (
+    SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM docs WHERE len(w) >= 50)
+), firsts AS (
+    SELECT k, min(doc_id) AS first FROM windows GROUP BY k
+), late AS (
+    SELECT doc_id, i FROM windows JOIN firsts USING (k) WHERE first < doc_id
+), words AS (
+    SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM docs
+), marked AS (
+    SELECT a.doc_id, a.word, a.i, max(CASE WHEN b.i IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY a.doc_id ORDER BY a.i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+    FROM words a LEFT JOIN late b ON a.doc_id = b.doc_id AND a.i = b.i
+), kept AS (
+    SELECT doc_id, CAST(sum(gone) AS BIGINT) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (WHERE gone = 0) AS kept FROM marked GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(k.n_removed, 0) AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM docs d LEFT JOIN kept k ON d.doc_id = k.doc_id
+""",
+    "op6_ngram_join": f"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, coalesce({_WORDS.format(_LOWER)}, []) AS w FROM documents
+), sets AS (
+    SELECT DISTINCT doc_id, s FROM (
+        SELECT doc_id, unnest(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+        FROM docs WHERE len(w) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+), pairs AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+    SELECT x, y FROM pairs JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * c >= 80 * (a.n + b.n - c)
+), edges AS (
+    SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reached(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION
+    SELECT r.doc_id, e.y FROM reached r JOIN edges e ON r.other = e.x
+)
+SELECT d.doc_id, coalesce(max(s.n), 0) AS n_shingles, min(r.other) AS component_id
+FROM documents d JOIN reached r ON r.doc_id = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id GROUP BY d.doc_id
+""",
+    "op8_media": r"""
+WITH docs AS (
+    SELECT doc_id, text, encode(coalesce(text, '')) AS content FROM documents
+), padded AS (
+    SELECT *, octet_length(content) AS n, content || repeat('\xFF'::BLOB, CASE WHEN octet_length(content) = 0 THEN 576 ELSE (576 - octet_length(content) % 576) % 576 END) AS payload FROM docs
+), stored AS (
+    SELECT *, octet_length(payload) AS size, hex(payload) AS digits,
+           encode('P5' || chr(10) || '# ' || n || ' bytes' || chr(10) || '24 ' || octet_length(payload) // 24 || chr(10) || '255' || chr(10)) || payload AS media FROM padded
+), counts AS (
+    SELECT doc_id, byte, count(*) AS c FROM (SELECT doc_id, CAST('0x' || unnest(regexp_extract_all(digits, '..')) AS BIGINT) AS byte FROM stored) GROUP BY ALL
+), shares AS (
+    SELECT doc_id, byte // 32 AS part, sum(c) AS c FROM counts GROUP BY ALL
+), measures AS (
+    SELECT doc_id, CAST(sum(c * byte) AS DOUBLE) AS total, CAST(sum(c * byte * byte) AS DOUBLE) AS squares, sum(c) AS n FROM counts GROUP BY doc_id
+), histograms AS (
+    SELECT m.doc_id, string_agg(printf('%.4f', coalesce(s.c, 0) / CAST(m.n AS DOUBLE)), ',' ORDER BY p.part) AS hist
+    FROM measures m CROSS JOIN (SELECT unnest(range(8)) AS part) p LEFT JOIN shares s ON s.doc_id = m.doc_id AND s.part = p.part GROUP BY m.doc_id
+)
+SELECT d.doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256,
+       'mean=' || printf('%.4f', total / m.n) || ';sd=' || printf('%.4f', sqrt(squares / m.n - (total / m.n) * (total / m.n))) || ';hist=' || hist AS feature, position, caption
+FROM (
+    SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(size AS BIGINT) AS payload_bytes, sha256(payload) AS payload_sha256, CAST(octet_length(media) AS BIGINT) AS media_bytes, sha256(media) AS media_sha256,
+           xor(list_reduce(list_transform(regexp_extract_all(right(digits, 64), '..'), lambda h: CAST('0x' || h AS BIGINT)),
+               lambda crc, byte: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, xor(crc, byte)), 4294967295), 4294967295) AS tail_crc32,
+           CAST(len(list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]'))) AS INTEGER) AS position,
+           'document ' || doc_id AS caption
+    FROM stored) d JOIN measures m ON m.doc_id = d.doc_id JOIN histograms h ON h.doc_id = d.doc_id
+""",
     "op5_line_dedup": """
 WITH lines AS (
     SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents

@@ -346,7 +346,7 @@ def test_media(spark, docs):
     payload = b"ab" + b"\xff" * 574
     assert found[0].payload_sha256 == hashlib.sha256(payload).hexdigest() and found[0].tail_crc32 == zlib.crc32(payload[-32:]) and found[1].payload_sha256 is None
     for content in (b"", b"x", b"y" * 576, b"z" * 577):
-        assert media.from_pgm(media.to_pgm(media.padded(content))) == media.padded(content) and len(media.padded(content)) % 576 == 0
+        assert media.from_pgm(media.to_pgm(media.padded(content), len(content))) == (media.padded(content), len(content)) and len(media.padded(content)) % 576 == 0
 
 
 def test_media_of_sources_sets_and_posters(spark):
