@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .tokens import tokenizer_path, worker_encoder
+from .tokens import Encoder, tokenizer_path, worker_encoder
 
 WINDOW = 1024
 GROUP_TOKENS = 4 << 20
@@ -81,8 +81,8 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
     return windows, offsets, opened
 
 
-def _pack_task(batches: Iterator[pa.RecordBatch], path: str, window: int, end_id: int, group_tokens: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    encoder, sequence = worker_encoder(path), TaskContext.get().partitionId() << 33
+def _pack(batches: Iterator[pa.RecordBatch], encoder: Encoder, window: int, end_id: int, group_tokens: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    sequence = TaskContext.get().partitionId() << 33
     rows: list[tuple] = []
     rest: list[tuple] = []
     held = 0
@@ -121,6 +121,11 @@ def _pack_task(batches: Iterator[pa.RecordBatch], path: str, window: int, end_id
         yield out()
 
 
+def _pack_task(batches: Iterator[pa.RecordBatch], path: str, window: int, end_id: int, group_tokens: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    with worker_encoder(path) as encoder:
+        yield from _pack(batches, encoder, window, end_id, group_tokens, schema)
+
+
 def pack(docs: DataFrame, window: int = WINDOW, end_id: int = 0, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text", group_tokens: int = GROUP_TOKENS) -> DataFrame:
     """One row per piece: document, start and length in it, its ids (little-endian unsigned 32-bit),
     the document's number of ids, the sequence and the offset there.  A sequence's pieces are gapless from 0."""

@@ -32,7 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .shared import scratch_path
-from .tokens import tokenizer_path, worker_encoder
+from .tokens import Encoder, tokenizer_path, worker_encoder
 
 BLOCK = 128
 PERCENTILE = 95
@@ -114,8 +114,8 @@ def decode(segment: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 SEGMENTS = "part int, segment int, part_start long, n_tokens long, n_docs long, payload binary"
 
 
-def _encode_task(batches: Iterator[pa.RecordBatch], path: str, end_id: int, limit: int) -> Iterator[pa.RecordBatch]:
-    encoder, part = worker_encoder(path), TaskContext.get().partitionId()
+def _segments(batches: Iterator[pa.RecordBatch], encoder: Encoder, end_id: int, limit: int) -> Iterator[pa.RecordBatch]:
+    part = TaskContext.get().partitionId()
     held: list[np.ndarray] = []
     names: list[int] = []
     tokens = start = segment = 0
@@ -140,6 +140,11 @@ def _encode_task(batches: Iterator[pa.RecordBatch], path: str, end_id: int, limi
         yield close()
 
 
+def _encode_task(batches: Iterator[pa.RecordBatch], path: str, end_id: int, limit: int) -> Iterator[pa.RecordBatch]:
+    with worker_encoder(path) as encoder:
+        yield from _segments(batches, encoder, end_id, limit)
+
+
 def write_token_ids(docs: DataFrame, path: str, end_id: int = 0, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text", segment_tokens: int = SEGMENT_TOKENS) -> None:
     """Encodes whole texts and writes their ids as segments in ascending id order."""
     vocabulary = tokenizer_path(tokenizer)

@@ -16,7 +16,10 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
+from threading import Lock, Timer
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +38,7 @@ _PLAIN = regex.compile(r"[\n\t\x20-\x7e\u00c0-\u024f]+")
 _WORD = re.compile(rb" ?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|[\xc4-\xc8][\x80-\xbf]|\xc9[\x80-\x8f])+")
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
 MEMO_ENTRIES = 700_000
+IDLE_SECONDS = 2.0
 SLICE_BYTES = 4 << 20
 
 _SOLID = np.zeros(256, bool)
@@ -85,6 +89,8 @@ def chunk_starts(data: np.ndarray, offsets: np.ndarray, added: np.ndarray | None
 class Encoder:
     """Encodes Arrow text columns; its memo of chunks is bounded."""
 
+    turn = 0
+
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -177,6 +183,31 @@ class Encoder:
 
 
 @lru_cache(maxsize=1)
-def worker_encoder(path: str) -> Encoder:
-    """The encoder of this Python worker: later tasks in it find the chunks that earlier ones have learned."""
+def _encoder(path: str) -> Encoder:
     return Encoder(path)
+
+
+_turn = Lock()
+
+
+def _forget_idle(encoder: Encoder, turn: int) -> None:
+    with _turn:
+        if encoder.turn == turn:
+            encoder.forget()
+
+
+@contextmanager
+def worker_encoder(path: str) -> Iterator[Encoder]:
+    """The encoder of this Python worker: later tasks in it know the chunks that earlier ones have learned.
+
+    A worker that has not encoded for IDLE_SECONDS gives the memo's memory back."""
+    encoder = _encoder(path)
+    with _turn:
+        encoder.turn += 1
+        turn = encoder.turn
+    try:
+        yield encoder
+    finally:
+        timer = Timer(IDLE_SECONDS, _forget_idle, (encoder, turn))
+        timer.daemon = True
+        timer.start()

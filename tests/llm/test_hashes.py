@@ -96,3 +96,19 @@ def test_scratch_goes_with_its_block(spark, tmp_path, monkeypatch):
     with shared.passing(spark):
         assert mixing.mix(frame).agg(F.sum("copies")).first()[0] is not None and os.listdir(tmp_path)
     assert os.listdir(tmp_path) == [] and [t.name for t in spark.catalog.listTables()] == tables
+
+
+def test_idle_memo_is_given_back(monkeypatch):
+    import time
+
+    monkeypatch.setattr(tokens, "IDLE_SECONDS", 0.2)
+    path = tokens.tokenizer_path()
+    with tokens.worker_encoder(path) as encoder:
+        first = [x.tolist() for x in encoder.rows(pa.array(["one two"]))]
+    with tokens.worker_encoder(path) as again:
+        assert again is encoder and again.place
+        time.sleep(0.5)
+        assert again.place, "in use"
+        assert [x.tolist() for x in again.rows(pa.array(["one two"]))] == first
+    time.sleep(0.6)
+    assert not encoder.place
