@@ -49,7 +49,7 @@ from .shared import bucketed, passing, written
 
 PERCENT = 80
 FAMILY = 25
-CELL_BITS = 22
+CELL_BITS = 21
 BLOCKS = 64
 # Cells that hold 2 ** HOT_RANK beyond chance have their lists dealt out in parts.
 HOT_RANK = 16
@@ -95,11 +95,11 @@ def _describe_task(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, size), batch.column(1).slice(i, size), pa.array(counts.astype(np.int64)), pa.array(tx.signed(sig)), sketch, pa.nulls(size, pa.int32()), pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary())], names=names)
     part = TaskContext.get().partitionId()
     for k, own in enumerate(np.split(cells, BLOCKS)):
-        yield pa.RecordBatch.from_arrays([*[pa.nulls(1, pa.int64())] * 4, pa.nulls(1, pa.list_(pa.int64())), pa.array([part], pa.int32()), pa.array([k], pa.int32()), pa.array([own.astype(np.int64).tobytes()], pa.binary())], names=names)
+        yield pa.RecordBatch.from_arrays([*[pa.nulls(1, pa.int64())] * 4, pa.nulls(1, pa.list_(pa.int64())), pa.array([part], pa.int32()), pa.array([k], pa.int32()), pa.array([own.tobytes()], pa.binary())], names=names)
 
 
-def _sum_cells(table: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(v.as_buffer(), np.int64) for v in table.column("cells"))
+def _sum_cells(table: pa.Table, kind: type = np.int64) -> pa.Table:
+    total = sum(np.frombuffer(v.as_buffer(), kind).astype(np.int64) for v in table.column("cells"))
     return pa.table({"block": table.column("block")[:1], "cells": pa.array([total.tobytes()], pa.binary())})
 
 
@@ -280,7 +280,7 @@ class NgramJoin:
             cells = np.frombuffer(_sum_cells(table).column("cells")[0].as_buffer(), np.int64)
             return pa.table({"block": table.column("block")[:1], "cells": pa.array([rarity(cells, mean).tobytes()], pa.binary())})
 
-        some = sketches.withColumn("part", F.floor(F.col("part") / 64)).groupBy("block", "part").applyInArrow(_sum_cells, schema)
+        some = sketches.withColumn("part", F.floor(F.col("part") / 64)).groupBy("block", "part").applyInArrow(lambda t: _sum_cells(t, np.int32), schema)
         whole = some.groupBy("block").applyInArrow(ranked, schema).orderBy("block").collect()
         if not whole:
             return np.zeros(1 << CELL_BITS, np.uint8)
