@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from auditora.operators import audit
-from auditora.plans.catalog import CatalogoRegras, Regra, to_spark, validar_arquivo, validar_condicao
+from auditora.plans.catalog import CatalogoRegras, Regra, to_spark, validar_arquivo, validar_catalogo, validar_condicao
 from auditora.plans.engine import RuleEngine, percent_ranks, registrar_handlers_padrao, scored
 from auditora.plans.schema import FACT, FINDINGS, names
 
@@ -23,6 +23,20 @@ def test_linter(spark, condition, word):
     assert any(word in p for p in validar_condicao(condition, spark))
 
 
+def test_bad_rules_are_named(spark, tmp_path):
+    good = {"id": "R901", "nome": "x", "categoria": "CALCULO", "severidade": "ALTA", "condicao": "1=1"}
+    for change, word in (({"id": "X1"}, "id"), ({"severidade": "GRAVE"}, "severidade"), ({"aliquota_risco": 2}, "aliquota_risco"), ({"ativa": "sim"}, "ativa"), ({"vigencia_fim": "ontem"}, "vigencia_fim"), ({"outro": 1}, "outro")):
+        with pytest.raises(ValueError, match=word):
+            Regra(**(good | change))
+    with pytest.raises(ValueError, match="falta nome"):
+        Regra(**{k: v for k, v in good.items() if k != "nome"})
+    rules = CatalogoRegras([good, good, good | {"id": "R902", "vigencia_fim": "1999-01-01"}, good | {"id": "R903", "campo_valor": "nada"}, good | {"id": "R904", "aliquota_risco": 0.1}])
+    found = validar_catalogo(rules, spark)
+    assert [f[:4] for f in found] == ["R902", "R903", "R904", "R901"] and "2 regras" in found[-1]
+    (tmp_path / "r.yaml").write_text("regras:\n- id: R1\n")
+    assert "ilegivel" in validar_arquivo(tmp_path / "r.yaml", spark)[0]
+
+
 def test_rules_in_force_and_lookup():
     catalog = CatalogoRegras.load()
     assert "R001" not in {r.id for r in catalog.vigentes(date(2007, 6, 30))}
@@ -90,6 +104,8 @@ def test_score_orders_by_severity(spark):
 
 
 def test_dialect():
+    assert to_spark("descricao = 'US$' OR regexp_matches(lower(ncm), '^a(b|c)$')") == r"descricao = 'US$' OR regexp_like(lower(ncm), '^a(b|c)\\z')"
+    assert to_spark("descricao = 'date_diff(''day'', a, b) $'") == "descricao = 'date_diff(''day'', a, b) $'"
     assert to_spark("regexp_matches(ncm, '^[0-9]{8}$')") == r"regexp_like(ncm, '^[0-9]{8}\\z')"
     assert to_spark("DATE_DIFF('day', a, b) > 3") == "datediff(b, a) > 3"
 
