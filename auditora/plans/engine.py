@@ -23,24 +23,41 @@ def round_half_up(value: Column, digits: int) -> Column:
     return F.floor(value * 10.0**digits + 0.5) / 10.0**digits
 
 
-def percent_ranks(df: DataFrame, column: str, name: str) -> DataFrame:
-    """df with the global percent rank of column (nulls last) without sorting all rows in one task.
+def bounds_of(df: DataFrame, *columns: str) -> list[list[float]]:
+    """Values that cut each column into QUANTILES ranges of about equal sizes, found in one pass; one that repeats is common."""
+    points = [k / QUANTILES for k in range(1, QUANTILES)]
+    row = df.agg(*[F.percentile_approx(c, points, 10000).alias(f"__{k}") for k, c in enumerate(columns)]).first()
+    return [list(bounds or []) for bounds in row]
 
-    Rows are counted by value; quantiles of the values cut them into ranges, whose few totals
-    are added up in order, and ranks within a range follow from a window over it."""
-    counts = df.groupBy(column).agg(F.count("*").alias("__n"))
-    bounds = df.agg(F.percentile_approx(column, [k / QUANTILES for k in range(1, QUANTILES)], 10000)).first()[0] or []
+
+def rank_table(df: DataFrame, column: str, name: str, bounds: list[float]) -> DataFrame:
+    """__value and its global percent rank (nulls last) for every value of column, without sorting all in one task.
+
+    Rows are counted by value; bounds cut the values into ranges, whose few totals are added up in
+    order, and ranks within a range follow from a window over it."""
     cuts = sorted(set(bounds))
-    at = F.when(F.col(column).isNull(), F.lit(len(cuts) + 1)).otherwise(F.size(F.filter(F.array(*[F.lit(float(c)) for c in cuts]), lambda c: c < F.col(column))) if cuts else F.lit(0))
-    counts = counts.withColumn("__range", at)
+    counts = df.groupBy(column).agg(F.count("*").alias("__n"))
+    above = reduce(lambda t, c: t + (F.col(column) > F.lit(float(c))).cast("int"), cuts, F.lit(0))
+    counts = counts.withColumn("__range", F.when(F.col(column).isNull(), F.lit(len(cuts) + 1)).otherwise(above))
     totals = counts.groupBy("__range").agg(F.sum("__n").alias("__total"))
     before = W.orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
     totals = totals.withColumns({"__before": F.coalesce(F.sum("__total").over(before), F.lit(0)), "__all": F.sum("__total").over(W.partitionBy(F.lit(0)))})
     inside = W.partitionBy("__range").orderBy(F.col(column).asc_nulls_last()).rowsBetween(W.unboundedPreceding, -1)
     rank = F.col("__before") + F.coalesce(F.sum("__n").over(inside), F.lit(0))
     share = F.when(F.col("__all") > 1, rank / (F.col("__all") - 1)).otherwise(F.lit(0.0))
-    ranks = counts.join(F.broadcast(totals), "__range").select(F.col(column).alias("__value"), share.alias(name))
-    return df.join(ranks, F.col(column).eqNullSafe(F.col("__value"))).drop("__value")
+    # Totals are QUANTILES + 1 rows at most.
+    return counts.join(F.broadcast(totals), "__range").select(F.col(column).alias("__value"), share.alias(name))
+
+
+def percent_ranks(df: DataFrame, column: str, name: str, bounds: list[float] | None = None) -> DataFrame:
+    """df with the global percent rank of column.  Common values, fewer than QUANTILES, and null have theirs broadcast; the others' are joined."""
+    bounds = bounds_of(df, column)[0] if bounds is None else bounds
+    common = sorted({v for v, w in zip(bounds, bounds[1:], strict=False) if v == w})
+    ranks = rank_table(df, column, name, bounds)
+    held = lambda c: F.col(c).isNull() | F.col(c).isin(common)
+    few = df.filter(held(column)).join(F.broadcast(ranks.filter(held("__value"))), F.col(column).eqNullSafe(F.col("__value")))
+    rest = df.filter(~held(column)).join(ranks.filter(~held("__value")), F.col(column) == F.col("__value"))
+    return few.unionByName(rest).drop("__value")
 
 
 class RuleEngine:
@@ -125,7 +142,10 @@ def scored(findings: DataFrame) -> DataFrame:
     weight = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for pair in SEVERITY_WEIGHTS.items() for x in pair]), F.col("severidade")), F.lit(OTHER_WEIGHT))
     often = findings.groupBy("cnpj_emit").agg(F.count("*").alias("recorrencia")).withColumnRenamed("cnpj_emit", "__emit")
     base = findings.join(often, F.col("cnpj_emit").eqNullSafe(F.col("__emit"))).drop("__emit").withColumn("peso_sev", F.coalesce(weight, F.lit(OTHER_WEIGHT))).persist()
-    base = percent_ranks(percent_ranks(base, "impacto_rs", "__pi"), "recorrencia", "__pr")
+    impact, often = bounds_of(base, "impacto_rs", "recorrencia")
+    # Counts of rows have at most the root of twice their sum as distinct values: a small table at any size.
+    times = F.broadcast(rank_table(base, "recorrencia", "__pr", often))
+    base = percent_ranks(base, "impacto_rs", "__pi", impact).join(times, F.col("recorrencia") == F.col("__value")).drop("__value")
     score = round_half_up(0.5 * F.col("__pi") + 0.3 * F.col("peso_sev") + 0.2 * F.col("__pr"), 4)
     return base.withColumn("score", score).drop("__pi", "__pr")
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators.audit import money_sum
@@ -11,11 +10,16 @@ from ..plans.schema import BRONZE, names
 from .nfe import read_files
 
 
+def first_paths(files: DataFrame) -> DataFrame:
+    """sha256, path and copies: the first path of each content; only hashes and paths are shuffled."""
+    hashed = files.select(F.sha2("content", 256).alias("sha256"), "path")
+    return hashed.groupBy("sha256").agg(F.min("path").alias("path"), F.count("*").alias("copies"))
+
+
 def new_files(files: DataFrame, stored: DataFrame) -> DataFrame:
-    """The first file by path of each content that is not stored yet."""
-    hashed = files.withColumn("sha256", F.sha2("content", 256))
-    first = hashed.withColumn("__rn", F.row_number().over(W.partitionBy("sha256").orderBy("path"))).filter("__rn = 1")
-    rows = first.join(stored.select("sha256"), "sha256", "left_anti")
+    """The first file by path of each content that is not stored yet; contents meet the chosen paths and nothing else."""
+    chosen = first_paths(files).join(stored.select("sha256"), "sha256", "left_anti").select("sha256", "path")
+    rows = files.join(chosen, "path")
     return rows.select("sha256", "nome", F.col("content").cast("string").alias("conteudo"), "tamanho", F.current_timestamp().cast("timestamp_ntz").alias("dh_ingestao"))
 
 
@@ -60,9 +64,16 @@ def undecoded(indexed: DataFrame) -> DataFrame:
 
 
 def export(indexed: DataFrame, target: str, day: str = "dt_emissao") -> None:
-    """Dated rows as Parquet by year and month; only the partitions met are replaced."""
+    """Dated rows as Parquet by year and month; only the partitions met are replaced.
+
+    The hint lets Spark divide a month of many rows among tasks and join small ones."""
     rows = indexed.filter(F.col(day).isNotNull()).withColumns({"ano": F.year(day), "mes": F.month(day)})
-    rows.repartition("ano", "mes").write.partitionBy("ano", "mes").option("compression", "zstd").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(target)
+    rows.hint("rebalance", "ano", "mes").write.partitionBy("ano", "mes").option("compression", "zstd").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(target)
+
+
+def partitions(spark: SparkSession, target: str) -> DataFrame:
+    """The partitions of an export and their rows, counted from the files' footers."""
+    return spark.read.parquet(target).groupBy("ano", "mes").agg(F.count("*").alias("linhas"))
 
 
 def export_stats(indexed: DataFrame, emitter: str = "cnpj_emit", day: str = "dt_emissao", value: str = "valor_total") -> DataFrame:
