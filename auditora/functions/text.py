@@ -33,9 +33,13 @@ def char_wb_ngrams(text: Column, low: int = 3, high: int = 5) -> Column:
     def of_word(w: Column) -> Column:
         padded = F.concat(F.lit(" "), w, F.lit(" "))
         size = F.length(padded)
-        sizes = [n for n in range(low, high + 1)]
-        grams = [F.when(size >= n, F.transform(F.sequence(F.lit(1), F.greatest(size - (n - 1), F.lit(1))), lambda i, n=n: F.substring(padded, i, F.lit(n)))).when((size < n) & (F.lit(n) == sizes[0]), F.array(padded)).otherwise(F.array().cast("array<string>")) for n in sizes]
-        return F.concat(*grams)
+
+        def of_size(n: int) -> Column:
+            # A lambda of two parameters would be given the index as the second.
+            grams = F.transform(F.sequence(F.lit(1), F.greatest(size - (n - 1), F.lit(1))), lambda i: F.substring(padded, i, F.lit(n)))
+            return F.when(size >= n, grams).otherwise(F.array(padded) if n == low else F.array().cast("array<string>"))
+
+        return F.concat(*[of_size(n) for n in range(low, high + 1)])
 
     return F.flatten(F.transform(words, of_word))
 

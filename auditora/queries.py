@@ -13,11 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .functions.text import char_wb_ngrams, faixa_confianca, normalizar, rotear
+from .functions.text import ABBREVIATIONS, char_wb_ngrams, faixa_confianca, normalizar, rotear
 from .operators import audit, classify, dashboard, layers
 from .plans.catalog import CatalogoRegras
 from .plans.engine import RuleEngine, registrar_handlers_padrao, scored, summary, top_findings
-from .sources import bronze
+from .sources import bronze, nfe
 
 CODE = r"^Brand#[0-9]{2}\z"
 
@@ -105,6 +105,10 @@ def guesses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify.best(votes).join(truth, "query")
 
 
+def truths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("query"), F.col("label").cast("string").alias("truth"))
+
+
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 S: dict[str, str] = {}
 
@@ -210,13 +214,125 @@ query("pruned_agg", BASE + "SELECT cnpj_emit, CAST(sum(CAST(valor_total AS DECIM
 )
 query("like_scan", "SELECT count(*) AS n FROM pages WHERE html LIKE '%<article>%the%'")(lambda s, d: bronze.like_count(read(s, d, "pages"), "%<article>%the%", "html"))
 query("normalize_text", r"SELECT doc_id, trim(regexp_replace(regexp_replace(strip_accents(lower(text)), '[^a-z0-9\s]', ' ', 'g'), '\s+', ' ', 'g')) AS plain FROM documents")(lambda s, d: read(s, d, "documents").select("doc_id", normalizar(F.col("text"), {}).alias("plain")))
-query("char_ngrams")(lambda s, d: read(s, d, "documents").select(F.explode(char_wb_ngrams(normalizar(F.col("text")))).alias("gram")).groupBy("gram").agg(F.count("*").alias("n")))
+_PLAIN = r"regexp_replace(strip_accents(lower(text)), '[^a-z0-9\s]', ' ', 'g')"
+for _short, _long in ABBREVIATIONS.items():
+    _PLAIN = rf"regexp_replace({_PLAIN}, '\b{_short}\b', '{_long}', 'g')"
+query(
+    "char_ngrams",
+    rf"""WITH words AS (SELECT ' ' || unnest(string_split(trim(regexp_replace({_PLAIN}, '\s+', ' ', 'g')), ' ')) || ' ' AS w FROM documents),
+    grams AS (SELECT unnest(list_transform(range(1, len(w) - n + 2), lambda i: substr(w, i, n))) AS gram FROM words, (SELECT unnest([3, 4, 5]) AS n) WHERE len(w) > 2 AND len(w) >= n)
+    SELECT gram, count(*) AS n FROM grams GROUP BY gram""",
+)(lambda s, d: read(s, d, "documents").select(F.explode(char_wb_ngrams(normalizar(F.col("text")))).alias("gram")).groupBy("gram").agg(F.count("*").alias("n")))
 query(
     "knn_embeddings",
     """WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, CAST(label AS VARCHAR) AS label FROM embeddings),
     s AS (SELECT a.vec_id AS query, b.vec_id AS id, b.label, list_cosine_similarity(a.v, b.v) AS sim FROM e a JOIN e b ON a.vec_id <> b.vec_id)
     SELECT query, id, CAST(row_number() OVER (PARTITION BY query ORDER BY round(sim, 9) DESC, id) AS INTEGER) AS rank FROM s QUALIFY rank <= 5""",
 )(lambda s, d: knn(s, d).select("query", "id", "rank"))
-query("calibration")(lambda s, d: classify.calibration(guesses(s, d).select("query", "label", "proba"), guesses(s, d).select("query", "truth")))
-query("routing")(lambda s, d: guesses(s, d).groupBy(rotear(F.col("proba")).alias("fila"), faixa_confianca(F.col("proba")).alias("faixa")).agg(F.count("*").alias("n")))
-query("stratified_split")(lambda s, d: classify.stratified_split(read(s, d, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))))
+_GUESSES = """WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, CAST(label AS VARCHAR) AS label FROM embeddings),
+    s AS (SELECT a.vec_id AS query, b.vec_id AS id, b.label, list_cosine_similarity(a.v, b.v) AS sim FROM e a JOIN e b ON a.vec_id <> b.vec_id),
+    near AS (SELECT *, greatest(0.0, 1 - round(sim, 12)) AS d FROM s QUALIFY row_number() OVER (PARTITION BY query ORDER BY round(sim, 9) DESC, id) <= 5),
+    weighed AS (SELECT *, CASE WHEN min(d) OVER (PARTITION BY query) = 0 THEN CASE WHEN d = 0 THEN 1.0 ELSE 0.0 END ELSE 1 / d END AS w FROM near),
+    votes AS (SELECT query, label, sum(w) AS w FROM weighed GROUP BY 1, 2),
+    shares AS (SELECT query, label, round(w / sum(w) OVER (PARTITION BY query), 6) AS proba FROM votes),
+    best AS (SELECT * FROM shares QUALIFY row_number() OVER (PARTITION BY query ORDER BY proba DESC, label) = 1),
+    guesses AS (SELECT b.*, e.label AS truth, CASE WHEN proba <= 0.5 THEN '(-inf, 0.5]' WHEN proba <= 0.7 THEN '(0.5, 0.7]' WHEN proba <= 0.9 THEN '(0.7, 0.9]' ELSE '(0.9, inf]' END AS faixa FROM best b JOIN e ON e.vec_id = b.query)
+"""
+query(
+    "calibration",
+    _GUESSES + "SELECT faixa, count(*) AS n, CAST(sum(CAST(proba AS DECIMAL(18,6))) AS DOUBLE) / count(*) AS conf_media, count(*) FILTER (WHERE label = truth) / CAST(count(*) AS DOUBLE) AS acuracia FROM guesses GROUP BY faixa",
+)(lambda s, d: classify.calibration(guesses(s, d).select("query", "label", "proba"), truths(s, d)))
+query(
+    "routing", _GUESSES + "SELECT CASE WHEN proba > 0.90 THEN 'AUTO' WHEN proba >= 0.70 THEN 'REVISAO' ELSE 'ESPECIALISTA' END AS fila, faixa, count(*) AS n FROM guesses GROUP BY 1, 2"
+)(lambda s, d: guesses(s, d).groupBy(rotear(F.col("proba")).alias("fila"), faixa_confianca(F.col("proba")).alias("faixa")).agg(F.count("*").alias("n")))
+query("stratified_split", "SELECT doc_id AS id, quality AS label, row_number() OVER (PARTITION BY quality ORDER BY md5('42:' || doc_id), doc_id) <= floor(count(*) OVER (PARTITION BY quality) * 0.3 + 0.5) AS is_test FROM labels")(lambda s, d: classify.stratified_split(read(s, d, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))))
+
+# The layers, the consolidated views and the bronze archive through their own functions, over orders as notes.
+NOTES = """
+WITH raw AS (
+    SELECT lpad(CAST(o_orderkey AS VARCHAR), 44, '0') AS chave_acesso, o_orderkey AS numero, o_custkey % 3 AS serie, '55' AS modelo, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS dh_emissao, '1' AS tipo_nf,
+           lpad(CAST(o_custkey AS VARCHAR), 14, '0') AS cnpj_emit, CASE WHEN o_orderkey % 2 = 0 THEN 'PR' ELSE 'SC' END AS uf_emit, lpad(CAST(o_custkey % 50 AS VARCHAR), 14, '0') AS cnpj_dest,
+           CASE WHEN o_orderkey % 3 = 0 THEN 'PR' ELSE 'BA' END AS uf_dest, CASE WHEN o_orderstatus = 'F' THEN '1' ELSE '3' END AS crt, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS valor_total,
+           'AUTORIZADA' AS status, o_orderdate FROM orders WHERE o_orderstatus <> 'P'
+), header AS (
+    SELECT * EXCLUDE (dh_emissao, o_orderdate), CAST(o_orderdate AS TIMESTAMP) AS dh_emissao, CAST(o_orderdate AS DATE) AS dt_emissao, CAST(date_trunc('month', CAST(o_orderdate AS DATE)) AS DATE) AS competencia, crt = '1' AS is_simples FROM raw
+), raw_item AS (
+    SELECT lpad(CAST(l_orderkey AS VARCHAR), 44, '0') AS chave_acesso, CAST(l_linenumber AS BIGINT) AS n_item, CAST(l_partkey AS VARCHAR) AS c_prod, CAST(l_suppkey AS VARCHAR) AS descricao,
+           CASE WHEN l_partkey % 50 = 0 THEN '00000000' ELSE CAST(10000000 + l_partkey % 50 AS VARCHAR) END AS ncm, l_linenumber || '102' AS cfop, CAST(l_quantity AS DOUBLE) AS qtd,
+           CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS vl_unit, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS vl_produto, 0.0::DOUBLE AS vl_icms,
+           CASE WHEN l_linestatus = 'O' THEN l_returnflag END AS cst_icms, CASE WHEN l_linestatus = 'F' THEN l_returnflag END AS csosn FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus <> 'P'
+)
+"""
+_FACT = """, item AS (
+    SELECT * FROM raw_item QUALIFY row_number() OVER (PARTITION BY chave_acesso, n_item ORDER BY vl_produto DESC, c_prod, descricao) = 1
+), fact AS (
+    SELECT i.*, h.cnpj_emit, h.uf_emit, h.uf_dest, h.tipo_nf, h.status, h.is_simples, h.dt_emissao, h.competencia, h.serie, h.numero, h.valor_total, left(cfop, 1) AS grupo_cfop, coalesce(csosn, cst_icms) AS cod_tributacao
+    FROM item i JOIN header h USING (chave_acesso)
+)
+"""
+
+
+def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An XML file for every order; those of status P are cut short."""
+    text = lambda c, n: F.lpad(F.col(c).cast("string"), n, "0")
+    leaf = lambda name, value: F.when(value.isNotNull(), F.concat(F.lit(f"<{name}>"), value.cast("string"), F.lit(f"</{name}>"))).otherwise("")
+    line = read(spark, sf_dir, "lineitem")
+    code = F.when(F.col("l_partkey") % 50 == 0, "00000000").otherwise((10000000 + F.col("l_partkey") % 50).cast("string"))
+    cst, csosn = (F.when(F.col("l_linestatus") == s, F.col("l_returnflag")) for s in "OF")
+    item = F.concat(
+        F.lit('<det nItem="'), F.col("l_linenumber").cast("string"), F.lit('"><prod>'), leaf("cProd", F.col("l_partkey")), leaf("xProd", F.col("l_suppkey")), leaf("NCM", code), leaf("CFOP", F.concat(F.col("l_linenumber").cast("string"), F.lit("102"))),
+        leaf("qCom", F.col("l_quantity")), leaf("vUnCom", F.col("l_extendedprice").cast("decimal(18,2)")), leaf("vProd", F.col("l_extendedprice").cast("decimal(18,2)")), F.lit("</prod><imposto><ICMS><ICMS90>"), leaf("CST", cst), leaf("CSOSN", csosn), F.lit("</ICMS90></ICMS></imposto></det>"),
+    )
+    items = line.select("l_orderkey", item.alias("det")).groupBy("l_orderkey").agg(F.concat_ws("", F.array_sort(F.collect_list("det"))).alias("dets"))
+    rows = read(spark, sf_dir, "orders").join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    xml = F.concat(
+        F.lit(f'<nfeProc xmlns="{nfe.NAMESPACE}"><NFe><infNFe Id="NFe'), text("o_orderkey", 44), F.lit('"><ide>'), leaf("nNF", F.col("o_orderkey")), leaf("serie", F.col("o_custkey") % 3), F.lit("<mod>55</mod>"), leaf("dhEmi", F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")), F.lit("<tpNF>1</tpNF></ide><emit>"),
+        leaf("CNPJ", text("o_custkey", 14)), F.lit("<enderEmit>"), leaf("UF", F.when(F.col("o_orderkey") % 2 == 0, "PR").otherwise("SC")), F.lit("</enderEmit>"), leaf("CRT", F.when(F.col("o_orderstatus") == "F", "1").otherwise("3")), F.lit("</emit><dest>"),
+        leaf("CNPJ", F.lpad((F.col("o_custkey") % 50).cast("string"), 14, "0")), F.lit("<enderDest>"), leaf("UF", F.when(F.col("o_orderkey") % 3 == 0, "PR").otherwise("BA")), F.lit("</enderDest></dest>"), F.coalesce("dets", F.lit("")),
+        F.lit("<total><ICMSTot>"), leaf("vNF", F.col("o_totalprice").cast("decimal(18,2)")), F.when(F.col("o_orderstatus") == "P", "").otherwise("</ICMSTot></total></infNFe></NFe></nfeProc>"),
+    )
+    # Parsing costs far more than the bytes of its input say.
+    return rows.select(F.concat(F.col("o_orderkey").cast("string"), F.lit(".xml")).alias("nome"), xml.alias("content")).repartition(4 * spark.sparkContext.defaultParallelism)
+
+
+def layer_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """raw headers and items of the notes' XML, and the layers made from them."""
+    parsed = nfe.parse(notes(spark, sf_dir)).drop("content")
+    raw, raw_items = nfe.headers(parsed), nfe.items(parsed).drop("valido")
+    head, item = layers.silver_header(raw), layers.silver_item(raw_items)
+    return {"raw": raw, "header": head, "item": item, "fact": layers.fact(item, head)}
+
+
+def files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents as raw files."""
+    name = F.lpad(F.col("doc_id").cast("string"), 12, "0")
+    content = F.coalesce("text", F.lit("")).cast("binary")
+    return read(spark, sf_dir, "documents").select(name.alias("path"), name.alias("nome"), F.octet_length(content).cast("long").alias("tamanho"), content.alias("content"))
+
+
+query("nfe_headers", NOTES + "SELECT * EXCLUDE (o_orderdate) FROM raw")(lambda s, d: nfe.headers(nfe.parse(notes(s, d))))
+query("nfe_items", NOTES + "SELECT *, ncm <> '' AS valido FROM raw_item")(lambda s, d: nfe.items(nfe.parse(notes(s, d))))
+query("nfe_quarantine", "SELECT o_orderkey || '.xml' AS arquivo, 'ParseError: XML malformado' AS erro FROM orders WHERE o_orderstatus = 'P'")(lambda s, d: nfe.quarantine(nfe.parse(notes(s, d))))
+query("layer_header", NOTES + "SELECT * FROM header")(lambda s, d: layer_tables(s, d)["header"])
+query("layer_fact_totals", NOTES + _FACT + "SELECT chave_acesso, n_item, ncm, cfop, vl_produto, cnpj_emit, uf_emit, uf_dest, is_simples, competencia, serie, numero, valor_total, grupo_cfop FROM fact")(
+    lambda s, d: layer_tables(s, d)["fact"].select("chave_acesso", "n_item", "ncm", "cfop", "vl_produto", "cnpj_emit", "uf_emit", "uf_dest", "is_simples", "competencia", "serie", "numero", "valor_total", "grupo_cfop")
+)
+query("invalid_ncm", NOTES + _FACT + "SELECT chave_acesso, n_item, ncm FROM fact WHERE ncm IS NULL OR NOT regexp_full_match(ncm, '[0-9]{8}') OR ncm IN ('00000000', '99999999')")(lambda s, d: audit.invalid_ncm(layer_tables(s, d)["fact"]).select("chave_acesso", "n_item", "ncm"))
+query("interstate_same_state", NOTES + _FACT + "SELECT chave_acesso, n_item, cfop, uf_emit, uf_dest FROM fact WHERE left(cfop, 1) = '6' AND uf_emit = uf_dest")(lambda s, d: audit.interstate_same_state(layer_tables(s, d)["fact"]).select("chave_acesso", "n_item", "cfop", "uf_emit", "uf_dest"))
+query(
+    "consolidated",
+    NOTES + _FACT + """, sums AS (SELECT chave_acesso, sum(CAST(vl_produto AS DECIMAL(18,2))) AS soma FROM item GROUP BY 1),
+    outlier AS (SELECT *, count(*) OVER (PARTITION BY ncm) AS n, percent_rank() OVER (PARTITION BY ncm ORDER BY vl_unit) AS pct FROM fact WHERE regexp_full_match(ncm, '[0-9]{8}'))
+    SELECT 'GAP_NUMERACAO' AS regra, 'MEDIA' AS severidade, chave_acesso, cnpj_emit, 0.0::DOUBLE AS vl_base FROM (SELECT *, numero - lag(numero) OVER (PARTITION BY cnpj_emit, serie ORDER BY numero) - 1 AS gap FROM header) WHERE gap > 0
+    UNION ALL SELECT 'DUP_CHAVE', 'CRITICA', chave_acesso, min(cnpj_emit), 0.0 FROM raw GROUP BY chave_acesso HAVING count(*) > 1
+    UNION ALL SELECT 'DUP_NUMERACAO', 'CRITICA', min(chave_acesso), cnpj_emit, 0.0 FROM header GROUP BY cnpj_emit, serie, numero HAVING count(DISTINCT chave_acesso) > 1
+    UNION ALL SELECT 'DUP_ECONOMICA', 'MEDIA', min(chave_acesso), cnpj_emit, valor_total FROM header WHERE valor_total > 100 GROUP BY cnpj_emit, cnpj_dest, dt_emissao, valor_total HAVING count(*) > 1
+    UNION ALL SELECT 'NCM_INVALIDO', 'ALTA', chave_acesso, cnpj_emit, vl_produto FROM fact WHERE NOT regexp_full_match(ncm, '[0-9]{8}') OR ncm IN ('00000000', '99999999')
+    UNION ALL SELECT 'CFOP_UF', 'ALTA', chave_acesso, cnpj_emit, vl_produto FROM fact WHERE left(cfop, 1) = '6' AND uf_emit = uf_dest
+    UNION ALL SELECT 'PRECO_OUTLIER', 'BAIXA', chave_acesso, cnpj_emit, vl_produto FROM outlier WHERE n >= 30 AND (pct > 0.995 OR pct < 0.005)
+    UNION ALL SELECT 'TOTAL_DIVERGENTE', 'ALTA', h.chave_acesso, cnpj_emit, CAST(abs(CAST(valor_total AS DECIMAL(18,2)) - soma) AS DOUBLE) FROM header h JOIN sums s ON s.chave_acesso = h.chave_acesso WHERE CAST(abs(CAST(valor_total AS DECIMAL(18,2)) - soma) AS DOUBLE) > 0.05""",
+)(lambda s, d: audit.consolidated(*(layer_tables(s, d)[k] for k in ("raw", "header", "item", "fact"))))
+query("bronze_first_paths", "SELECT sha256(coalesce(text, '')) AS sha256, min(lpad(CAST(doc_id AS VARCHAR), 12, '0')) AS path, count(*) AS copies FROM documents GROUP BY 1")(lambda s, d: bronze.first_paths(files(s, d)))
+query("bronze_new_files", "SELECT sha256(coalesce(text, '')) AS sha256, min(lpad(CAST(doc_id AS VARCHAR), 12, '0')) AS nome, CAST(min(octet_length(encode(coalesce(text, '')))) AS BIGINT) AS tamanho FROM documents WHERE sha256(coalesce(text, '')) NOT IN (SELECT sha256(text) FROM benchmark) GROUP BY 1")(
+    lambda s, d: bronze.new_files(files(s, d), read(s, d, "benchmark").select(F.sha2("text", 256).alias("sha256"))).select("sha256", "nome", "tamanho")
+)

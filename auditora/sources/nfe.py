@@ -1,6 +1,6 @@
 """Electronic invoices: XML text to headers, items and quarantine.
 
-A note is parsed once for each of its two possible roots; every leaf is text
+A note is parsed once, by the schema of its root, one of two; every leaf is text
 and cast afterwards.  A bad item stays as it is; a bad header, malformed or
 empty XML, or no infNFe in the invoice namespace puts the file in quarantine.
 """
@@ -17,6 +17,8 @@ _INF = (
     "det:array<struct<_nItem:string,prod:struct<cProd:string,xProd:string,NCM:string,CFOP:string,qCom:string,vUnCom:string,vProd:string>,"
     "imposto:struct<ICMS:map<string,struct<CST:string,CSOSN:string,vICMS:string>>>>>, total:struct<ICMSTot:struct<vNF:string>>>"
 )
+# The first element is the wrapper, whatever stands before it.
+_WRAPPED = r"(?s)\A\s*(?:<\?.*?\?>\s*|<!--.*?-->\s*|<!DOCTYPE[^>]*>\s*)*<(?:[\w.-]+:)?nfeProc[\s/>]"
 _OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad", "ignoreNamespace": "true", "attributePrefix": "_"}
 
 
@@ -38,8 +40,12 @@ def _number(column: str) -> Column:
 def parse(files: DataFrame, content: str = "content") -> DataFrame:
     """files with inf (the parsed note) and erro (null if the file is readable and its header valid)."""
     text = F.col(content).cast("string")
-    both = files.withColumns({"__x": text, "__a": F.from_xml(text, f"NFe struct<infNFe:{_INF}>, _bad string", _OPTIONS), "__b": F.from_xml(text, f"infNFe {_INF}, _bad string", _OPTIONS)})
-    rows = both.withColumn("inf", F.coalesce("__a.NFe.infNFe", "__b.infNFe"))
+    is_wrapped = F.coalesce(F.col("__x").rlike(_WRAPPED), F.lit(False))
+    wrapped = F.when(is_wrapped, F.from_xml("__x", f"NFe struct<infNFe:{_INF}>, _bad string", _OPTIONS))
+    plain = F.when(~is_wrapped, F.from_xml("__x", f"infNFe {_INF}, _bad string", _OPTIONS))
+    # An explode of one element is not merged with what reads it: otherwise every field would parse the file again.
+    rows = files.withColumn("__x", text).select("*", F.explode(F.array(F.struct(wrapped.alias("a"), plain.alias("b")))).alias("__r"))
+    rows = rows.withColumn("inf", F.coalesce("__r.a.NFe.infNFe", "__r.b.infNFe"))
     blank = F.coalesce(F.trim(F.translate("__x", "\t\r\n", "   ")), F.lit("")) == ""
     rows = rows.withColumn("__h", header_struct())
     h = lambda c: F.col(f"__h.{c}")
@@ -60,11 +66,11 @@ def parse(files: DataFrame, content: str = "content") -> DataFrame:
     )
     error = (
         F.when(blank, "ParseError: arquivo vazio")
-        .when(F.col("__a._bad").isNotNull() & F.col("__b._bad").isNotNull(), "ParseError: XML malformado")
+        .when(F.coalesce("__r.a._bad", "__r.b._bad").isNotNull(), "ParseError: XML malformado")
         .when(F.col("inf").isNull() | ~F.contains(F.col("__x"), F.lit(NAMESPACE)), "ParseError: infNFe ausente")
         .when(bad != "", F.concat(F.lit("ParseError: cabecalho invalido: "), bad))
     )
-    return rows.withColumn("erro", error).drop("__x", "__a", "__b")
+    return rows.withColumn("erro", error).drop("__x", "__r")
 
 
 def header_struct() -> Column:
