@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, licenses, lines, media, mixing, ngram_join, packing, pfor, pivots, substrings
+from . import collocations, langid, licenses, lines, media, mixing, ngram_join, packing, pfor, pieces, pivots, resample, substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,6 +71,22 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size("found.sentences").cast("long").alias("n_sentences"), F.array_join("found.licenses.license", ";").alias("licenses"), F.size("found.licenses").cast("long").alias("n_licenses"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = table(spark, sf_dir, "documents").select("doc_id", pieces.encode(F.col("text")).alias("ids"))
+    coded = coded.select("doc_id", "ids", pieces.decode(F.col("ids")).alias("decoded"))
+    written_ids = F.array_join(F.transform("ids", lambda i: i.cast("string")), " ")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(written_ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_substring_dedup": op2_substring_dedup,
@@ -82,12 +98,71 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_media": op8_media,
     "op9_permutation_search": op9_permutation_search,
     "op10_license_scan": op10_license_scan,
+    "op11_collocations": op11_collocations,
+    "op12_resampling": op12_resampling,
+    "op13_sentencepiece": op13_sentencepiece,
 }
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_FEATURE_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 ORACLE_SQL: dict[str, str] = {
+    "op11_collocations": f"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM documents
+), grams AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+    FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(w) >= k)
+), counts AS (
+    SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100
+), totals AS (
+    SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang
+), candidates AS (
+    SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE k >= 2
+), inside AS (
+    SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS longer
+    FROM (SELECT lang, w, a, m, unnest(range(1, k - m + 2)) AS i FROM candidates, (SELECT unnest([2, 3, 4]) AS m) WHERE m < k) GROUP BY ALL
+), cuts AS (
+    SELECT lang, phrase, w, k, a, unnest(range(1, k)) AS c FROM candidates
+), scores AS (
+    SELECT u.lang, u.phrase, u.a, x.f AS l, y.f AS r, t.n, CAST(CAST(1000 AS HUGEINT) * u.a * t.n // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+    FROM cuts u JOIN totals t ON t.lang = u.lang
+    JOIN counts x ON x.lang = u.lang AND x.phrase = array_to_string(u.w[1:u.c], ' ') JOIN counts y ON y.lang = u.lang AND y.phrase = array_to_string(u.w[u.c + 1:u.k], ' ')
+    QUALIFY row_number() OVER (PARTITION BY u.lang, u.phrase ORDER BY score, u.c) = 1
+)
+SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank, s.phrase, a, l, r, n, score
+FROM scores s LEFT JOIN inside i ON i.lang = s.lang AND i.phrase = s.phrase WHERE i.longer IS NULL OR 100 * i.longer < 100 * a
+QUALIFY rank <= 2000
+""",
+    "op12_resampling": f"""
+WITH crcs AS (
+    SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)) AS t
+), words AS (
+    SELECT TRUE AS own, doc_id, coalesce({_FEATURE_WORDS}, []) AS w FROM documents UNION ALL SELECT FALSE, item_id, coalesce({_FEATURE_WORDS}, []) FROM benchmark
+), features AS (
+    SELECT own, doc_id, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS feature FROM words
+), kinds AS (
+    SELECT feature, xor(list_reduce(list_transform(regexp_extract_all(hex(encode(feature)), '..'), lambda h: CAST('0x' || h AS BIGINT)),
+        lambda crc, byte: xor(crc >> 8, t[(xor(crc, byte) & 255) + 1]), 4294967295), 4294967295) % 10000 AS bucket FROM (SELECT DISTINCT feature FROM features), crcs
+), placed AS (
+    SELECT own, doc_id, bucket FROM features JOIN kinds USING (feature)
+), sums AS (
+    SELECT CAST(count(*) FILTER (WHERE own) AS DOUBLE) AS s, CAST(count(*) FILTER (WHERE NOT own) AS DOUBLE) AS t FROM placed
+), gains AS (
+    SELECT bucket, CAST(floor(1000 * ln((count(*) FILTER (WHERE NOT own) + 1.0::DOUBLE) * (s + 10000) / ((count(*) FILTER (WHERE own) + 1.0::DOUBLE) * (t + 10000)))) AS BIGINT) AS gain
+    FROM placed, sums GROUP BY bucket, s, t
+), weights AS (
+    SELECT doc_id, count(*) AS n_features, CAST(floor(sum(gain) / CAST(count(*) AS DOUBLE)) AS BIGINT) AS weight FROM placed JOIN gains USING (bucket) WHERE own GROUP BY doc_id
+), scores AS (
+    SELECT doc_id, len(w) AS words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+           coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || left(sha256('7:' || doc_id), 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+    FROM words LEFT JOIN weights USING (doc_id) WHERE own
+), ranked AS (
+    SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM scores WHERE words >= 20 QUALIFY rank <= 25 * (SELECT count(*) FROM scores WHERE words >= 20) // 100
+)
+SELECT doc_id, n_features, weight, score, rank FROM scores LEFT JOIN ranked USING (doc_id)
+""",
     "op2_substring_dedup": f"""
 WITH docs AS (
     SELECT doc_id, coalesce({_WORDS.format("text")}, []) AS w FROM documents

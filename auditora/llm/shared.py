@@ -10,6 +10,7 @@ from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Paths written in each open block of passing(), the innermost last, and those of no block.
 _blocks: ContextVar[tuple[list[str], ...]] = ContextVar("blocks", default=())
@@ -97,3 +98,19 @@ def bucketed(df: DataFrame, keys: list[str], name: str, size: int, distinct: boo
     out = spark.table(table)
     spark.sql(f"DROP TABLE {table}")
     return out
+
+
+def numbered(df: DataFrame, column: str, name: str, order: list[str] | None = None) -> DataFrame:
+    """df with the numbers 1, 2, 3... of its rows, in ascending order of columns where given: sorted by ranges, so no task sees all rows.
+
+    Rows are written with their place in their task; only the number of rows of each task comes to the driver."""
+    spark, place = df.sparkSession, F.monotonically_increasing_id()
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order) if order else df
+    # The low 33 bits of the id count the rows of a task, the others the tasks.
+    parts = written(dealt.withColumns({"__task": F.shiftrightunsigned(place, 33), "__at": place.bitwiseAND((1 << 33) - 1)}), name, keep=True)
+    before, total = [], 0
+    for task, rows in sorted(tuple(r) for r in parts.groupBy("__task").agg(F.count("*")).collect()):
+        before.append((task, total))
+        total += rows
+    starts = spark.createDataFrame(before, "__task long, __before long")
+    return parts.join(F.broadcast(starts), "__task").withColumn(column, F.col("__before") + F.col("__at") + 1).drop("__task", "__at", "__before")

@@ -70,11 +70,11 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         i = j
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SEPARATOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Byte starts and ends of the words, and each row's first word (rows + 1); offsets begin at 0."""
     if len(data) == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    solid = ~SEPARATOR[data]
+    solid = ~separator[data]
     begins = np.empty(len(data), bool)
     begins[0], begins[1:] = True, ~solid[:-1]
     stops = np.empty(len(data), bool)
