@@ -11,7 +11,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators import audit
-from .catalog import CatalogoRegras, Regra, to_spark, validar_condicao
+from .catalog import CatalogoRegras, Regra, validar_condicao
+from .conditions import Builder, read
 from .schema import FINDINGS, OTHER_WEIGHT, SEVERITY_WEIGHTS, names
 
 Handler = Callable[[dict[str, DataFrame], Regra], DataFrame]
@@ -76,13 +77,13 @@ class RuleEngine:
 
     def _sql_findings(self, rules: list[Regra]) -> DataFrame:
         """All SQL rules over one scan of the fact: each row yields a struct for every rule that holds."""
-        hits = []
+        hits, build = [], Builder(self.tables["fact"].sparkSession)
         for rule in rules:
             if self.lint and (problems := validar_condicao(rule.condicao)):
                 raise ValueError(f"Regra {rule.id}: " + "; ".join(problems))
-            value = F.expr(rule.campo_valor) if rule.campo_valor else F.lit(0.0)
+            value = F.col(rule.campo_valor) if rule.campo_valor else F.lit(0.0)
             fields = [F.lit(rule.id), F.lit(rule.nome), F.lit(rule.severidade), F.lit(rule.categoria), F.col("chave_acesso"), F.col("n_item").cast("long"), F.col("cnpj_emit"), value.cast("double"), (value * F.lit(float(rule.aliquota_risco))).cast("double")]
-            hits.append(F.when(F.expr(to_spark(rule.condicao)), F.struct(*[f.alias(n) for f, n in zip(fields, names(FINDINGS), strict=True)])))
+            hits.append(F.when(build.column(read(rule.condicao)), F.struct(*[f.alias(n) for f, n in zip(fields, names(FINDINGS), strict=True)])))
         return self.tables["fact"].select(F.inline(F.filter(F.array(*hits), lambda x: x.isNotNull())))
 
     def executar(self, competencia: date | None = None) -> DataFrame:

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from .functions.text import ABBREVIATIONS, char_wb_ngrams, faixa_confianca, normalizar, rotear
 from .operators import audit, classify, dashboard, layers
 from .plans.catalog import CatalogoRegras
+from .plans.conditions import Builder
+from .plans.conditions import read as read_condition
 from .plans.engine import RuleEngine, registrar_handlers_padrao, scored, summary, top_findings
 from .sources import bronze, nfe
 
@@ -336,3 +338,50 @@ query("bronze_first_paths", "SELECT sha256(coalesce(text, '')) AS sha256, min(lp
 query("bronze_new_files", "SELECT sha256(coalesce(text, '')) AS sha256, min(lpad(CAST(doc_id AS VARCHAR), 12, '0')) AS nome, CAST(min(octet_length(encode(coalesce(text, '')))) AS BIGINT) AS tamanho FROM documents WHERE sha256(coalesce(text, '')) NOT IN (SELECT sha256(text) FROM benchmark) GROUP BY 1")(
     lambda s, d: bronze.new_files(files(s, d), read(s, d, "benchmark").select(F.sha2("text", 256).alias("sha256"))).select("sha256", "nome", "tamanho")
 )
+
+# Conditions as users write them, over documents in the columns of the fact.
+CONDITIONS = (
+    r"regexp_matches(ncm, '^\d{8}$')",
+    r"regexp_matches(descricao, '\d{2}\.\d')",
+    r"regexp_matches(descricao, '[A-Z]\w+\s+[a-z]+\.$')",
+    r"regexp_matches(descricao, '\$|\(\d+\)')",
+    r"regexp_matches(descricao, 'license', 'i') AND NOT regexp_matches(descricao, '\bMIT\b')",
+    r"descricao LIKE '%\d%' OR descricao LIKE '%50!%%' ESCAPE '!'",
+    r"descricao LIKE '%''%'",
+    r"regexp_extract(descricao, '([0-9]+)-([0-9]+)', 2) <> ''",
+    r"regexp_replace(ncm, '0+(\d)', '<\1>', 'g') LIKE '<%'",
+    "'7' || cfop = '7' || left(ncm, 1) || '102'",
+    "ncm::INTEGER % 7 = 3 AND (vl_produto / 8)::BIGINT = 250",
+    "date_diff('day', dt_emissao, DATE '2026-03-01') BETWEEN -3 AND 30",
+    "date_trunc('month', dt_emissao) = DATE '2026-02-01'",
+    "csosn IS NULL OR csosn NOT IN ('web', 'it''s')",
+    "CASE WHEN vl_produto > 2000 THEN 'alto' WHEN vl_produto > 500 THEN 'medio' END = 'medio'",
+    "qtd / (n_item % 3) > 1e2 OR n_item // 7 = 11",
+    "NOT is_simples = TRUE AND length(descricao) > 1000",
+    "TRY_CAST(substr(descricao, 1, 2) AS INTEGER) IS NOT NULL",
+    "descricao SIMILAR TO '[A-Z].*' AND strlen(descricao) > length(descricao)",
+)
+_DOCS_FACT = """
+WITH fact AS (
+    SELECT doc_id AS n_item, lpad(CAST(doc_id AS VARCHAR), 8, '0') AS ncm, text AS descricao, doc_id % 8 || '102' AS cfop, CAST(n_chars AS DOUBLE) AS vl_produto, CAST(n_chars % 100 AS DOUBLE) AS qtd,
+           DATE '2026-01-01' + CAST(doc_id % 90 AS INTEGER) AS dt_emissao, source AS csosn, lang = 'en' AS is_simples FROM documents
+)
+"""
+
+
+def documents_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number = F.col("doc_id")
+    return read(spark, sf_dir, "documents").select(
+        number.alias("n_item"), F.lpad(number.cast("string"), 8, "0").alias("ncm"), F.col("text").alias("descricao"), F.concat((number % 8).cast("string"), F.lit("102")).alias("cfop"), F.col("n_chars").cast("double").alias("vl_produto"),
+        (F.col("n_chars") % 100).cast("double").alias("qtd"), F.date_add(F.lit("2026-01-01").cast("date"), (number % 90).cast("int")).alias("dt_emissao"), F.col("source").alias("csosn"), (F.col("lang") == "en").alias("is_simples"),
+    )
+
+
+def rule_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows each of the conditions holds for, in one scan."""
+    build = Builder(spark)
+    counts = [F.struct(F.lit(c).alias("condicao"), F.count_if(build.column(read_condition(c))).alias("n")) for c in CONDITIONS]
+    return documents_fact(spark, sf_dir).agg(F.array(*counts).alias("c")).select(F.inline("c"))
+
+
+query("rule_conditions", _DOCS_FACT + " UNION ALL ".join("SELECT '" + c.replace("'", "''") + f"' AS condicao, count(*) FILTER (WHERE {c}) AS n FROM fact" for c in CONDITIONS))(rule_conditions)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from auditora.operators import audit
-from auditora.plans.catalog import CatalogoRegras, Regra, to_spark, validar_arquivo, validar_catalogo, validar_condicao
+from auditora.plans.catalog import CatalogoRegras, Regra, validar_arquivo, validar_catalogo, validar_condicao
 from auditora.plans.engine import RuleEngine, percent_ranks, registrar_handlers_padrao, scored
 from auditora.plans.schema import FACT, FINDINGS, names
 
@@ -103,13 +103,6 @@ def test_score_orders_by_severity(spark):
     assert [r.severidade for r in got] == ["CRITICA", "ALTA", "MEDIA", "BAIXA"] and got[0].recorrencia == 4
 
 
-def test_dialect():
-    assert to_spark("descricao = 'US$' OR regexp_matches(lower(ncm), '^a(b|c)$')") == r"descricao = 'US$' OR regexp_like(lower(ncm), '^a(b|c)\\z')"
-    assert to_spark("descricao = 'date_diff(''day'', a, b) $'") == "descricao = 'date_diff(''day'', a, b) $'"
-    assert to_spark("regexp_matches(ncm, '^[0-9]{8}$')") == r"regexp_like(ncm, '^[0-9]{8}\\z')"
-    assert to_spark("DATE_DIFF('day', a, b) > 3") == "datediff(b, a) > 3"
-
-
 def test_handlers_are_registered(spark):
     engine = registrar_handlers_padrao(RuleEngine(CatalogoRegras.load(), {}))
     assert {r.condicao for r in engine.catalog.regras if r.tipo == "python"} == set(engine.handlers)
