@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from . import ranges
+
 VALID_NCM = r"^[0-9]{8}\z"
 PLACEHOLDERS = ("00000000", "99999999")
 
@@ -20,11 +22,11 @@ def money_sum(column: str) -> Column:
     return F.sum(F.col(column).cast("decimal(18,6)")).cast("double")
 
 
-def numbering_gaps(headers: DataFrame, by: tuple[str, ...] = ("cnpj_emit", "serie"), number: str = "numero", model: str | None = "55") -> DataFrame:
-    """Documents whose number leaves a gap to the one before, and its size."""
+def numbering_gaps(headers: DataFrame, by: tuple[str, ...] = ("cnpj_emit", "serie"), number: str = "numero", model: str | None = "55", least_rows: int = ranges.LEAST_ROWS) -> DataFrame:
+    """Documents whose number leaves a gap to the one before, and its size; an emitter of least_rows documents or more is divided by number."""
     rows = headers.filter(F.col("modelo") == model) if model else headers
-    before = F.lag(number).over(W.partitionBy(*by).orderBy(F.col(number).asc_nulls_last()))
-    return rows.withColumn("gap", F.col(number) - before - 1).filter("gap > 0")
+    rows = ranges.lagged(rows, by, number, "__previous", least_rows)
+    return rows.withColumn("gap", F.col(number) - F.col("__previous") - 1).drop("__previous").filter("gap > 0")
 
 
 def duplicate_keys(raw: DataFrame, key: tuple[str, ...] = ("chave_acesso",), emitter: str = "cnpj_emit") -> DataFrame:
@@ -47,18 +49,19 @@ def interstate_same_state(fact: DataFrame) -> DataFrame:
     return fact.filter((F.left("cfop", F.lit(1)) == "6") & (F.col("uf_emit") == F.col("uf_dest")))
 
 
-def price_outliers(rows: DataFrame, by: str = "ncm", price: str = "vl_unit", least: int = 30, low: float = 0.005, high: float = 0.995, pattern: str | None = VALID_NCM) -> DataFrame:
-    """Rows at the ends of their code's prices by rank, with pct and n_ncm.
+def price_outliers(rows: DataFrame, by: str = "ncm", price: str = "vl_unit", least: int = 30, low: float = 0.005, high: float = 0.995, pattern: str | None = VALID_NCM, least_rows: int = ranges.LEAST_ROWS) -> DataFrame:
+    """Rows at the ends of their code's prices by percent rank (nulls last), with pct and n_ncm.
 
-    The counts come first and leave codes below least out of the sort."""
+    Prices are ranked as distinct values, a code of many divided by price; rows only meet the few values at the ends."""
     valid = rows.filter(F.col(by).rlike(pattern)) if pattern else rows
-    group = W.partitionBy(by)
-    ranked = valid.withColumn("n_ncm", F.count("*").over(group)).withColumn("pct", F.percent_rank().over(group.orderBy(F.col(price).asc_nulls_last())))
-    return ranked.filter((F.col("n_ncm") >= least) & ((F.col("pct") > high) | (F.col("pct") < low)))
+    ranks = ranges.ranks_by_value(valid, by, price, least_rows).filter(F.col("__size") >= least)
+    pct = F.when(F.col("__size") > 1, F.col("__rank") / (F.col("__size") - 1)).otherwise(F.lit(0.0))
+    ends = ranks.select(F.col(by).alias(f"__{by}"), F.col(price).alias(f"__{price}"), F.col("__size").alias("n_ncm"), pct.alias("pct")).filter((F.col("pct") > high) | (F.col("pct") < low))
+    return valid.join(ends, ranges.same((by, price))).drop(f"__{by}", f"__{price}")
 
 
 def revenue_drops(headers: DataFrame, emitter: str = "cnpj_emit", month: str = "competencia", value: str = "valor_total", status: tuple[str, str] = ("status", "AUTORIZADA"), ratio: float = 0.4) -> DataFrame:
-    """Months whose revenue fell below ratio of the emitter's previous month with any."""
+    """Months whose revenue fell below ratio of the emitter's previous month with any; the window holds a row a month, however many documents an emitter has."""
     monthly = headers.filter(F.col(status[0]) == status[1]).groupBy(emitter, month).agg(money_sum(value).alias("faturamento"))
     before = F.lag("faturamento").over(W.partitionBy(emitter).orderBy(month))
     share = F.try_divide("faturamento", "anterior")
