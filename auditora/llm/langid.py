@@ -16,8 +16,8 @@ separator (behind a character where a word is longer than a part, which then
 counts as several words); Viterbi keeps its state before every part, and reads
 the parts again from the last on to trace the labels back.
 
-Edge cases: a text that is null or has no letter is "und" with score 0, without
-spans; letters of scripts that no language uses count against the score; a text
+Edge cases: a text that is null or has no letter (Unicode category L) is "und"
+with score 0, without spans; letters of scripts that no language uses count against the score; a text
 of such letters alone gets the language seen most, with score 0; with no
 training rows every text is "und".  Repeated rows get equal results, other
 columns pass through, an empty table gives no rows.
@@ -25,8 +25,10 @@ columns pass through, an empty table gives no rows.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,16 +44,22 @@ SCRIPT_SHARE = 0.01
 MOST_LANGUAGES = 1000
 ORDERS = (2, 3, 4)
 
-# First code points of ranges and the script of their letters (0: none).
+# First code points of ranges and the script of the letters in them; letters of ranges of 0 are of OTHER.
 RANGES = (
     (0x00, 0), (0x41, 1), (0x5B, 0), (0x61, 1), (0x7B, 0), (0xAA, 1), (0xAB, 0), (0xB5, 1), (0xB6, 0), (0xBA, 1), (0xBB, 0), (0xC0, 1),
     (0xD7, 0), (0xD8, 1), (0xF7, 0), (0xF8, 1), (0x2C2, 0), (0x370, 2), (0x400, 3), (0x483, 0), (0x48A, 3), (0x531, 4), (0x590, 0), (0x5D0, 5), (0x600, 0), (0x620, 6),
     (0x660, 0), (0x66E, 6), (0x700, 15), (0x900, 7), (0x980, 15), (0xE00, 8), (0xE80, 15), (0x10A0, 9), (0x1100, 10), (0x1200, 15), (0x1E00, 1), (0x1F00, 2), (0x2000, 0),
     (0x2C00, 15), (0x2E00, 0), (0x3040, 11), (0x3100, 15), (0x3130, 10), (0x3190, 15), (0x3400, 12), (0xA000, 15), (0xAC00, 10), (0xD7B0, 15), (0xF900, 12), (0xFB00, 15),
 )
-SCRIPTS = 16
-_RANGE_STARTS = np.array([r[0] for r in RANGES])
-_RANGE_SCRIPTS = np.array([r[1] for r in RANGES], np.uint8)
+SCRIPTS, OTHER = 16, 15
+
+
+@cache
+def letter_scripts() -> np.ndarray:
+    """Script of every code point that is a letter (Unicode category L), 0 for all others."""
+    starts = np.array([r[0] for r in RANGES])
+    script = np.array([r[1] or OTHER for r in RANGES], np.uint8)[np.searchsorted(starts, np.arange(0x110000), side="right") - 1]
+    return np.where([unicodedata.category(chr(c))[0] == "L" for c in range(0x110000)], script, 0).astype(np.uint8)
 
 
 def scripts_of_bytes(data: np.ndarray) -> np.ndarray:
@@ -59,7 +67,7 @@ def scripts_of_bytes(data: np.ndarray) -> np.ndarray:
     pad = np.append(data, np.zeros(3, np.uint8)).astype(np.int32)
     lead, a, b, c = pad[:-3], pad[1:-2] & 0x3F, pad[2:-1] & 0x3F, pad[3:] & 0x3F
     point = np.where(lead < 0x80, lead, np.where(lead < 0xC0, 0, np.where(lead < 0xE0, (lead & 0x1F) << 6 | a, np.where(lead < 0xF0, (lead & 0x0F) << 12 | a << 6 | b, (lead & 0x07) << 18 | a << 12 | b << 6 | c))))
-    return _RANGE_SCRIPTS[np.searchsorted(_RANGE_STARTS, point, side="right") - 1]
+    return letter_scripts()[point]
 
 
 def grams(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -271,11 +279,6 @@ def predict(model: Model, column: pa.Array, switch: float = SWITCH, scored_bytes
             stop = np.minimum(np.append(edge[1:], len(row)), first[1:][row[edge]])
             span_rows.append((labels[edge], edge - first[row[edge]], stop - edge))
             span_counts[1 + lo : 1 + hi] += np.bincount(row[edge], minlength=hi - lo).astype(np.int32)
-    # What the ranges call letters are letters; a text without any may still hold one of a range left out.
-    for r in np.flatnonzero(names == "und").tolist():
-        raw = data[offsets[r] : offsets[r + 1]]
-        if len(raw) and raw.max(initial=0) >= 0x80 and any(ch.isalpha() for ch in raw.tobytes().decode("utf-8")):
-            names[r] = model.languages[model.common]
     label, begin, count = (np.concatenate([s[k] for s in span_rows]) if span_rows else np.zeros(0, np.int64) for k in range(3))
     spans = pa.StructArray.from_arrays([pa.array([model.languages[k] for k in label.tolist()], pa.string()), pa.array(begin.astype(np.int32)), pa.array(count.astype(np.int32))], fields=list(_ARROW.field("spans").type.value_type))
     return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(shares), pa.ListArray.from_arrays(pa.array(np.cumsum(span_counts).astype(np.int32)), spans)], fields=list(_ARROW))

@@ -51,6 +51,23 @@ def empty(spark):
     return spark.createDataFrame([], DOCS)
 
 
+def test_letters_are_those_of_unicode():
+    import unicodedata
+
+    import pyarrow as pa
+
+    model = langid.Model(["en", "fr"], np.zeros((langid.BUCKETS, 2), np.float32), np.array([2, 2]), 0)
+    none = ["😀😀 🎉", "०१२३", "！？", "１２３", "\ufe0f", "\u0301", "", None, " ", "12 !? 34", "٣٤", "\u200d"]
+    # One text for each block of 256 code points and each kind of character in it.
+    kinds = {}
+    for c in range(0x110000):
+        if not 0xD800 <= c < 0xE000:
+            kinds.setdefault((c >> 8, unicodedata.category(chr(c))), chr(c))
+    texts = none + list(kinds.values())
+    got = langid.predict(model, pa.array(texts)).field("lang").to_pylist()
+    assert got == ["und" if not t or not any(ch.isalpha() for ch in t) else "en" for t in texts]
+
+
 def test_tokens_equal_the_library():
     encoder = tokens.Encoder(tokens.tokenizer_path())
     draw = random.Random(5)
