@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -274,8 +274,8 @@ _FACT = """, item AS (
 """
 
 
-def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An XML file for every order; those of status P are cut short."""
+def notes(spark: SparkSession, sf_dir: str, foreign: Column | None = None) -> DataFrame:
+    """An XML file for every order; those of status P are cut short, and where foreign holds the note is of another namespace."""
     text = lambda c, n: F.lpad(F.col(c).cast("string"), n, "0")
     leaf = lambda name, value: F.when(value.isNotNull(), F.concat(F.lit(f"<{name}>"), value.cast("string"), F.lit(f"</{name}>"))).otherwise("")
     line = read(spark, sf_dir, "lineitem")
@@ -287,12 +287,20 @@ def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     items = line.select("l_orderkey", item.alias("det")).groupBy("l_orderkey").agg(F.concat_ws("", F.array_sort(F.collect_list("det"))).alias("dets"))
     rows = read(spark, sf_dir, "orders").join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    xml = F.concat(
-        F.lit(f'<nfeProc xmlns="{nfe.NAMESPACE}"><NFe><infNFe Id="NFe'), text("o_orderkey", 44), F.lit('"><ide>'), leaf("nNF", F.col("o_orderkey")), leaf("serie", F.col("o_custkey") % 3), F.lit("<mod>55</mod>"), leaf("dhEmi", F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")), F.lit("<tpNF>1</tpNF></ide><emit>"),
+    # Three wrappers: a processed note, a batch with prefixed names, and a distribution that holds it deeper.
+    prefix = F.when(F.col("o_orderkey") % 3 == 1, "n:").otherwise("")
+    uri = F.when(foreign, "urn:outro").otherwise(nfe.NAMESPACE) if foreign is not None else F.lit(nfe.NAMESPACE)
+    before = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit('<nfeProc xmlns="'), uri, F.lit('"><NFe>'))).when(F.col("o_orderkey") % 3 == 1, F.concat(F.lit('<?xml version="1.0"?><n:enviNFe xmlns:n="'), uri, F.lit('"><n:idLote>1</n:idLote><n:NFe>')))
+    before = before.otherwise(F.concat(F.lit('<nfeDistDFeInt><lote><doc><infNFe Id="x"/><NFe xmlns="'), uri, F.lit('">')))
+    after = F.when(F.col("o_orderkey") % 3 == 0, "</NFe></nfeProc>").when(F.col("o_orderkey") % 3 == 1, "</n:NFe></n:enviNFe>").otherwise("</NFe></doc></lote></nfeDistDFeInt>")
+    inside = F.concat(
+        F.lit('<infNFe Id="NFe'), text("o_orderkey", 44), F.lit('"><ide>'), leaf("nNF", F.col("o_orderkey")), leaf("serie", F.col("o_custkey") % 3), F.lit("<mod>55</mod>"), leaf("dhEmi", F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")), F.lit("<tpNF>1</tpNF></ide><emit>"),
         leaf("CNPJ", text("o_custkey", 14)), F.lit("<enderEmit>"), leaf("UF", F.when(F.col("o_orderkey") % 2 == 0, "PR").otherwise("SC")), F.lit("</enderEmit>"), leaf("CRT", F.when(F.col("o_orderstatus") == "F", "1").otherwise("3")), F.lit("</emit><dest>"),
         leaf("CNPJ", F.lpad((F.col("o_custkey") % 50).cast("string"), 14, "0")), F.lit("<enderDest>"), leaf("UF", F.when(F.col("o_orderkey") % 3 == 0, "PR").otherwise("BA")), F.lit("</enderDest></dest>"), F.coalesce("dets", F.lit("")),
-        F.lit("<total><ICMSTot>"), leaf("vNF", F.col("o_totalprice").cast("decimal(18,2)")), F.when(F.col("o_orderstatus") == "P", "").otherwise("</ICMSTot></total></infNFe></NFe></nfeProc>"),
+        F.lit("<total><ICMSTot>"), leaf("vNF", F.col("o_totalprice").cast("decimal(18,2)")), F.when(F.col("o_orderstatus") == "P", "").otherwise("</ICMSTot></total></infNFe>"),
     )
+    named = F.when(prefix != "", F.regexp_replace(inside, "<(/?)(\\w)", "<$1n:$2")).otherwise(inside)
+    xml = F.concat(before, named, F.when(F.col("o_orderstatus") == "P", "").otherwise(after))
     # Parsing costs far more than the bytes of its input say.
     return rows.select(F.concat(F.col("o_orderkey").cast("string"), F.lit(".xml")).alias("nome"), xml.alias("content")).repartition(4 * spark.sparkContext.defaultParallelism)
 
@@ -315,6 +323,9 @@ def files(spark: SparkSession, sf_dir: str) -> DataFrame:
 query("nfe_headers", NOTES + "SELECT * EXCLUDE (o_orderdate) FROM raw")(lambda s, d: nfe.headers(nfe.parse(notes(s, d))))
 query("nfe_items", NOTES + "SELECT *, ncm <> '' AS valido FROM raw_item")(lambda s, d: nfe.items(nfe.parse(notes(s, d))))
 query("nfe_quarantine", "SELECT o_orderkey || '.xml' AS arquivo, 'ParseError: XML malformado' AS erro FROM orders WHERE o_orderstatus = 'P'")(lambda s, d: nfe.quarantine(nfe.parse(notes(s, d))))
+query("nfe_foreign_notes", "SELECT o_orderkey || '.xml' AS arquivo, CASE WHEN o_orderstatus = 'P' THEN 'ParseError: XML malformado' ELSE 'ParseError: infNFe ausente' END AS erro FROM orders WHERE o_orderstatus = 'P' OR o_orderkey % 7 = 0")(
+    lambda s, d: nfe.quarantine(nfe.parse(notes(s, d, F.col("o_orderkey") % 7 == 0)))
+)
 query("layer_header", NOTES + "SELECT * FROM header")(lambda s, d: layer_tables(s, d)["header"])
 query("layer_fact_totals", NOTES + _FACT + "SELECT chave_acesso, n_item, ncm, cfop, vl_produto, cnpj_emit, uf_emit, uf_dest, is_simples, competencia, serie, numero, valor_total, grupo_cfop FROM fact")(
     lambda s, d: layer_tables(s, d)["fact"].select("chave_acesso", "n_item", "ncm", "cfop", "vl_produto", "cnpj_emit", "uf_emit", "uf_dest", "is_simples", "competencia", "serie", "numero", "valor_total", "grupo_cfop")

@@ -1,14 +1,21 @@
 """Electronic invoices: XML text to headers, items and quarantine.
 
-A note is parsed once, by the schema of its root, one of two; every leaf is text
-and cast afterwards.  A bad item stays as it is; a bad header, malformed or
-empty XML, or no infNFe in the invoice namespace puts the file in quarantine.
+A scan that resolves namespaces cuts out the first infNFe of the invoice
+namespace, whatever stands around it, and Spark parses that part once; every
+leaf is text and cast afterwards.  A bad item stays as it is; a bad header,
+malformed or empty XML, or no infNFe in the invoice namespace puts the file in
+quarantine.
 """
 
 from __future__ import annotations
 
+from xml.parsers import expat
+from xml.sax.saxutils import quoteattr
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 NAMESPACE = "http://www.portalfiscal.inf.br/nfe"
 _INF = (
@@ -17,11 +24,77 @@ _INF = (
     "det:array<struct<_nItem:string,prod:struct<cProd:string,xProd:string,NCM:string,CFOP:string,qCom:string,vUnCom:string,vProd:string>,"
     "imposto:struct<ICMS:map<string,struct<CST:string,CSOSN:string,vICMS:string>>>>>, total:struct<ICMSTot:struct<vNF:string>>>"
 )
-# The first element is the wrapper, whatever stands before it.
-_WRAPPED = r"(?s)\A\s*(?:<\?.*?\?>\s*|<!--.*?-->\s*|<!DOCTYPE[^>]*>\s*)*<(?:[\w.-]+:)?nfeProc[\s/>]"
 _OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad", "ignoreNamespace": "true", "attributePrefix": "_"}
 
 
+_NAME = f"{NAMESPACE} infNFe"
+EMPTY, MALFORMED, ABSENT = "ParseError: arquivo vazio", "ParseError: XML malformado", "ParseError: infNFe ausente"
+
+
+def first_note(data: bytes, encoding: str | None = None) -> tuple[str | None, str | None]:
+    """The first infNFe of the invoice namespace at any depth, inside an element that declares the prefixes it may use; or what is wrong.
+
+    encoding stands above the one that the text names."""
+    if not data.strip():
+        return None, EMPTY
+    parser = expat.ParserCreate(encoding, " ")
+    parser.buffer_text = True
+    scope: dict[str | None, list[str | None]] = {}
+    own: list[str | None] = []
+    found: dict[str, int] = {}
+    around: dict[str | None, str | None] = {}
+    declared = ["utf-8"]
+
+    def xml_decl(version: str, named: str | None, standalone: int) -> None:
+        declared[0] = named or "utf-8"
+
+    def opened(prefix: str | None, uri: str | None) -> None:
+        scope.setdefault(prefix, []).append(uri)
+        own.append(prefix)
+
+    def closed(prefix: str | None) -> None:
+        scope[prefix].pop()
+
+    def start(name: str, _: dict[str, str]) -> None:
+        if name == _NAME and "start" not in found:
+            found["start"] = parser.CurrentByteIndex
+            # Its own declarations stand in its tag.
+            around.update({p: uris[-1 - own.count(p)] for p, uris in scope.items() if len(uris) > own.count(p)})
+            parser.EndElementHandler = end
+            parser.StartElementHandler = None
+        own.clear()
+
+    def end(name: str) -> None:
+        # Elements of that name do not nest.
+        if name == _NAME:
+            found["end"] = parser.CurrentByteIndex
+            parser.EndElementHandler = parser.StartNamespaceDeclHandler = parser.EndNamespaceDeclHandler = None
+
+    parser.XmlDeclHandler, parser.StartElementHandler = xml_decl, start
+    parser.StartNamespaceDeclHandler, parser.EndNamespaceDeclHandler = opened, closed
+    try:
+        parser.Parse(data, True)
+    except (expat.ExpatError, LookupError):
+        return None, MALFORMED
+    if "start" not in found:
+        return None, ABSENT
+    names = "".join(f" xmlns{':' + p if p else ''}={quoteattr(uri)}" for p, uri in around.items() if uri)
+    # An element without content ends where it starts.
+    stop = data.index(b">", found["end"]) + 1 if found["end"] > found["start"] else None
+    try:
+        inside = data[found["start"] : stop].decode(encoding or declared[0]) if stop else "<infNFe/>"
+    except (UnicodeDecodeError, LookupError):
+        return None, MALFORMED
+    return f"<nota{names}>{inside}</nota>", None
+
+
+@F.arrow_udf(T.StructType([T.StructField("nota", T.StringType()), T.StructField("erro", T.StringType())]))
+def _note(column: pa.Array) -> pa.Array:
+    encoding = None if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type) else "utf-8"
+    rows = [first_note((v.encode("utf-8") if encoding else v) if v is not None else b"", encoding) for v in column.to_pylist()]
+    return pa.array([{"nota": note, "erro": error} for note, error in rows], pa.struct([("nota", pa.string()), ("erro", pa.string())]))
+
+
 def read_files(spark: SparkSession, folder: str) -> DataFrame:
     """path, nome, tamanho, content of every .xml below folder; Spark raises if the folder is missing."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.xml").load(folder)
@@ -39,14 +112,9 @@ def _number(column: str) -> Column:
 
 def parse(files: DataFrame, content: str = "content") -> DataFrame:
     """files with inf (the parsed note) and erro (null if the file is readable and its header valid)."""
-    text = F.col(content).cast("string")
-    is_wrapped = F.coalesce(F.col("__x").rlike(_WRAPPED), F.lit(False))
-    wrapped = F.when(is_wrapped, F.from_xml("__x", f"NFe struct<infNFe:{_INF}>, _bad string", _OPTIONS))
-    plain = F.when(~is_wrapped, F.from_xml("__x", f"infNFe {_INF}, _bad string", _OPTIONS))
+    rows = files.withColumn("__n", _note(F.col(content)))
     # An explode of one element is not merged with what reads it: otherwise every field would parse the file again.
-    rows = files.withColumn("__x", text).select("*", F.explode(F.array(F.struct(wrapped.alias("a"), plain.alias("b")))).alias("__r"))
-    rows = rows.withColumn("inf", F.coalesce("__r.a.NFe.infNFe", "__r.b.infNFe"))
-    blank = F.coalesce(F.trim(F.translate("__x", "\t\r\n", "   ")), F.lit("")) == ""
+    rows = rows.select("*", F.explode(F.array(F.from_xml("__n.nota", f"infNFe {_INF}, _bad string", _OPTIONS))).alias("__r")).withColumn("inf", F.col("__r.infNFe"))
     rows = rows.withColumn("__h", header_struct())
     h = lambda c: F.col(f"__h.{c}")
     bad = F.concat_ws(
@@ -65,12 +133,12 @@ def parse(files: DataFrame, content: str = "content") -> DataFrame:
         F.when(F.exists(F.coalesce("inf.det", F.array()), lambda d: d["_nItem"].try_cast("long").isNull()), "n_item"),
     )
     error = (
-        F.when(blank, "ParseError: arquivo vazio")
-        .when(F.coalesce("__r.a._bad", "__r.b._bad").isNotNull(), "ParseError: XML malformado")
-        .when(F.col("inf").isNull() | ~F.contains(F.col("__x"), F.lit(NAMESPACE)), "ParseError: infNFe ausente")
+        F.when(F.col("__n.erro").isNotNull(), F.col("__n.erro"))
+        .when(F.col("__r._bad").isNotNull(), MALFORMED)
+        .when(F.col("inf").isNull(), ABSENT)
         .when(bad != "", F.concat(F.lit("ParseError: cabecalho invalido: "), bad))
     )
-    return rows.withColumn("erro", error).drop("__x", "__r")
+    return rows.withColumn("erro", error).drop("__n", "__r")
 
 
 def header_struct() -> Column:

@@ -8,7 +8,7 @@ from auditora.plans.engine import scored
 from auditora.sources import bronze, nfe, synthetic
 from auditora.streaming import bronze as streaming
 
-KEY = "3" * 44
+KEY = "".join(str(7 * k % 10) for k in range(44))
 
 
 def note(key=KEY, ncm="39172900", cfop="5101", dest="<CNPJ>12345678000199</CNPJ>", n_item="1", root=True, **more):
@@ -21,16 +21,16 @@ def parsed(spark, *texts):
 
 
 def test_parse_good_notes(spark):
-    rows = parsed(spark, note(), note(root=False), note(dest="<CPF>12345678901</CPF>"))
+    rows = parsed(spark, note(), note(root=False), note(dest="<CPF>98765432100</CPF>"))
     heads = nfe.headers(rows).collect()
-    assert [h.chave_acesso for h in heads] == [KEY] * 3 and heads[2].cnpj_dest == "12345678901"
+    assert [h.chave_acesso for h in heads] == [KEY] * 3 and heads[2].cnpj_dest == "98765432100"
     items = nfe.items(rows).collect()
     assert {(i.csosn, i.cst_icms, i.vl_produto, i.valido) for i in items} == {("102", None, 10.0, True)}
     silver = layers.silver_header(nfe.headers(rows)).collect()
     assert len(silver) == 1 and str(silver[0].dt_emissao) == "2026-03-15" and str(silver[0].competencia) == "2026-03-01" and silver[0].is_simples
 
 
-@pytest.mark.parametrize("text, error", [("<isso nao fecha", "malformado"), ("", "vazio"), (None, "vazio"), ("<procEventoNFe/>", "infNFe"), (note(key="A" * 44), "chave_acesso"), (note(n_item="x"), "n_item"), (note(namespace=None), "infNFe")])
+@pytest.mark.parametrize("text, error", [("<nota><item></nota>", "malformado"), ("", "vazio"), (None, "vazio"), ("<resumo><chave>1</chave></resumo>", "infNFe"), (note(key=KEY[:-1] + "z"), "chave_acesso"), (note(n_item="x"), "n_item"), (note(namespace=None), "infNFe")])
 def test_parse_failures(spark, text, error):
     rows = nfe.quarantine(parsed(spark, text, note())).collect()
     assert len(rows) == 1 and error in rows[0].erro
