@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import unicodedata
+from functools import cache
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,10 +15,20 @@ from pyspark.sql import types as T
 ABBREVIATIONS = {"cx": "caixa", "un": "unidade", "pc": "peca", "kg": "quilograma", "ml": "mililitro", "cp": "comprimido", "pol": "polegadas", "tam": "tamanho", "mg": "miligrama"}
 
 
+
+@cache
+def _combining() -> str:
+    """Pattern of the characters that combine with the one before, as ranges of code points."""
+    points = [c for c in range(0x110000) if unicodedata.combining(chr(c))]
+    starts = [c for c, before in zip(points, [-1, *points], strict=False) if c != before + 1]
+    ends = [c for c, after in zip(points, [*points[1:], -1], strict=True) if c != after - 1]
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in zip(starts, ends, strict=True)) + "]"
+
+
 @F.arrow_udf(T.StringType())
 def _plain(column: pa.Array) -> pa.Array:
     """Compatibility decomposition without combining marks; Spark has no built-in for it."""
-    return pa.array([None if v is None else "".join(c for c in unicodedata.normalize("NFKD", v) if not unicodedata.combining(c)) for v in column.to_pylist()], pa.string())
+    return pc.replace_substring_regex(pc.utf8_normalize(column, "NFKD"), _combining(), "")
 
 
 def normalizar(text: Column, abbreviations: dict[str, str] = ABBREVIATIONS) -> Column:
@@ -45,9 +57,11 @@ def char_wb_ngrams(text: Column, low: int = 3, high: int = 5) -> Column:
 
 
 def word_ngrams(text: Column) -> Column:
+    """Words of two characters or more, and pairs of neighbours."""
     words = F.filter(F.split(text, r"[^\p{L}\p{N}_]+"), lambda w: F.length(w) > 1)
-    pairs = F.when(F.size(words) > 1, F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - 1, F.lit(1))), lambda i: F.concat_ws(" ", F.element_at(words, i), F.element_at(words, i + 1)))).otherwise(F.array().cast("array<string>"))
-    return F.concat(words, pairs)
+    # Two slices side by side: an index into words inside a lambda would split the text again for each pair.
+    shorter = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.concat(words, F.zip_with(F.slice(words, F.lit(1), shorter), F.slice(words, F.lit(2), shorter), lambda a, b: F.concat_ws(" ", a, b)))
 
 
 def faixa_confianca(confidence: Column) -> Column:

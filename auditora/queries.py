@@ -396,3 +396,75 @@ def rule_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 query("rule_conditions", _DOCS_FACT + " UNION ALL ".join("SELECT '" + c.replace("'", "''") + f"' AS condicao, count(*) FILTER (WHERE {c}) AS n FROM fact" for c in CONDITIONS))(rule_conditions)
+
+
+# Text neighbours: whole documents against all others, and turns of conversations by role.
+def _plain_sql(column: str) -> str:
+    return rf"trim(regexp_replace({_PLAIN.replace('text', column)}, '\s+', ' ', 'g'))"
+
+
+_WORD_GRAMS = "SELECT id, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS gram FROM (SELECT id, list_filter(string_split(plain, ' '), lambda x: len(x) > 1) AS w FROM docs)"
+_CHAR_GRAMS = "SELECT id, unnest(list_transform(range(1, len(w) - n + 2), lambda i: substr(w, i, n))) AS gram FROM (SELECT id, ' ' || unnest(string_split(plain, ' ')) || ' ' AS w FROM docs), (SELECT unnest([3, 4, 5]) AS n) WHERE len(w) > 2 AND len(w) >= n"
+
+
+def _near_sql(member: str, grams: str = _WORD_GRAMS, tag: str = "") -> str:
+    """CTEs up to near: the five nearest of each block; member: block, id, asked."""
+    return f"""member{tag} AS ({member}), tf{tag} AS (SELECT id, gram, 1 + ln(count(*)) AS tf FROM ({grams}) GROUP BY ALL),
+    df{tag} AS (SELECT block, gram, count(*) AS df FROM tf{tag} JOIN member{tag} USING (id) WHERE NOT asked GROUP BY ALL), total{tag} AS (SELECT block, count(*) AS n FROM member{tag} WHERE NOT asked GROUP BY block),
+    raw{tag} AS (SELECT block, id, asked, gram, tf * (ln((1 + n) / (1 + df)) + 1) AS w FROM tf{tag} JOIN member{tag} USING (id) JOIN df{tag} USING (block, gram) JOIN total{tag} USING (block)),
+    unit{tag} AS (SELECT *, w / sqrt(sum(w * w) OVER (PARTITION BY block, id)) AS u FROM raw{tag}),
+    sims{tag} AS (SELECT q.block, q.id AS query, t.id, sum(q.u * t.u) AS sim FROM unit{tag} q JOIN unit{tag} t ON q.block = t.block AND q.gram = t.gram WHERE q.asked AND NOT t.asked GROUP BY ALL),
+    near{tag} AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY round(sim, 9) DESC, id) AS rank FROM sims{tag} QUALIFY rank <= 5)"""
+
+
+def _shares_sql(tag: str = "") -> str:
+    """CTE shares behind near: probability of each class, and the greatest similarity."""
+    return f"""weighed{tag} AS (SELECT query, label, sim, CASE WHEN min(d) OVER (PARTITION BY query) = 0 THEN CASE WHEN d = 0 THEN 1.0 ELSE 0.0 END ELSE 1 / d END AS w
+        FROM (SELECT n.query, d.label, n.sim, greatest(0.0, 1 - round(n.sim, 12)) AS d FROM near{tag} n JOIN docs d ON d.id = n.id)),
+    shares{tag} AS (SELECT query, label, sum(w) / sum(sum(w)) OVER (PARTITION BY query) AS proba, greatest(0.0, least(1.0, max(max(sim)) OVER (PARTITION BY query))) AS sim_max FROM weighed{tag} GROUP BY query, label),
+    best{tag} AS (SELECT * FROM shares{tag} QUALIFY row_number() OVER (PARTITION BY query ORDER BY round(proba, 9) DESC, label) = 1)"""
+
+
+def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns of conversations as training rows: id, text, label."""
+    rows = read(spark, sf_dir, "conversations")
+    return rows.select(F.concat_ws("/", "conv_id", "turn").alias("id"), normalizar(F.col("text")).alias("text"), F.col("role").alias("label"))
+
+
+def turn_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    split = classify.stratified_split(turns(spark, sf_dir))
+    return classify.KnnText(split.filter("NOT is_test"), "word").votes(split.filter("is_test"))
+
+
+def turn_truths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns(spark, sf_dir).select(F.col("id").alias("query"), F.col("label").alias("truth"))
+
+
+def document_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), normalizar(F.col("text")).alias("text"), F.col("lang").alias("label"))
+    found = classify.KnnText(rows.filter("id % 20 <> 0"), "word").neighbours(rows.filter("id % 20 = 0"))
+    return found.select("query", "id", "label", "rank", (F.floor(F.col("sim") * 1e6 + 0.5) / 1e6).alias("sim"))
+
+
+_TURNS = f"WITH docs AS (SELECT conv_id || '/' || turn AS id, {_plain_sql('text')} AS plain, role AS label FROM conversations)"
+_SPLIT = "SELECT 0 AS block, id, row_number() OVER (PARTITION BY label ORDER BY md5('42:' || id), id) <= floor(count(*) OVER (PARTITION BY label) * 0.3 + 0.5) AS asked FROM docs"
+_FOLDS = "SELECT block, id, fold = block AS asked FROM (SELECT id, (row_number() OVER (PARTITION BY label ORDER BY md5('42:' || id), id) - 1) % 5 AS fold FROM docs), (SELECT unnest(range(5)) AS block)"
+query(
+    "text_neighbours",
+    f"WITH docs AS (SELECT doc_id AS id, {_plain_sql('text')} AS plain, lang AS label FROM documents), {_near_sql('SELECT 0 AS block, id, id % 20 = 0 AS asked FROM docs')} SELECT query, n.id, label, CAST(rank AS INTEGER) AS rank, floor(sim * 1e6 + 0.5) / 1e6 AS sim FROM near n JOIN docs d ON d.id = n.id",
+)(document_neighbours)
+query(
+    "text_predictions",
+    f"""{_TURNS}, {_near_sql(_SPLIT)}, {_shares_sql()} SELECT query, CAST(row_number() OVER (PARTITION BY query ORDER BY round(proba, 9) DESC, label) AS INTEGER) AS rank, label,
+    floor(proba * CASE WHEN sim_max >= 0.35 THEN 1 ELSE sim_max / 0.35 END * 1e6 + 0.5) / 1e6 AS confianca FROM shares QUALIFY rank <= 3""",
+)(lambda s, d: classify.predict(turn_votes(s, d)).select("query", "rank", "label", (F.floor(F.col("confianca") * 1e6 + 0.5) / 1e6).alias("confianca")))
+query(
+    "text_evaluation",
+    f"""{_TURNS}, {_near_sql(_SPLIT)}, {_shares_sql()}, hits AS (SELECT CASE WHEN b.label = d.label THEN 1.0 ELSE 0.0 END AS hit, proba FROM best b JOIN docs d ON d.id = b.query)
+    SELECT avg(hit) AS acuracia, avg(CASE WHEN proba > 0.9 THEN 1.0 ELSE 0.0 END) AS cobertura, avg(hit) FILTER (WHERE proba > 0.9) AS acuracia_alta FROM hits""",
+)(lambda s, d: classify.evaluate(classify.best(turn_votes(s, d)), turn_truths(s, d)))
+_HITS = "SELECT '{name}' AS analyzer, avg(hit) AS media, stddev_pop(hit) AS desvio FROM (SELECT m.block, avg(CASE WHEN b.label = d.label THEN 1.0 ELSE 0.0 END) AS hit FROM member{tag} m JOIN docs d USING (id) LEFT JOIN best{tag} b ON b.query = m.id WHERE m.asked GROUP BY m.block)"
+query(
+    "cross_validation",
+    f"{_TURNS}, {_near_sql(_FOLDS, _CHAR_GRAMS, '_c')}, {_shares_sql('_c')}, {_near_sql(_FOLDS, _WORD_GRAMS, '_w')}, {_shares_sql('_w')} {_HITS.format(name='char_wb', tag='_c')} UNION ALL {_HITS.format(name='word', tag='_w')}",
+)(lambda s, d: classify.cross_validation(turns(s, d)))

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from auditora import cli, obs
 from auditora.operators import classify, layers
-from auditora.functions.text import normalizar, rotear
+from auditora.functions.text import normalizar, rotear, word_ngrams
 from auditora.plans.engine import scored
 from auditora.sources import bronze, nfe, synthetic
 from auditora.streaming import bronze as streaming
@@ -107,3 +107,21 @@ def test_stage_metrics(spark, tmp_path):
     obs.gravar_metricas(spark, str(tmp_path / "m"))
     obs.salvar_log_jsonl(str(tmp_path / "m.jsonl"))
     assert {(r.etapa, r.status) for r in spark.read.parquet(str(tmp_path / "m")).collect()} == {("a", "OK"), ("b", "ERRO")}
+
+
+def test_plain_texts_equal_the_standard_library(spark):
+    import random
+    import unicodedata
+
+    draw = random.Random(1)
+    texts = ["".join(chr(draw.choice((draw.randrange(0x20, 0x250), draw.randrange(0x300, 0x600), draw.randrange(0x900, 0x3000), draw.randrange(0xAC00, 0xD7A0), 0x20DD, 0xFB01))) for _ in range(30)) for _ in range(300)] + [None, ""]
+    from auditora.functions.text import _plain
+
+    got = [r[1] for r in spark.createDataFrame(list(enumerate(texts)), "k int, t string").select("k", _plain(F.col("t"))).orderBy("k").collect()]
+    assert got == [None if t is None else "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)) for t in texts]
+
+
+def test_word_pairs_of_a_long_text(spark):
+    text = " ".join(f"w{k}" for k in range(30000))
+    grams = spark.createDataFrame([(text,), ("a bc",), ("",), (None,)], "t string").select(word_ngrams(F.col("t")).alias("g")).collect()
+    assert len(grams[0].g) == 59999 and grams[0].g[30000] == "w0 w1" and [g.g for g in grams[1:]] == [["bc"], [], None]
