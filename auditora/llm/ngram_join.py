@@ -59,6 +59,7 @@ STAR = 256
 LIST = 256
 SHORT = 32
 FRAGMENTS = 4
+WANTED = 1 << 20
 
 
 def needed(n: np.ndarray, percent: int) -> np.ndarray:
@@ -288,8 +289,9 @@ class NgramJoin:
 
     def _texts(self, wanted: DataFrame) -> DataFrame:
         """sig, n and text of one document of each wanted class; one shuffle of the wanted texts."""
-        # Written first, so that its size is known: texts are not shuffled by mark while it is small.
+        # Written first, so that its size is known: texts are not shuffled by mark while it holds at most WANTED rows of three numbers.
         own = written(self.classes.select("sig", "mark", "n").join(wanted.select("sig").distinct(), "sig", "left_semi"), "wanted")
+        own = F.broadcast(own) if own.count() <= WANTED else own
         rows = self.docs.select("mark", "text").join(own, "mark").select("sig", "n", "text")
         # A shingle has some ten bytes of its own.
         return bucketed(rows, ["sig"], "texts", 10 * self.shingles, distinct=True)
