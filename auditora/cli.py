@@ -1,4 +1,4 @@
-"""Command line: gerar, ingerir, exportar, processar, auditar, validar, classificar.
+"""Command line: gerar, ingerir, exportar, processar, auditar, validar, classificar, saude.
 
 python -m auditora.cli --base DIR COMMAND ...; tables are Parquet folders below DIR.
 """
@@ -10,17 +10,19 @@ import sys
 import time
 from datetime import date
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.text import rotear
-from .obs import etapa
-from .operators import classify, layers
+from .obs import etapa, gravar_metricas, written_with_count
+from .operators import classify, dashboard, layers
 from .plans.catalog import DEFAULT_CATALOG, CatalogoRegras, validar_arquivo
 from .plans.engine import RuleEngine, registrar_handlers_padrao, scored, summary, top_findings
+from .scratch import deleted, passing, release, written
 from .sources import bronze, nfe, synthetic
 
 TABLES = ("silver_cabecalho_raw", "silver_item_raw", "silver_cabecalho", "silver_item", "fct_item_fiscal", "quarentena")
+METRICS_TABLE = "pipeline_metricas"
 
 
 def session() -> SparkSession:
@@ -28,27 +30,31 @@ def session() -> SparkSession:
 
 
 def processar(spark: SparkSession, folder: str, base: str) -> dict[str, int]:
-    """XML folder to silver tables, fact and quarantine; returns their row counts."""
-    with etapa("parse_lote", pasta=folder):
-        headers, items, failures = nfe.process_folder(spark, folder)
-
-    def save(df, name):
-        df.write.mode("overwrite").parquet(f"{base}/{name}")
-        return spark.read.parquet(f"{base}/{name}")
-
-    raw_headers, raw_items = save(headers, TABLES[0]), save(items, TABLES[1])
-    head, item = save(layers.silver_header(raw_headers), TABLES[2]), save(layers.silver_item(raw_items), TABLES[3])
-    fact = save(layers.fact(item, head), TABLES[4])
-    failures.write.mode("overwrite").json(f"{base}/{TABLES[5]}")
-    return {"cabecalhos": raw_headers.count(), "itens": raw_items.count(), "fato": fact.count(), "falhas": failures.count()}
-
-
-def auditar(spark: SparkSession, base: str, rules: str = str(DEFAULT_CATALOG), day: date | None = None):
+    """XML folder to silver tables, fact and quarantine; returns their row counts, taken while they are written."""
+    at = dict(zip(TABLES, (f"{base}/{name}" for name in TABLES), strict=True))
+    read = lambda name: spark.read.parquet(at[name])
+    with passing(spark):
+        with etapa("parse_lote", pasta=folder):
+            headers, items, failures = nfe.process_folder(spark, folder)
+        counts = {"cabecalhos": written_with_count(headers, at[TABLES[0]]), "itens": written_with_count(items, at[TABLES[1]])}
+        written_with_count(layers.silver_header(read(TABLES[0])), at[TABLES[2]])
+        written_with_count(layers.silver_item(read(TABLES[1])), at[TABLES[3]])
+        counts["fato"] = written_with_count(layers.fact(read(TABLES[3]), read(TABLES[2])), at[TABLES[4]])
+        # A quarantine of before goes; a new one is written only where a file failed.
+        deleted(spark, [at[TABLES[5]]])
+        counts["falhas"] = 0 if failures.isEmpty() else written_with_count(failures, at[TABLES[5]], "json")
+    gravar_metricas(spark, f"{base}/{METRICS_TABLE}")
+    return counts
+
+
+def auditar(spark: SparkSession, base: str, rules: str = str(DEFAULT_CATALOG), day: date | None = None) -> DataFrame:
+    """Findings of the rules in force, written and reread."""
     read = lambda name: spark.read.parquet(f"{base}/{name}")
     tables = {"fact": read("fct_item_fiscal"), "silver_cabecalho": read("silver_cabecalho"), "silver_cabecalho_raw": read("silver_cabecalho_raw"), "silver_item": read("silver_item")}
     with etapa("motor_regras"):
-        registrar_handlers_padrao(RuleEngine(CatalogoRegras.load(rules), tables)).executar(day).write.mode("overwrite").parquet(f"{base}/achados")
-    return spark.read.parquet(f"{base}/achados")
+        written_with_count(registrar_handlers_padrao(RuleEngine(CatalogoRegras.load(rules), tables)).executar(day), f"{base}/achados")
+    gravar_metricas(spark, f"{base}/{METRICS_TABLE}")
+    return read("achados")
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -75,11 +81,19 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("regras", nargs="?", default=str(DEFAULT_CATALOG))
     p = sub.add_parser("classificar")
     p.add_argument("--comparar", action="store_true")
+    sub.add_parser("saude")
     a = parser.parse_args(argv)
     if a.command == "gerar":
         print({k: len(v) for k, v in synthetic.gerar(a.qtd, a.destino, a.taxa_erro, a.duplicatas, a.emitentes, a.seed).items()})
         return 0
     spark = session()
+    try:
+        return run(spark, a)
+    finally:
+        release(spark)
+
+
+def run(spark: SparkSession, a: argparse.Namespace) -> int:
     if a.command == "ingerir":
         print(bronze.ingest(spark, a.pasta, f"{a.base}/bronze_arquivo"))
     elif a.command == "exportar":
@@ -87,8 +101,8 @@ def main(argv: list[str] | None = None) -> int:
         if failed := bronze.undecoded(indexed).count():
             print(f"aviso: {failed} arquivos sem chave ou data")
         bronze.export(indexed, a.destino)
-        bronze.export_stats(indexed).show(truncate=False)
-        print("particoes:", len(spark.read.parquet(a.destino).inputFiles()))
+        bronze.export_stats(indexed, target=a.destino).show(truncate=False)
+        print("arquivos:", len(spark.read.parquet(a.destino).inputFiles()))
         if a.comparar:
             if a.origem:
                 print("bytes XML:", bronze.folder_bytes(spark, a.origem), "bytes Parquet:", bronze.folder_bytes(spark, a.destino))
@@ -108,16 +122,18 @@ def main(argv: list[str] | None = None) -> int:
         print("\n".join(problems) or "catalogo valido")
         return 1 if problems else 0
     elif a.command == "classificar":
-        rows = classify.training_rows(spark.read.parquet(f"{a.base}/fct_item_fiscal"))
+        rows = written(classify.training_rows(spark.read.parquet(f"{a.base}/fct_item_fiscal")), "training-rows", keep=True)
         if a.comparar:
-            print(classify.compare_analyzers(rows))
-        split = classify.stratified_split(rows).persist()
+            classify.cross_validation(rows).show()
+        split = written(classify.stratified_split(rows), "split", keep=True)
         test = split.filter("is_test")
-        votes = classify.KnnText(split.filter("NOT is_test")).votes(test).persist()
+        votes = written(classify.KnnText(split.filter("NOT is_test")).votes(test), "votes", keep=True)
         truth = test.select(F.col("id").alias("query"), F.col("label").alias("truth"))
         classify.evaluate(classify.best(votes), truth).show()
         classify.calibration(classify.best(votes), truth).show()
         classify.predict(votes).withColumn("fila", rotear(F.col("confianca"))).show(10, truncate=False)
+    elif a.command == "saude":
+        dashboard.pipeline_health(spark.read.parquet(f"{a.base}/{METRICS_TABLE}")).show(truncate=False)
     return 0
 
 

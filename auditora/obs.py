@@ -1,4 +1,4 @@
-"""Stage timing, metrics table and JSON lines."""
+"""Stage timing, rows observed while they are written, metrics table and JSON lines."""
 
 from __future__ import annotations
 
@@ -10,13 +10,15 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from datetime import datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .plans.schema import METRICS, names
 
 RUN_ID = uuid.uuid4().hex[:12]
 METRIC_ROWS: list[dict] = []
+# How many of them the metrics table has.
+_saved = [0]
 log = logging.getLogger("auditora")
 
 
@@ -27,12 +29,12 @@ class JsonFormatter(logging.Formatter):
 
 
 @contextmanager
-def etapa(nome: str, **campos: object) -> Iterator[None]:
-    """Times a stage; an error is logged, kept in the metrics and raised again."""
+def etapa(nome: str, **campos: object) -> Iterator[dict]:
+    """Times a stage; an error is logged, kept in the metrics and raised again.  What the block puts in the dict is logged with its end."""
     began, status, error = time.perf_counter(), "OK", None
     log.info("inicio", extra={"etapa": nome, "campos": campos})
     try:
-        yield
+        yield campos
     except Exception as caught:
         status, error = "ERRO", f"{type(caught).__name__}: {caught}"
         raise
@@ -42,8 +44,20 @@ def etapa(nome: str, **campos: object) -> Iterator[None]:
         log.log(logging.ERROR if error else logging.INFO, "erro" if error else "fim", extra={"etapa": nome, "duracao_s": spent, "campos": campos})
 
 
+def written_with_count(rows: DataFrame, path: str, kind: str = "parquet", mode: str = "overwrite") -> int:
+    """Writes rows as a stage of its own and returns how many, counted in the same pass."""
+    seen = Observation()
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    with etapa(f"gravar_{name}") as fields:
+        getattr(rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode(mode), kind)(path)
+        fields["linhas"] = seen.get["n"]
+    return seen.get["n"]
+
+
 def gravar_metricas(spark: SparkSession, table: str) -> None:
-    rows = spark.createDataFrame([tuple(m.values()) for m in METRIC_ROWS], "execucao_id string, etapa string, duracao_s double, status string, erro string")
+    """Appends the stages since the last call to the metrics table."""
+    rows = spark.createDataFrame([tuple(m[n] for n in names(METRICS)[:-1]) for m in METRIC_ROWS[_saved[0] :]], "execucao_id string, etapa string, duracao_s double, status string, erro string")
+    _saved[0] = len(METRIC_ROWS)
     rows.withColumn("dh", F.current_timestamp().cast("timestamp_ntz")).select(*names(METRICS)).write.mode("append").parquet(table)
 
 

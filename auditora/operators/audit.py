@@ -84,18 +84,21 @@ def inactive_emitters(headers: DataFrame, emitter: str = "cnpj_emit", day: str =
     return last.crossJoin(F.broadcast(latest)).withColumn("dias_sem_emitir", F.datediff("referencia", "ultima_nf").cast("long")).filter(F.col("dias_sem_emitir") > days)
 
 
+# Name and severity of each consolidated view, the view, and its value.
+CONSOLIDATED = (
+    ("GAP_NUMERACAO", "MEDIA", "v_gap_numeracao", "0"),
+    ("DUP_CHAVE", "CRITICA", "v_duplicidade_chave", "0"),
+    ("DUP_NUMERACAO", "CRITICA", "v_duplicidade_numeracao", "0"),
+    ("DUP_ECONOMICA", "MEDIA", "v_duplicidade_economica", "valor_total"),
+    ("NCM_INVALIDO", "ALTA", "v_ncm_invalido", "vl_produto"),
+    ("CFOP_UF", "ALTA", "v_cfop_uf_incoerente", "vl_produto"),
+    ("PRECO_OUTLIER", "BAIXA", "v_preco_outlier", "vl_produto"),
+    ("TOTAL_DIVERGENTE", "ALTA", "v_total_divergente", "diferenca"),
+)
+
+
 def consolidated(raw: DataFrame, headers: DataFrame, items: DataFrame, fact: DataFrame) -> DataFrame:
     """regra, severidade, chave_acesso, cnpj_emit, vl_base of the eight consolidated views."""
-    zero = F.lit(0.0)
-    views = [
-        ("GAP_NUMERACAO", "MEDIA", numbering_gaps(headers), zero),
-        ("DUP_CHAVE", "CRITICA", duplicate_keys(raw), zero),
-        ("DUP_NUMERACAO", "CRITICA", duplicate_numbers(headers), zero),
-        ("DUP_ECONOMICA", "MEDIA", economic_duplicates(headers), F.col("valor_total")),
-        ("NCM_INVALIDO", "ALTA", invalid_ncm(fact), F.col("vl_produto")),
-        ("CFOP_UF", "ALTA", interstate_same_state(fact), F.col("vl_produto")),
-        ("PRECO_OUTLIER", "BAIXA", price_outliers(fact), F.col("vl_produto")),
-        ("TOTAL_DIVERGENTE", "ALTA", divergent_totals(headers, items), F.col("diferenca")),
-    ]
-    parts = [rows.select(F.lit(name).alias("regra"), F.lit(severity).alias("severidade"), "chave_acesso", "cnpj_emit", value.cast("double").alias("vl_base")) for name, severity, rows, value in views]
+    made = (numbering_gaps(headers), duplicate_keys(raw), duplicate_numbers(headers), economic_duplicates(headers), invalid_ncm(fact), interstate_same_state(fact), price_outliers(fact), divergent_totals(headers, items))
+    parts = [rows.select(F.lit(name).alias("regra"), F.lit(severity).alias("severidade"), "chave_acesso", "cnpj_emit", F.expr(value).cast("double").alias("vl_base")) for (name, severity, _, value), rows in zip(CONSOLIDATED, made, strict=True)]
     return reduce(DataFrame.unionByName, parts)

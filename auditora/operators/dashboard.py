@@ -17,8 +17,15 @@ def _kept(findings: DataFrame, severities: tuple[str, ...] | None) -> DataFrame:
 
 
 def kpis(findings: DataFrame, severities: tuple[str, ...] | None = None) -> DataFrame:
-    total = F.coalesce(money_sum("impacto_rs"), F.lit(0.0)).alias("risco")
-    return _kept(findings, severities).agg(F.count("*").alias("achados"), F.countDistinct("cnpj_emit").alias("clientes"), total, F.countDistinct("id_regra").alias("regras"))
+    """One row: findings, clients, money at risk and rules.
+
+    Counted by client first, the rules of a client as a bitmap of their numbers (ids are R and three digits), so no row is doubled for
+    a second distinct count and what meets in the end is one bitmap."""
+    number = F.substring("id_regra", 2, 3).cast("long") + 1
+    money = F.sum(F.col("impacto_rs").cast("decimal(18,6)")).alias("soma")
+    clients = _kept(findings, severities).groupBy("cnpj_emit").agg(F.count("*").alias("n"), money, F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("regras"))
+    rules = F.coalesce(F.bitmap_count(F.bitmap_or_agg("regras")), F.lit(0))
+    return clients.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("achados"), F.count("cnpj_emit").alias("clientes"), F.coalesce(F.sum("soma").cast("double"), F.lit(0.0)).alias("risco"), rules.alias("regras"))
 
 
 def top_rules(findings: DataFrame, severities: tuple[str, ...] | None = None, n: int = 10) -> DataFrame:

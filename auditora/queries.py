@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 
 from .functions.text import ABBREVIATIONS, char_wb_ngrams, faixa_confianca, normalizar, rotear
 from .operators import audit, classify, dashboard, layers
+from .plans import views
 from .plans.catalog import CatalogoRegras
 from .plans.conditions import Builder
 from .plans.conditions import read as read_condition
 from .plans.engine import RuleEngine, registrar_handlers_padrao, scored, summary, top_findings
-from .sources import bronze, nfe
+from .scratch import scratch_path, written, written_at
+from .sources import bronze, nfe, trigrams
 
 CODE = r"^Brand#[0-9]{2}\z"
 
@@ -85,7 +87,7 @@ def catalog() -> CatalogoRegras:
 def findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     head = header(spark, sf_dir)
     raw = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("chave_acesso"), F.col("l_suppkey").cast("string").alias("cnpj_emit"))
-    tables = {"fact": fact(spark, sf_dir), "silver_cabecalho": head, "silver_cabecalho_raw": raw, "silver_item": silver_item(spark, sf_dir)}
+    tables = {"fact": written(fact(spark, sf_dir), "fact", keep=True), "silver_cabecalho": head, "silver_cabecalho_raw": raw, "silver_item": silver_item(spark, sf_dir)}
     return registrar_handlers_padrao(RuleEngine(catalog(), tables)).executar(date(2026, 1, 1))
 
 
@@ -306,11 +308,11 @@ def notes(spark: SparkSession, sf_dir: str, foreign: Column | None = None) -> Da
 
 
 def layer_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """raw headers and items of the notes' XML, and the layers made from them."""
-    parsed = nfe.parse(notes(spark, sf_dir)).drop("content")
+    """raw headers of the notes' XML, and the layers made from them, each written once as the command line does."""
+    parsed = written(nfe.parse(notes(spark, sf_dir)).drop("content"), "notes", keep=True)
     raw, raw_items = nfe.headers(parsed), nfe.items(parsed).drop("valido")
-    head, item = layers.silver_header(raw), layers.silver_item(raw_items)
-    return {"raw": raw, "header": head, "item": item, "fact": layers.fact(item, head)}
+    head, item = written(layers.silver_header(raw), "header", keep=True), written(layers.silver_item(raw_items), "item", keep=True)
+    return {"raw": raw, "header": head, "item": item, "fact": written(layers.fact(item, head), "fact", keep=True)}
 
 
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -468,3 +470,40 @@ query(
     "cross_validation",
     f"{_TURNS}, {_near_sql(_FOLDS, _CHAR_GRAMS, '_c')}, {_shares_sql('_c')}, {_near_sql(_FOLDS, _WORD_GRAMS, '_w')}, {_shares_sql('_w')} {_HITS.format(name='char_wb', tag='_c')} UNION ALL {_HITS.format(name='word', tag='_w')}",
 )(lambda s, d: classify.cross_validation(turns(s, d)))
+
+
+def view_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The consolidated findings by the name of their view, over layers known by name."""
+    made = layer_tables(spark, sf_dir)
+    names = views.register(spark, dict(zip(views.LAYERS, (made[k] for k in ("raw", "header", "item", "fact")), strict=True)))
+    found = spark.sql(f"SELECT * FROM {views.CONSOLIDATED}")
+    # The plan is resolved; names of one query do not reach the next.
+    views.forget(spark, names)
+    return found
+
+
+def exported(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of one month read from a partitioned export, beside the export's statistics."""
+    target, rows = scratch_path(spark, "export"), header(spark, sf_dir)
+    bronze.export(rows, target)
+    totals = bronze.pruned_totals(spark, target, 1996, 3)
+    return totals.crossJoin(F.broadcast(bronze.export_stats(rows, target=target)))
+
+
+def indexed_like(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages in a stored table whose trigram index says which of its files to read."""
+    table, index = scratch_path(spark, "pages"), scratch_path(spark, "pages-trigrams")
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", F.col("html").alias("conteudo"))
+    written_at(pages.repartitionByRange(8, "page_id"), table)
+    trigrams.write_index(spark, table, index)
+    return trigrams.like_rows(spark, table, index, LIKE_PATTERN).select("page_id", "url")
+
+
+LIKE_PATTERN = "%track(12_)%</script>%"
+query("view_findings", S["consolidated"])(view_findings)
+query(
+    "export_round_trip",
+    BASE + """SELECT t.*, s.* FROM (SELECT cnpj_emit, CAST(sum(CAST(valor_total AS DECIMAL(18,2))) AS DOUBLE) AS total FROM header WHERE year(dt_emissao) = 1996 AND month(dt_emissao) = 3 GROUP BY 1) t,
+    (SELECT count(*) AS linhas, count(DISTINCT cnpj_emit) AS emitentes, min(dt_emissao) AS primeira, max(dt_emissao) AS ultima, CAST(sum(CAST(valor_total AS DECIMAL(18,2))) AS DOUBLE) AS soma, count(DISTINCT (year(dt_emissao), month(dt_emissao))) AS particoes FROM header) s""",
+)(exported)
+query("like_scan_indexed", f"SELECT page_id, url FROM pages WHERE html LIKE '{LIKE_PATTERN}'")(indexed_like)

@@ -2,24 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.audit import money_sum
 from ..plans.schema import BRONZE, names
+from ..scratch import passing, written
 from .nfe import read_files
 
 
+# As many paths as a task can hold beside its work: some hundred bytes each.
+FEW_PATHS = 500_000
+
+
 def first_paths(files: DataFrame) -> DataFrame:
     """sha256, path and copies: the first path of each content; only hashes and paths are shuffled."""
     hashed = files.select(F.sha2("content", 256).alias("sha256"), "path")
     return hashed.groupBy("sha256").agg(F.min("path").alias("path"), F.count("*").alias("copies"))
 
 
-def new_files(files: DataFrame, stored: DataFrame) -> DataFrame:
-    """The first file by path of each content that is not stored yet; contents meet the chosen paths and nothing else."""
+def new_files(files: DataFrame, stored: DataFrame, few: int = FEW_PATHS, keep: bool = True) -> DataFrame:
+    """The first file by path of each content that is not stored yet.
+
+    The chosen paths are written, so that their number is known: up to few of them go to where the contents are, and contents are not
+    shuffled; beyond that Spark joins both by path."""
     chosen = first_paths(files).join(stored.select("sha256"), "sha256", "left_anti").select("sha256", "path")
-    rows = files.join(chosen, "path")
+    chosen = written(chosen, "chosen-paths", keep=keep)
+    rows = files.join(F.broadcast(chosen) if chosen.count() <= few else chosen, "path")
     return rows.select("sha256", "nome", F.col("content").cast("string").alias("conteudo"), "tamanho", F.current_timestamp().cast("timestamp_ntz").alias("dh_ingestao"))
 
 
@@ -37,10 +46,12 @@ def ensure(spark: SparkSession, table: str) -> DataFrame:
 def ingest(spark: SparkSession, folder: str, table: str) -> dict[str, int]:
     """Appends new contents of folder; running again adds nothing."""
     files = read_files(spark, folder)
-    total, before = files.count(), ensure(spark, table).count()
-    new_files(files, ensure(spark, table)).select(*names(BRONZE)).write.mode("append").parquet(table)
-    after = spark.read.schema(BRONZE).parquet(table).count()
-    return {"novos": after - before, "repetidos": total - (after - before), "total_bronze": after}
+    stored, added = ensure(spark, table), Observation()
+    total, before = files.count(), stored.count()
+    with passing(spark):
+        new_files(files, stored, keep=False).observe(added, F.count("*").alias("n")).select(*names(BRONZE)).write.mode("append").parquet(table)
+    new = added.get["n"]
+    return {"novos": new, "repetidos": total - new, "total_bronze": before + new}
 
 
 # What is looked up in the raw text of a note.
@@ -76,8 +87,13 @@ def partitions(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(target).groupBy("ano", "mes").agg(F.count("*").alias("linhas"))
 
 
-def export_stats(indexed: DataFrame, emitter: str = "cnpj_emit", day: str = "dt_emissao", value: str = "valor_total") -> DataFrame:
-    return indexed.agg(F.count("*").alias("linhas"), F.countDistinct(emitter).alias("emitentes"), F.min(day).alias("primeira"), F.max(day).alias("ultima"), money_sum(value).alias("soma"))
+def export_stats(indexed: DataFrame, emitter: str = "cnpj_emit", day: str = "dt_emissao", value: str = "valor_total", target: str | None = None) -> DataFrame:
+    """One row over all indexed rows, dated or not; with target also particoes, how many an export there holds."""
+    stats = indexed.agg(F.count("*").alias("linhas"), F.countDistinct(emitter).alias("emitentes"), F.min(day).alias("primeira"), F.max(day).alias("ultima"), money_sum(value).alias("soma"))
+    if target is None:
+        return stats
+    # One row on either side.
+    return stats.crossJoin(F.broadcast(partitions(indexed.sparkSession, target).agg(F.count("*").alias("particoes"))))
 
 
 def pruned_totals(spark: SparkSession, target: str, year: int, month: int, emitter: str = "cnpj_emit", value: str = "valor_total") -> DataFrame:

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..scratch import written
+
 NAMESPACE = "http://www.portalfiscal.inf.br/nfe"
 _INF = (
     "struct<_Id:string, ide:struct<nNF:string,serie:string,mod:string,dhEmi:string,dEmi:string,tpNF:string>, "
@@ -185,9 +187,9 @@ def quarantine(parsed: DataFrame) -> DataFrame:
 
 
 def process_folder(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(headers, items, failures) of a folder, parsed in one scan whose result is kept; an empty folder is an error."""
+    """(headers, items, failures) of a folder, parsed in one scan whose result is written in the shared folder; an empty folder is an error."""
     files = read_files(spark, folder)
     if files.isEmpty():
         raise FileNotFoundError(f"nenhum XML em {folder}")
-    parsed = parse(files).drop("content").persist()
+    parsed = written(parse(files).drop("content"), "notes")
     return headers(parsed), items(parsed).drop("valido"), quarantine(parsed)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.schema import BRONZE, names
+from ..scratch import passing
 from ..sources.bronze import ensure, new_files
 
 
@@ -18,6 +19,7 @@ def stream(spark: SparkSession, folder: str, table: str, checkpoint: str) -> Str
 
     def append(batch: DataFrame, _: int) -> None:
         stored = batch.sparkSession.read.schema(BRONZE).parquet(table)
-        new_files(batch, stored).select(*names(BRONZE)).write.mode("append").parquet(table)
+        with passing(batch.sparkSession):
+            new_files(batch, stored, keep=False).select(*names(BRONZE)).write.mode("append").parquet(table)
 
     return rows.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -100,6 +100,7 @@ def test_text_functions(spark):
 
 def test_stage_metrics(spark, tmp_path):
     obs.METRIC_ROWS.clear()
+    obs._saved[0] = 0
     with obs.etapa("a"):
         pass
     with pytest.raises(ValueError), obs.etapa("b"):
