@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import time
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from .audit import money_sum
@@ -12,6 +15,34 @@ def available(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table)
 
 
+LABEL_LENGTH, LIFE_SECONDS = 34, 300.0
+
+
+class Results:
+    """Collected results of small queries, each for a span of seconds; an older one is asked for again."""
+
+    def __init__(self, life: float = LIFE_SECONDS, clock: Callable[[], float] = time.monotonic) -> None:
+        self.life, self.clock = life, clock
+        self.held: dict[str, tuple[float, list[Row]]] = {}
+
+    def get(self, name: str, query: Callable[[], DataFrame]) -> list[Row]:
+        now = self.clock()
+        if name not in self.held or now - self.held[name][0] >= self.life:
+            self.held = {k: v for k, v in self.held.items() if now - v[0] < self.life}
+            self.held[name] = now, query().collect()
+        return self.held[name][1]
+
+
+def label(name: Column) -> Column:
+    """A rule's name as a chart shows it."""
+    return F.substring(name, 1, LABEL_LENGTH)
+
+
+def impact_by_label(findings: DataFrame, severities: tuple[str, ...] | None = None, n: int = 10) -> DataFrame:
+    """rotulo, severidade and impacto of the rules of highest impact, as a chart shows them."""
+    return top_rules(findings, severities, n).select(label(F.col("nome_regra")).alias("rotulo"), "severidade", "impacto")
+
+
 def _kept(findings: DataFrame, severities: tuple[str, ...] | None) -> DataFrame:
     return findings.filter(F.col("severidade").isin(*severities)) if severities else findings
 

@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators import audit
+from ..scratch import written
 from .catalog import CatalogoRegras, Regra, validar_condicao
 from .conditions import Builder, read
 from .schema import FINDINGS, OTHER_WEIGHT, SEVERITY_WEIGHTS, names
@@ -138,14 +139,14 @@ def registrar_handlers_padrao(engine: RuleEngine) -> RuleEngine:
 def scored(findings: DataFrame) -> DataFrame:
     """Findings with severity weight, recurrence of the emitter and score by impact, severity and recurrence.
 
-    Findings and what they are ranked by are kept (in memory, else on disk), as several steps read them."""
-    findings = findings.persist()
+    Findings and what they are ranked by are written in the shared folder, as several steps read them; scratch.release() deletes them."""
+    findings = written(findings, "findings", keep=True)
     weight = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for pair in SEVERITY_WEIGHTS.items() for x in pair]), F.col("severidade")), F.lit(OTHER_WEIGHT))
     often = findings.groupBy("cnpj_emit").agg(F.count("*").alias("recorrencia")).withColumnRenamed("cnpj_emit", "__emit")
-    base = findings.join(often, F.col("cnpj_emit").eqNullSafe(F.col("__emit"))).drop("__emit").withColumn("peso_sev", F.coalesce(weight, F.lit(OTHER_WEIGHT))).persist()
+    base = findings.join(often, F.col("cnpj_emit").eqNullSafe(F.col("__emit"))).drop("__emit").withColumn("peso_sev", F.coalesce(weight, F.lit(OTHER_WEIGHT)))
+    base = written(base, "weighed-findings", keep=True)
     impact, often = bounds_of(base, "impacto_rs", "recorrencia")
-    # Counts of rows have at most the root of twice their sum as distinct values: a small table at any size.
-    times = F.broadcast(rank_table(base, "recorrencia", "__pr", often))
+    times = rank_table(base, "recorrencia", "__pr", often)
     base = percent_ranks(base, "impacto_rs", "__pi", impact).join(times, F.col("recorrencia") == F.col("__value")).drop("__value")
     score = round_half_up(0.5 * F.col("__pi") + 0.3 * F.col("peso_sev") + 0.2 * F.col("__pr"), 4)
     return base.withColumn("score", score).drop("__pi", "__pr")

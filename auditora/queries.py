@@ -103,16 +103,6 @@ def knn(spark: SparkSession, sf_dir: str, k: int = 5) -> DataFrame:
     return sims.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def guesses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    truth = read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("query"), F.col("label").cast("string").alias("truth"))
-    votes = classify.vote(knn(spark, sf_dir)).withColumn("proba", F.round("proba", 6))
-    return classify.best(votes).join(truth, "query")
-
-
-def truths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("query"), F.col("label").cast("string").alias("truth"))
-
-
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 S: dict[str, str] = {}
 
@@ -233,22 +223,6 @@ query(
     s AS (SELECT a.vec_id AS query, b.vec_id AS id, b.label, list_cosine_similarity(a.v, b.v) AS sim FROM e a JOIN e b ON a.vec_id <> b.vec_id)
     SELECT query, id, CAST(row_number() OVER (PARTITION BY query ORDER BY round(sim, 9) DESC, id) AS INTEGER) AS rank FROM s QUALIFY rank <= 5""",
 )(lambda s, d: knn(s, d).select("query", "id", "rank"))
-_GUESSES = """WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, CAST(label AS VARCHAR) AS label FROM embeddings),
-    s AS (SELECT a.vec_id AS query, b.vec_id AS id, b.label, list_cosine_similarity(a.v, b.v) AS sim FROM e a JOIN e b ON a.vec_id <> b.vec_id),
-    near AS (SELECT *, greatest(0.0, 1 - round(sim, 12)) AS d FROM s QUALIFY row_number() OVER (PARTITION BY query ORDER BY round(sim, 9) DESC, id) <= 5),
-    weighed AS (SELECT *, CASE WHEN min(d) OVER (PARTITION BY query) = 0 THEN CASE WHEN d = 0 THEN 1.0 ELSE 0.0 END ELSE 1 / d END AS w FROM near),
-    votes AS (SELECT query, label, sum(w) AS w FROM weighed GROUP BY 1, 2),
-    shares AS (SELECT query, label, round(w / sum(w) OVER (PARTITION BY query), 6) AS proba FROM votes),
-    best AS (SELECT * FROM shares QUALIFY row_number() OVER (PARTITION BY query ORDER BY proba DESC, label) = 1),
-    guesses AS (SELECT b.*, e.label AS truth, CASE WHEN proba <= 0.5 THEN '(-inf, 0.5]' WHEN proba <= 0.7 THEN '(0.5, 0.7]' WHEN proba <= 0.9 THEN '(0.7, 0.9]' ELSE '(0.9, inf]' END AS faixa FROM best b JOIN e ON e.vec_id = b.query)
-"""
-query(
-    "calibration",
-    _GUESSES + "SELECT faixa, count(*) AS n, CAST(sum(CAST(proba AS DECIMAL(18,6))) AS DOUBLE) / count(*) AS conf_media, count(*) FILTER (WHERE label = truth) / CAST(count(*) AS DOUBLE) AS acuracia FROM guesses GROUP BY faixa",
-)(lambda s, d: classify.calibration(guesses(s, d).select("query", "label", "proba"), truths(s, d)))
-query(
-    "routing", _GUESSES + "SELECT CASE WHEN proba > 0.90 THEN 'AUTO' WHEN proba >= 0.70 THEN 'REVISAO' ELSE 'ESPECIALISTA' END AS fila, faixa, count(*) AS n FROM guesses GROUP BY 1, 2"
-)(lambda s, d: guesses(s, d).groupBy(rotear(F.col("proba")).alias("fila"), faixa_confianca(F.col("proba")).alias("faixa")).agg(F.count("*").alias("n")))
 query("stratified_split", "SELECT doc_id AS id, quality AS label, row_number() OVER (PARTITION BY quality ORDER BY md5('42:' || doc_id), doc_id) <= floor(count(*) OVER (PARTITION BY quality) * 0.3 + 0.5) AS is_test FROM labels")(lambda s, d: classify.stratified_split(read(s, d, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))))
 
 # The layers, the consolidated views and the bronze archive through their own functions, over orders as notes.
@@ -507,3 +481,19 @@ query(
     (SELECT count(*) AS linhas, count(DISTINCT cnpj_emit) AS emitentes, min(dt_emissao) AS primeira, max(dt_emissao) AS ultima, CAST(sum(CAST(valor_total AS DECIMAL(18,2))) AS DOUBLE) AS soma, count(DISTINCT (year(dt_emissao), month(dt_emissao))) AS particoes FROM header) s""",
 )(exported)
 query("like_scan_indexed", f"SELECT page_id, url FROM pages WHERE html LIKE '{LIKE_PATTERN}'")(indexed_like)
+_BINS = "CASE WHEN proba <= 0.5 THEN '(-inf, 0.5]' WHEN proba <= 0.7 THEN '(0.5, 0.7]' WHEN proba <= 0.9 THEN '(0.7, 0.9]' ELSE '(0.9, inf]' END"
+_GUESSES = f"{_TURNS}, {_near_sql(_SPLIT)}, {_shares_sql()}, guesses AS (SELECT b.query, b.label, floor(b.proba * 1e6 + 0.5) / 1e6 AS proba, d.label AS truth FROM best b JOIN docs d ON d.id = b.query)"
+
+
+def turn_guesses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify.best(turn_votes(spark, sf_dir)).withColumn("proba", F.floor(F.col("proba") * 1e6 + 0.5) / 1e6)
+
+
+query(
+    "calibration",
+    f"{_GUESSES} SELECT {_BINS} AS faixa, count(*) AS n, CAST(sum(CAST(proba AS DECIMAL(18,6))) AS DOUBLE) / count(*) AS conf_media, count(*) FILTER (WHERE label = truth) / CAST(count(*) AS DOUBLE) AS acuracia FROM guesses GROUP BY 1",
+)(lambda s, d: classify.calibration(turn_guesses(s, d), turn_truths(s, d)))
+query(
+    "routing", f"{_GUESSES} SELECT CASE WHEN proba > 0.90 THEN 'AUTO' WHEN proba >= 0.70 THEN 'REVISAO' ELSE 'ESPECIALISTA' END AS fila, {_BINS} AS faixa, count(*) AS n FROM guesses GROUP BY 1, 2"
+)(lambda s, d: turn_guesses(s, d).groupBy(rotear(F.col("proba")).alias("fila"), faixa_confianca(F.col("proba")).alias("faixa")).agg(F.count("*").alias("n")))
+query("impact_by_label", BASE + f"SELECT left(nome_regra, 34) AS rotulo, severidade, {MONEY} AS impacto FROM findings GROUP BY nome_regra, severidade ORDER BY impacto DESC NULLS LAST, nome_regra, 2 LIMIT 10")(lambda s, d: dashboard.impact_by_label(findings(s, d)))

@@ -100,3 +100,18 @@ def test_released_tables_are_gone(spark):
     scratch.release(spark)
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(path)
+
+
+def test_results_live_for_a_span(spark):
+    now, asked = [0.0], []
+
+    def rows():
+        asked.append(1)
+        return spark.range(len(asked))
+
+    results = dashboard.Results(300, lambda: now[0])
+    assert len(results.get("a", rows)) == len(results.get("a", rows)) == 1
+    now[0] = 299.9
+    assert len(results.get("a", rows)) == 1
+    now[0] = 300.0
+    assert len(results.get("a", rows)) == 2 and len(asked) == 2
