@@ -22,6 +22,7 @@ from .plans.conditions import read as read_condition
 from .plans.engine import RuleEngine, registrar_handlers_padrao, scored, summary, top_findings
 from .scratch import scratch_path, written, written_at
 from .sources import bronze, nfe, trigrams
+from .streaming.bronze import append_new
 
 CODE = r"^Brand#[0-9]{2}\z"
 
@@ -289,11 +290,15 @@ def layer_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {"raw": raw, "header": head, "item": item, "fact": written(layers.fact(item, head), "fact", keep=True)}
 
 
-def files(spark: SparkSession, sf_dir: str) -> DataFrame:
+def as_files(documents: DataFrame) -> DataFrame:
     """documents as raw files."""
     name = F.lpad(F.col("doc_id").cast("string"), 12, "0")
     content = F.coalesce("text", F.lit("")).cast("binary")
-    return read(spark, sf_dir, "documents").select(name.alias("path"), name.alias("nome"), F.octet_length(content).cast("long").alias("tamanho"), content.alias("content"))
+    return documents.select(name.alias("path"), name.alias("nome"), F.octet_length(content).cast("long").alias("tamanho"), content.alias("content"))
+
+
+def files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_files(read(spark, sf_dir, "documents"))
 
 
 query("nfe_headers", NOTES + "SELECT * EXCLUDE (o_orderdate) FROM raw")(lambda s, d: nfe.headers(nfe.parse(notes(s, d))))
@@ -497,3 +502,30 @@ query(
     "routing", f"{_GUESSES} SELECT CASE WHEN proba > 0.90 THEN 'AUTO' WHEN proba >= 0.70 THEN 'REVISAO' ELSE 'ESPECIALISTA' END AS fila, {_BINS} AS faixa, count(*) AS n FROM guesses GROUP BY 1, 2"
 )(lambda s, d: turn_guesses(s, d).groupBy(rotear(F.col("proba")).alias("fila"), faixa_confianca(F.col("proba")).alias("faixa")).agg(F.count("*").alias("n")))
 query("impact_by_label", BASE + f"SELECT left(nome_regra, 34) AS rotulo, severidade, {MONEY} AS impacto FROM findings GROUP BY nome_regra, severidade ORDER BY impacto DESC NULLS LAST, nome_regra, 2 LIMIT 10")(lambda s, d: dashboard.impact_by_label(findings(s, d)))
+
+
+def streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents taken as a stream of files into a bronze table, twice: the second time nothing is new."""
+    table = scratch_path(spark, "bronze-stream")
+    path = f"{sf_dir}/documents.parquet"
+    for k in range(2):
+        # A stream takes a pattern where one file stands, and the folder of several all the same.
+        rows = spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{sf_dir}/documents.parque[t]")
+        append_new(as_files(rows), table, scratch_path(spark, f"checkpoint-{k}")).awaitTermination()
+    return spark.read.parquet(table).select("sha256", "tamanho")
+
+
+def indexed_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the bronze index reads in the raw text of the notes; names behind a prefix are not found."""
+    return bronze.index(notes(spark, sf_dir), content="content")
+
+
+query("stream_new_files", "SELECT sha256(coalesce(text, '')) AS sha256, CAST(min(octet_length(encode(coalesce(text, '')))) AS BIGINT) AS tamanho FROM documents GROUP BY 1")(streamed)
+_PLAINLY = "CASE WHEN o_orderkey % 3 <> 1 THEN {} END"
+query(
+    "bronze_index",
+    f"""SELECT o_orderkey || '.xml' AS nome, lpad(CAST(o_orderkey AS VARCHAR), 44, '0') AS chave_acesso, {_PLAINLY.format('CAST(o_orderkey AS INTEGER)')} AS numero, {_PLAINLY.format("lpad(CAST(o_custkey AS VARCHAR), 14, '0')")} AS cnpj_emit,
+    {_PLAINLY.format('CAST(o_orderdate AS DATE)')} AS dt_emissao, {_PLAINLY.format('CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE)')} AS valor_total FROM orders""",
+)(lambda s, d: indexed_notes(s, d).select("nome", "chave_acesso", "numero", "cnpj_emit", "dt_emissao", "valor_total"))
+query("undecoded_files", "SELECT o_orderkey || '.xml' AS nome FROM orders WHERE o_orderkey % 3 = 1")(lambda s, d: bronze.undecoded(indexed_notes(s, d)).select("nome"))
+query("top_severe_findings", BASE + "SELECT * FROM scored WHERE severidade IN ('CRITICA', 'ALTA') ORDER BY score DESC NULLS LAST, id_regra, chave_acesso NULLS FIRST, n_item NULLS FIRST, cnpj_emit LIMIT 20")(lambda s, d: top_findings(scored(findings(s, d)), 20, "ALTA"))

@@ -11,11 +11,11 @@ from ..scratch import passing
 from ..sources.bronze import ensure, new_files
 
 
-def stream(spark: SparkSession, folder: str, table: str, checkpoint: str) -> StreamingQuery:
-    """Takes what lies in folder and stops; the checkpoint remembers the files, the anti-join the contents."""
-    ensure(spark, table)
-    files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("recursiveFileLookup", True).option("pathGlobFilter", "*.xml").load(folder)
-    rows = files.select("path", F.element_at(F.split("path", "/"), -1).alias("nome"), F.col("length").alias("tamanho"), "content")
+def append_new(rows: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
+    """Appends the contents of a stream of files (path, nome, tamanho, content) that a table does not hold yet, takes what is there and stops.
+
+    The checkpoint remembers the files, the anti-join the contents."""
+    ensure(rows.sparkSession, table)
 
     def append(batch: DataFrame, _: int) -> None:
         stored = batch.sparkSession.read.schema(BRONZE).parquet(table)
@@ -23,3 +23,9 @@ def stream(spark: SparkSession, folder: str, table: str, checkpoint: str) -> Str
             new_files(batch, stored, keep=False).select(*names(BRONZE)).write.mode("append").parquet(table)
 
     return rows.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def stream(spark: SparkSession, folder: str, table: str, checkpoint: str) -> StreamingQuery:
+    """append_new for the XML files below a folder."""
+    files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("recursiveFileLookup", True).option("pathGlobFilter", "*.xml").load(folder)
+    return append_new(files.select("path", F.element_at(F.split("path", "/"), -1).alias("nome"), F.col("length").alias("tamanho"), "content"), table, checkpoint)
