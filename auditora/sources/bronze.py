@@ -10,7 +10,8 @@ from ..plans.schema import BRONZE, names
 from ..scratch import passing, written
 from .nfe import read_files
 
-
+# The table of keys beside a bronze table, and how many digits of a hash name its folder there.
+KEYS, KEY_DIGITS = "_chaves", 2
 # As many paths as a task can hold beside its work: some hundred bytes each.
 FEW_PATHS = 500_000
 
@@ -21,36 +22,67 @@ def first_paths(files: DataFrame) -> DataFrame:
     return hashed.groupBy("sha256").agg(F.min("path").alias("path"), F.count("*").alias("copies"))
 
 
-def new_files(files: DataFrame, stored: DataFrame, few: int = FEW_PATHS, keep: bool = True) -> DataFrame:
-    """The first file by path of each content that is not stored yet.
-
-    The chosen paths are written, so that their number is known: up to few of them go to where the contents are, and contents are not
-    shuffled; beyond that Spark joins both by path."""
-    chosen = first_paths(files).join(stored.select("sha256"), "sha256", "left_anti").select("sha256", "path")
-    chosen = written(chosen, "chosen-paths", keep=keep)
+def _contents(files: DataFrame, chosen: DataFrame, few: int) -> DataFrame:
+    """The files of chosen paths; up to few of them go to where the contents are, and contents are not shuffled, beyond that Spark joins both by path."""
     rows = files.join(F.broadcast(chosen) if chosen.count() <= few else chosen, "path")
     return rows.select("sha256", "nome", F.col("content").cast("string").alias("conteudo"), "tamanho", F.current_timestamp().cast("timestamp_ntz").alias("dh_ingestao"))
 
 
-def ensure(spark: SparkSession, table: str) -> DataFrame:
+def new_files(files: DataFrame, stored: DataFrame, few: int = FEW_PATHS) -> DataFrame:
+    """The first file by path of each content that is not stored yet; the chosen paths are written, so that their number is known."""
+    chosen = first_paths(files).join(stored.select("sha256"), "sha256", "left_anti").select("sha256", "path")
+    return _contents(files, written(chosen, "chosen-paths", keep=True), few)
+
+
+def ensure(spark: SparkSession, table: str, schema: str = BRONZE) -> DataFrame:
     """The bronze table at a path, created empty where it is missing."""
     try:
-        return spark.read.schema(BRONZE).parquet(table)
+        return spark.read.schema(schema).parquet(table)
     except Exception as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
-        spark.createDataFrame([], BRONZE).write.parquet(table)
-        return spark.read.schema(BRONZE).parquet(table)
+        spark.createDataFrame([], schema).write.parquet(table)
+        return spark.read.schema(schema).parquet(table)
+
+
+def _by_bucket(keys: DataFrame) -> DataFrame:
+    return keys.select("sha256", F.left("sha256", F.lit(KEY_DIGITS)).alias("balde"))
+
+
+def stored_keys(spark: SparkSession, table: str) -> DataFrame:
+    """sha256 and balde of the contents of a table, from a table of keys beside it, in folders by their first digits.
+
+    Keys are written after contents, so a run that ended between both leaves some out: where the numbers of rows (from the files'
+    footers) differ, what is missing is added first."""
+    contents, keys = ensure(spark, table), ensure(spark, table + KEYS, "sha256 string, balde string")
+    if contents.count() != keys.count():
+        missing = contents.select("sha256").join(keys.select("sha256"), "sha256", "left_anti")
+        _by_bucket(missing).write.mode("append").partitionBy("balde").parquet(table + KEYS)
+        keys = spark.read.schema("sha256 string, balde string").parquet(table + KEYS)
+    return keys
+
+
+def append_new(files: DataFrame, table: str) -> int:
+    """Appends the contents of files that a table does not hold yet; returns how many.
+
+    Only the buckets of keys that the files' own hashes fall into are read."""
+    spark, added = files.sparkSession, Observation()
+    with passing(spark):
+        hashed = written(first_paths(files).withColumn("balde", F.left("sha256", F.lit(KEY_DIGITS))), "hashed-files")
+        # At most 16 to the KEY_DIGITS rows.
+        buckets = [r.balde for r in hashed.select("balde").distinct().collect()]
+        stored = stored_keys(spark, table).filter(F.col("balde").isin(buckets))
+        chosen = written(hashed.join(stored, ["sha256", "balde"], "left_anti").select("sha256", "path"), "chosen-paths")
+        _contents(files, chosen, FEW_PATHS).observe(added, F.count("*").alias("n")).select(*names(BRONZE)).write.mode("append").parquet(table)
+        _by_bucket(chosen).write.mode("append").partitionBy("balde").parquet(table + KEYS)
+    return added.get["n"]
 
 
 def ingest(spark: SparkSession, folder: str, table: str) -> dict[str, int]:
     """Appends new contents of folder; running again adds nothing."""
     files = read_files(spark, folder)
-    stored, added = ensure(spark, table), Observation()
-    total, before = files.count(), stored.count()
-    with passing(spark):
-        new_files(files, stored, keep=False).observe(added, F.count("*").alias("n")).select(*names(BRONZE)).write.mode("append").parquet(table)
-    new = added.get["n"]
+    total, before = files.count(), ensure(spark, table).count()
+    new = append_new(files, table)
     return {"novos": new, "repetidos": total - new, "total_bronze": before + new}
 
 

@@ -6,21 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.schema import BRONZE, names
-from ..scratch import passing
-from ..sources.bronze import ensure, new_files
+from ..sources import bronze
 
 
 def append_new(rows: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
     """Appends the contents of a stream of files (path, nome, tamanho, content) that a table does not hold yet, takes what is there and stops.
 
     The checkpoint remembers the files, the anti-join the contents."""
-    ensure(rows.sparkSession, table)
+    bronze.ensure(rows.sparkSession, table)
 
     def append(batch: DataFrame, _: int) -> None:
-        stored = batch.sparkSession.read.schema(BRONZE).parquet(table)
-        with passing(batch.sparkSession):
-            new_files(batch, stored, keep=False).select(*names(BRONZE)).write.mode("append").parquet(table)
+        bronze.append_new(batch, table)
 
     return rows.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -59,6 +59,22 @@ def test_contents_of_new_files_are_not_shuffled_while_few(spark):
     assert "Exchange hashpartitioning" not in few._jdf.queryExecution().executedPlan().toString()
 
 
+def test_keys_are_read_by_bucket_and_mended(spark, tmp_path):
+    at = str(tmp_path / "bronze")
+    files = lambda *texts: spark.createDataFrame([(f"{k}.xml", f"{k}.xml", len(t), t.encode()) for k, t in enumerate(texts)], "path string, nome string, tamanho long, content binary")
+    many = [f"text {k}" for k in range(40)]
+    assert bronze.append_new(files(*many, "text 0"), at) == 40
+    assert bronze.append_new(files("text 3", "text 40", "text 40"), at) == 1
+    keys = bronze.stored_keys(spark, at)
+    assert keys.count() == 41 and keys.filter(F.col("balde") != F.left("sha256", F.lit(2))).count() == 0
+    plan = keys.filter(F.col("balde").isin("00", "ff"))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [balde" in plan
+    # A run that ended before its keys were written.
+    spark.createDataFrame([("f" * 64, "x", "lost", 4, None)], "sha256 string, nome string, conteudo string, tamanho long, dh_ingestao timestamp_ntz").write.mode("append").parquet(at)
+    assert bronze.stored_keys(spark, at).filter(F.col("sha256") == "f" * 64).count() == 1
+    assert bronze.append_new(files(*many), at) == 0
+
+
 def test_export_statistics_have_six_fields(spark, tmp_path):
     rows = spark.createDataFrame([("a", "2026-01-31", 1.0), ("a", "2026-02-01", 2.0), ("b", None, 4.0)], "cnpj_emit string, d string, valor_total double").withColumn("dt_emissao", F.col("d").cast("date"))
     bronze.export(rows, str(tmp_path / "e"))
