@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+# Names, order and types of the columns of each layer.
 HEADER_COLUMNS = ("chave_acesso", "numero", "serie", "modelo", "dh_emissao", "tipo_nf", "cnpj_emit", "uf_emit", "cnpj_dest", "uf_dest", "crt", "valor_total", "status")
 ITEM_COLUMNS = ("chave_acesso", "n_item", "c_prod", "descricao", "ncm", "cfop", "qtd", "vl_unit", "vl_produto", "vl_icms", "cst_icms", "csosn")
 FACT_FROM_HEADER = ("cnpj_emit", "uf_emit", "uf_dest", "tipo_nf", "status", "is_simples", "dt_emissao", "competencia", "serie", "numero", "valor_total")
 FACT_COLUMNS = (*ITEM_COLUMNS, *FACT_FROM_HEADER, "grupo_cfop", "cod_tributacao")
 
+# Columns of the archive, of findings, of stage metrics and of the fact.
 BRONZE = "sha256 string, nome string, conteudo string, tamanho long, dh_ingestao timestamp_ntz"
 FINDINGS = "id_regra string, nome_regra string, severidade string, categoria string, chave_acesso string, n_item long, cnpj_emit string, vl_base double, impacto_rs double"
 METRICS = "execucao_id string, etapa string, duracao_s double, status string, erro string, dh timestamp_ntz"
