@@ -97,6 +97,7 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.model = self.library.model
+        self.words = Tokenizer(self.model)
         tokens = self.library.get_added_tokens_decoder()
         if any(t.lstrip or t.rstrip or t.single_word for t in tokens.values()):
             raise ValueError("added tokens that take in or ask for what stands around them are not supported")
@@ -128,20 +129,22 @@ class Encoder:
         return out
 
     def _learn(self, parts: list[bytes]) -> None:
-        words = [part for part in parts if _WORD.fullmatch(part) and part not in self.literals]
-        written = b"\n".join(words).decode("latin-1").translate(_BYTE_CHARS).split(_LINE) if words else []
-        tokenize = self.model.tokenize
-        known = {part: [t.id for t in tokenize(word)] for part, word in zip(words, written, strict=True)}
-        flat: list[int] = []
-        lengths: list[int] = []
-        for k, part in enumerate(parts, len(self.place)):
-            ids = known[part] if part in known else self._ids(part.decode("utf-8"))
-            flat += ids
-            lengths.append(len(ids))
-            self.place[part] = k
-        self.lengths = np.append(self.lengths, np.array(lengths, np.int64))
+        plain = [_WORD.fullmatch(part) is not None and part not in self.literals for part in parts]
+        words = [part for part, word in zip(parts, plain, strict=True) if word]
+        others = [part for part, word in zip(parts, plain, strict=True) if not word]
+        flat, lengths = [self.flat], [self.lengths]
+        if words:
+            # One call for all words, each a word of its own to the model.
+            found = self.words.encode(b"\n".join(words).decode("latin-1").translate(_BYTE_CHARS).split(_LINE), is_pretokenized=True, add_special_tokens=False)
+            flat.append(np.array(found.ids, np.uint32))
+            lengths.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(words)))
+        ids = [self._ids(part.decode("utf-8")) for part in others]
+        flat.append(np.array([i for own in ids for i in own], np.uint32))
+        lengths.append(np.array([len(own) for own in ids], np.int64))
+        self.place.update(zip([*words, *others], range(len(self.place), len(self.place) + len(parts)), strict=True))
+        self.lengths = np.concatenate(lengths)
         self.starts = np.cumsum(self.lengths) - self.lengths
-        self.flat = np.append(self.flat, np.array(flat, np.uint32))
+        self.flat = np.concatenate(flat)
 
     def _added(self, raw: bytes, offsets: np.ndarray) -> np.ndarray:
         """Starts and ends of the added tokens' literals inside rows."""
@@ -162,7 +165,7 @@ class Encoder:
         if len(self.place) > MEMO_ENTRIES or len(self.flat) > 16 * MEMO_ENTRIES:
             self.forget()
         place = self.place
-        fresh = list(dict.fromkeys(p for p in parts if p not in place))
+        fresh = [p for p in parts if p not in place]
         if fresh:
             self._learn(fresh)
         rows = np.array([place[p] for p in parts], np.int64)[inverse]
