@@ -81,7 +81,8 @@ def test_scratch_goes_with_its_block(spark, tmp_path, monkeypatch):
 
     from pyspark.sql import functions as F
 
-    from auditora.llm import mixing, shared
+    from auditora import scratch as shared
+    from auditora.llm import mixing
 
     monkeypatch.setattr(shared, "shared_dir", lambda spark: f"file://{tmp_path}")
     monkeypatch.setattr(shared, "_kept", [])

@@ -11,8 +11,9 @@ import pytest
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from auditora.llm import licenses, media, queries, tokens
+from auditora.llm import licenses, media, pieces, queries, tokens
 from tests.llm.test_operators import jaccard_components, kept_words, words_of
+from tests.llm.test_phrases_draws_pieces import brute_collocations, brute_resample
 
 CONTRACTS = {
     "op1_packing": "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long",
@@ -41,6 +42,7 @@ def tables(spark, tmp_path_factory):
     rows += [(top, None, None, None, None), (top + 1, "", "en", "a", 0), (top + 2, " \t\n <b>&amp; \"x\" \x0b", "en", "a", 16), (top + 3, licence, "en", None, 9), (top + 4, " ".join(draw.choice("abcdef") for _ in range(30000)), "en", "a", 1), (top + 5, rows[3][1], "en", "z", 1), (top + 6, "12 !? 34", "en", "z", 8), (top + 7, "é" * 4000, "fr", "z", 4000)]
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     spark.createDataFrame(rows, schema).write.parquet(f"{folder}/documents.parquet")
+    spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").write.parquet(f"{folder}/benchmark.parquet")
     vectors = np.random.default_rng(5).normal(size=(400, 16))
     spark.createDataFrame([(k, v.tolist(), 1) for k, v in enumerate(vectors)], "vec_id long, embedding array<double>, label int").write.parquet(f"{folder}/embeddings.parquet")
     return str(folder), rows, vectors
@@ -160,7 +162,8 @@ def test_search_query(results, tables):
 @pytest.mark.parametrize("name", list(queries.ORACLE_SQL))
 def test_queries_equal_their_sql(results, tables, name):
     base = duckdb.connect()
-    base.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tables[0]}/documents.parquet/*.parquet')")
+    for name_of in ("documents", "benchmark"):
+        base.execute(f"CREATE VIEW {name_of} AS SELECT * FROM read_parquet('{tables[0]}/{name_of}.parquet/*.parquet')")
     want = base.execute(queries.ORACLE_SQL[name]).df()
     got = results(name)
     assert sorted(want.columns) == sorted(got.columns)
@@ -174,3 +177,30 @@ def test_dedup_queries_equal_brute_force(results, tables):
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in results("op2_substring_dedup").itertuples()} == whole
     near = {r.doc_id: (r.n_shingles, r.component_id) for r in results("op6_ngram_join").itertuples()}
     assert near == {i: (n, c) for i, n, c in jaccard_components(tables[1])} and len(rows) > 100
+
+
+def test_collocation_query(results, tables):
+    want = brute_collocations([(r[0], r[1], r[2]) for r in tables[1]], 100, 5, 2000)
+    assert want and sorted(map(tuple, results("op11_collocations").values.tolist())) == sorted(want)
+
+
+def test_resampling_query(results, tables, spark):
+    target = [r.text for r in spark.read.parquet(f"{tables[0]}/benchmark.parquet").collect()]
+    want, drawn = brute_resample([(r[0], r[1], r[2]) for r in tables[1]], target)
+    got = results("op12_resampling").set_index("doc_id")
+    ranks = {o[0]: k for k, o in enumerate(drawn, 1)}
+    for doc, n, weight, score, _ in want:
+        row = got.loc[doc]
+        assert (row["n_features"], row["weight"], row["score"]) == (n, weight, score)
+        assert row["rank"] == ranks[doc] if doc in ranks else np.isnan(row["rank"])
+
+
+def test_sentencepiece_query(results, tables):
+    from sentencepiece import SentencePieceProcessor
+
+    library = SentencePieceProcessor(model_file=pieces.model_path())
+    got = results("op13_sentencepiece").set_index("doc_id")
+    for r in tables[1]:
+        ids = library.encode(r[1] or "", add_eos=True)
+        digest = lambda x: hashlib.sha256(x.encode()).hexdigest()
+        assert got.loc[r[0]].tolist() == [len(ids), digest(" ".join(map(str, ids))), digest(library.decode(ids))]
