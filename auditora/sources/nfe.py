@@ -112,8 +112,8 @@ def _number(column: str) -> Column:
     return F.coalesce(F.col(column).try_cast("double"), F.lit(0.0))
 
 
-def parse(files: DataFrame, content: str = "content") -> DataFrame:
-    """files with inf (the parsed note) and erro (null if the file is readable and its header valid)."""
+def parse(files: DataFrame, content: str = "content", least_number: int = 1) -> DataFrame:
+    """files with inf (the parsed note) and erro (null if the file is readable and its header valid; a note's number is least_number or more)."""
     rows = files.withColumn("__n", _note(F.col(content)))
     # An explode of one element is not merged with what reads it: otherwise every field would parse the file again.
     rows = rows.select("*", F.explode(F.array(F.from_xml("__n.nota", f"infNFe {_INF}, _bad string", _OPTIONS))).alias("__r")).withColumn("inf", F.col("__r.infNFe"))
@@ -122,7 +122,7 @@ def parse(files: DataFrame, content: str = "content") -> DataFrame:
     bad = F.concat_ws(
         ", ",
         F.when(~F.coalesce(h("chave_acesso"), F.lit("")).rlike(r"^[0-9]{44}\z"), "chave_acesso"),
-        F.when(F.coalesce(h("numero"), F.lit(0)) < 1, "numero"),
+        F.when(F.coalesce(h("numero"), F.lit(least_number - 1)) < least_number, "numero"),
         F.when(F.coalesce(h("serie"), F.lit(-1)) < 0, "serie"),
         F.when(~h("modelo").isin("55", "65", "57"), "modelo"),
         F.when(h("dh_emissao").try_cast("timestamp_ntz").isNull(), "dh_emissao"),
