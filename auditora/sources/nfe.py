@@ -29,6 +29,7 @@ _INF = (
 _OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad", "ignoreNamespace": "true", "attributePrefix": "_"}
 
 
+SLICE = 256
 _NAME = f"{NAMESPACE} infNFe"
 EMPTY, MALFORMED, ABSENT = "ParseError: arquivo vazio", "ParseError: XML malformado", "ParseError: infNFe ausente"
 
@@ -78,6 +79,9 @@ def first_note(data: bytes, encoding: str | None = None) -> tuple[str | None, st
         parser.Parse(data, True)
     except (expat.ExpatError, LookupError):
         return None, MALFORMED
+    finally:
+        # Handlers hold the parser that holds them; its buffers go at once.
+        parser.XmlDeclHandler = parser.StartElementHandler = parser.EndElementHandler = parser.StartNamespaceDeclHandler = parser.EndNamespaceDeclHandler = None
     if "start" not in found:
         return None, ABSENT
     names = "".join(f" xmlns{':' + p if p else ''}={quoteattr(uri)}" for p, uri in around.items() if uri)
@@ -92,9 +96,13 @@ def first_note(data: bytes, encoding: str | None = None) -> tuple[str | None, st
 
 @F.arrow_udf(T.StructType([T.StructField("nota", T.StringType()), T.StructField("erro", T.StringType())]))
 def _note(column: pa.Array) -> pa.Array:
+    """Notes of a batch, SLICE rows at a time: what Python holds beside the batch does not grow with it."""
     encoding = None if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type) else "utf-8"
-    rows = [first_note((v.encode("utf-8") if encoding else v) if v is not None else b"", encoding) for v in column.to_pylist()]
-    return pa.array([{"nota": note, "erro": error} for note, error in rows], pa.struct([("nota", pa.string()), ("erro", pa.string())]))
+    parts = []
+    for at in range(0, max(len(column), 1), SLICE):
+        rows = [first_note((v.encode("utf-8") if encoding else v) if v is not None else b"", encoding) for v in column.slice(at, SLICE).to_pylist()]
+        parts.append(pa.StructArray.from_arrays([pa.array([note for note, _ in rows], pa.string()), pa.array([error for _, error in rows], pa.string())], ["nota", "erro"]))
+    return pa.concat_arrays(parts)
 
 
 def read_files(spark: SparkSession, folder: str) -> DataFrame:
