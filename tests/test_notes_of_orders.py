@@ -1,9 +1,12 @@
 """Orders as notes: those numbered 0 are notes as any other, and what is not readable is cut short."""
 
+import gc
 from datetime import datetime
 
+import pyarrow as pa
 import pytest
 
+from auditora import scratch
 from auditora.queries import Q
 from auditora.sources import nfe
 
@@ -31,3 +34,32 @@ def test_a_number_below_1_is_refused_elsewhere(spark):
     rows = spark.createDataFrame([("a", text)], "nome string, content string")
     assert "numero" in nfe.quarantine(nfe.parse(rows)).first().erro
     assert nfe.headers(nfe.parse(rows, least_number=0)).first().numero == 0
+
+
+def test_texts_of_notes_are_not_shuffled(spark, folder):
+    plan = Q["bronze_index"](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobin" not in plan and plan.index("<infNFe") < plan.index("Exchange")
+    # Items travel as numbers and become text behind their exchange.
+    assert plan.rindex("<prod>") < plan.rindex("Exchange")
+
+
+def test_a_view_of_the_fact_writes_the_notes_only(spark, folder):
+    before = len(scratch._kept)
+    found = Q["invalid_ncm"](spark, folder).collect()
+    assert len(scratch._kept) == before + 1
+    assert [(r.chave_acesso, r.n_item, r.ncm) for r in found] == [("3".rjust(44, "0"), 7, "00000000")]
+
+
+def test_the_scan_of_notes_is_sliced():
+    many = pa.array([b"", b"<a/>"] * (nfe.SLICE + 3))
+    assert nfe._note.func(many).field("erro").to_pylist() == [nfe.EMPTY, nfe.ABSENT] * (nfe.SLICE + 3)
+    assert nfe._note.func(pa.array([], pa.binary())).to_pylist() == []
+    gc.collect()
+    gc.disable()
+    try:
+        before = len(gc.get_objects())
+        for _ in range(200):
+            nfe.first_note(b"<a/>")
+        assert len(gc.get_objects()) - before < 200
+    finally:
+        gc.enable()
