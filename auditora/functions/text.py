@@ -7,13 +7,14 @@ from functools import cache
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Abbreviations of item descriptions.
 ABBREVIATIONS = {"cx": "caixa", "un": "unidade", "pc": "peca", "kg": "quilograma", "ml": "mililitro", "cp": "comprimido", "pol": "polegadas", "tam": "tamanho", "mg": "miligrama"}
-
+# Texts decomposed at a time: what a batch's steps hold beside it does not grow with the batch.
+SLICE = 256
 
 
 @cache
@@ -27,8 +28,9 @@ def _combining() -> str:
 
 @F.arrow_udf(T.StringType())
 def _plain(column: pa.Array) -> pa.Array:
-    """Compatibility decomposition without combining marks; Spark has no built-in for it."""
-    return pc.replace_substring_regex(pc.utf8_normalize(column, "NFKD"), _combining(), "")
+    """Compatibility decomposition without combining marks, SLICE texts at a time; Spark has no built-in for it."""
+    parts = [column.slice(at, SLICE) for at in range(0, max(len(column), 1), SLICE)]
+    return pa.concat_arrays([pc.replace_substring_regex(pc.utf8_normalize(part, "NFKD"), _combining(), "") for part in parts])
 
 
 def normalizar(text: Column, abbreviations: dict[str, str] = ABBREVIATIONS) -> Column:
@@ -56,6 +58,12 @@ def char_wb_ngrams(text: Column, low: int = 3, high: int = 5) -> Column:
     return F.flatten(F.transform(words, of_word))
 
 
+def char_wb_counts(texts: DataFrame) -> DataFrame:
+    """gram and n, its occurrences in all texts; cut from distinct words, which are counted first, as grams do not cross words."""
+    words = texts.select(F.explode(F.split("text", r"\s+")).alias("word")).filter("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
+    return words.select("n", F.explode(char_wb_ngrams(F.col("word"))).alias("gram")).groupBy("gram").agg(F.sum("n").alias("n"))
+
+
 def word_ngrams(text: Column) -> Column:
     """Words of two characters or more, and pairs of neighbours."""
     words = F.filter(F.split(text, r"[^\p{L}\p{N}_]+"), lambda w: F.length(w) > 1)
