@@ -1,6 +1,7 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from auditora.operators import audit
@@ -106,3 +107,13 @@ def test_score_orders_by_severity(spark):
 def test_handlers_are_registered(spark):
     engine = registrar_handlers_padrao(RuleEngine(CatalogoRegras.load(), {}))
     assert {r.condicao for r in engine.catalog.regras if r.tipo == "python"} == set(engine.handlers)
+
+
+def test_ranked_rows_are_not_joined_by_value(spark):
+    rows = spark.range(3000).select((F.col("id") * 7 % 900).cast("double").alias("v")).unionByName(spark.range(900).select(F.lit(0.0).alias("v"))).unionByName(spark.sql("SELECT CAST(NULL AS DOUBLE) AS v FROM range(40)"))
+    got = percent_ranks(rows, "v", "p")
+    want = rows.withColumn("p", F.percent_rank().over(W.orderBy(F.col("v").asc_nulls_last())))
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    # The only joins are those of the few totals of ranges.
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == plan.count("Join")
