@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 
 from auditora import scratch
+from auditora.operators import layers
 from auditora.queries import Q
 from auditora.sources import nfe
 
@@ -63,3 +64,11 @@ def test_the_scan_of_notes_is_sliced():
         assert len(gc.get_objects()) - before < 200
     finally:
         gc.enable()
+
+
+def test_items_of_one_price_are_chosen_by_product_and_description(spark):
+    names = ["chave_acesso", "n_item", "vl_produto", "c_prod", "descricao"]
+    rows = [(f"{k:044d}", 1, 5.0, c, d) for k in range(20) for c, d in (("b", "x"), ("a", "z"), ("a", "y"))] + [("9" * 44, 1, 5.0, "a", "x"), ("9" * 44, 1, 6.0, "c", "x")]
+    best = layers.silver_item(spark.createDataFrame(rows, names)).collect()
+    assert {(r.c_prod, r.descricao) for r in best if r.chave_acesso != "9" * 44} == {("a", "y")} and len(best) == 21
+    assert [r.c_prod for r in best if r.chave_acesso == "9" * 44] == ["c"]
