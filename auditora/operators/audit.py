@@ -16,6 +16,7 @@ from . import ranges
 
 VALID_NCM = r"^[0-9]{8}\z"
 PLACEHOLDERS = ("00000000", "99999999")
+SLOTS = 1 << 16
 
 
 def money_sum(column: str) -> Column:
@@ -52,12 +53,19 @@ def interstate_same_state(fact: DataFrame) -> DataFrame:
 def price_outliers(rows: DataFrame, by: str = "ncm", price: str = "vl_unit", least: int = 30, low: float = 0.005, high: float = 0.995, pattern: str | None = VALID_NCM, least_rows: int = ranges.LEAST_ROWS) -> DataFrame:
     """Rows at the ends of their code's prices by percent rank (nulls last), with pct and n_ncm.
 
-    Prices are ranked as distinct values, a code of many divided by price; rows only meet the few values at the ends."""
+    Prices are ranked as distinct values, a code of many divided by price.  Codes fall into SLOTS slots; rows between a slot's ends are
+    dropped where they are read, and only the others, a few in a hundred, meet the values at the ends."""
     valid = rows.filter(F.col(by).rlike(pattern)) if pattern else rows
     ranks = ranges.ranks_by_value(valid, by, price, least_rows).filter(F.col("__size") >= least)
     pct = F.when(F.col("__size") > 1, F.col("__rank") / (F.col("__size") - 1)).otherwise(F.lit(0.0))
     ends = ranks.select(F.col(by).alias(f"__{by}"), F.col(price).alias(f"__{price}"), F.col("__size").alias("n_ncm"), pct.alias("pct")).filter((F.col("pct") > high) | (F.col("pct") < low))
-    return valid.join(ends, ranges.same((by, price))).drop(f"__{by}", f"__{price}")
+    slot = lambda code: F.pmod(F.hash(code), F.lit(SLOTS))
+    cheap, dear = F.when(F.col("pct") < low, F.col(f"__{price}")), F.when(F.col("pct") > high, F.col(f"__{price}"))
+    bounds = ends.groupBy(slot(F.col(f"__{by}")).alias("__slot")).agg(F.max(cheap).alias("__cheap"), F.min(dear).alias("__dear"))
+    # SLOTS rows at most.  Missing prices come last in their code and are left to the join with the ends.
+    outer = F.col(price).isNull() | (F.col(price) <= F.col("__cheap")) | (F.col(price) >= F.col("__dear"))
+    near = valid.join(F.broadcast(bounds), slot(F.col(by)) == F.col("__slot")).filter(outer).drop("__slot", "__cheap", "__dear")
+    return near.join(ends, ranges.same((by, price))).drop(f"__{by}", f"__{price}")
 
 
 def revenue_drops(headers: DataFrame, emitter: str = "cnpj_emit", month: str = "competencia", value: str = "valor_total", status: tuple[str, str] = ("status", "AUTORIZADA"), ratio: float = 0.4) -> DataFrame:
